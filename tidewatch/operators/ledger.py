@@ -139,10 +139,17 @@ def apply_promotions(ledger: Ledger, decisions: DataFrame, at) -> Ledger:
     joined = ledger.versions.join(moved, "model", "left")
     promoted = F.col("version") == F.col("new_version")
     replaced = (F.col("version") == F.col("production_version")) & F.col("new_version").isNotNull()
+
+    def stamped(name: str, condition: Column, value: Column) -> Column:
+        earlier = F.col(name) if name in ledger.versions.columns else F.lit(None)
+        return F.when(condition, value).otherwise(earlier)
+
     versions = joined.withColumns({
         "stage": F.when(promoted, "Production").when(replaced, "Archived").otherwise(F.col("stage")),
-        "promoted_at": F.when(promoted, time), "promotion_reason": F.when(promoted, F.col("reason")),
-        "archived_at": F.when(replaced, time), "superseded_by": F.when(replaced, F.col("new_version")),
+        "promoted_at": stamped("promoted_at", promoted, time),
+        "promotion_reason": stamped("promotion_reason", promoted, F.col("reason")),
+        "archived_at": stamped("archived_at", replaced, time),
+        "superseded_by": stamped("superseded_by", replaced, F.col("new_version")),
     }).drop("new_version", "production_version", "reason")
 
     stale = ledger.aliases.join(moved.select("model", "new_version"), "model", "left").where(
@@ -156,7 +163,7 @@ def apply_promotions(ledger: Ledger, decisions: DataFrame, at) -> Ledger:
 def reproduction_check(declared: DataFrame, measured: DataFrame, keys: list[str], tolerance: float = 0.01) -> DataFrame:
     """Declared against measured metrics; a relative gap within the tolerance reproduces."""
     gap = F.col("measured") - F.col("declared")
-    relative = F.coalesce(F.try_divide(F.abs(gap), F.abs(F.col("declared"))), F.lit(0.0))
+    relative = F.when(F.col("declared") == 0, 0.0).otherwise(F.try_divide(F.abs(gap), F.abs(F.col("declared"))))
     joined = declared.withColumnRenamed("value", "declared").join(
         measured.withColumnRenamed("value", "measured"), [*keys, "metric"])
-    return joined.withColumns({"delta": gap, "relative": relative, "reproduced": relative <= tolerance})
+    return joined.withColumns({"delta": gap, "relative": relative, "reproduced": F.coalesce(relative <= tolerance, F.lit(False))})
