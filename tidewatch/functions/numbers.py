@@ -38,17 +38,17 @@ def is_finite(value: Column) -> Column:
     return F.abs(value) < F.lit(INFINITY)
 
 
-def lookup_bin(value: Column, edges: Column, max_edges: int) -> Column:
+def lookup_bin(value: str, edges: str, max_edges: int) -> Column:
     """Number of (sorted) edges at or below the value, so that both outer bins are open.
 
     A nested CASE halves the edges at each step and stays inside generated code, which a lambda
     over the array would not. An index past the array gives null, which counts as "above".
     """
-    def between(low: int, high: int) -> Column:
+    def between(low: int, high: int) -> str:
         if low == high:
-            return F.lit(low)
+            return str(low)
         middle = (low + high) // 2
-        return F.when(F.get(edges, F.lit(middle)) <= value, between(middle + 1, high)) \
-            .otherwise(between(low, middle))
+        return (f"CASE WHEN get({edges}, {middle}) <= {value} THEN {between(middle + 1, high)} "
+                f"ELSE {between(low, middle)} END")
 
-    return between(0, max(max_edges, 0))
+    return F.expr(between(0, max(max_edges, 0)))

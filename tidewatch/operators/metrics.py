@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import finite
+from ..functions import finite, nan_to_null
 
 
 def _metric_aggregates(actual: Column, predicted: Column, suffix: str = "") -> list[Column]:
@@ -31,6 +31,24 @@ def adjusted_r2(r2: Column, n: Column, n_features: Column) -> Column:
     return F.when((n_features > 0) & (freedom > 0), 1 - (1 - r2) * (n - 1) / freedom)
 
 
+def canonical_aggregates(actual: str, predicted: str) -> tuple[Column, list[Column]]:
+    """(row expression, aggregates over it): what `canonical_metrics` computes in its one pass."""
+    both = finite(F.col(actual).cast("double")).isNotNull() & finite(F.col(predicted).cast("double")).isNotNull()
+
+    def in_log(value: Column) -> Column:
+        return F.log1p(F.greatest(value.cast("double"), F.lit(0.0)))
+
+    pair = F.when(both, F.struct(
+        F.col(actual).cast("double").alias("y"), F.col(predicted).cast("double").alias("p"),
+        in_log(F.col(actual)).alias("ly"), in_log(F.col(predicted)).alias("lp")))
+    value = F.col("_pair")
+    return pair.alias("_pair"), [
+        F.count(value["y"]).alias("n_samples"),
+        *_metric_aggregates(value["y"], value["p"]),
+        *_metric_aggregates(value["ly"], value["lp"], "_log"),
+    ]
+
+
 def canonical_metrics(df: DataFrame, keys: Sequence[str], actual: str, predicted: str,
                       n_features: int | None = None) -> DataFrame:
     """rmse, mae, r2, mape in both scales, adjusted r2 and n, over rows finite on both sides.
@@ -38,27 +56,25 @@ def canonical_metrics(df: DataFrame, keys: Sequence[str], actual: str, predicted
     r2 is 1 - SSE/SST (not a squared correlation), null for a single row, and 1 or 0 for a
     constant target. MAPE skips zero actuals.
     """
-    both = finite(F.col(actual)).isNotNull() & finite(F.col(predicted)).isNotNull()
-    y, p = F.when(both, F.col(actual)), F.when(both, F.col(predicted))
-    rows = df.select(*keys, y.cast("double").alias("_y"), p.cast("double").alias("_p"))
-    rows = rows.select("*", F.log1p(F.greatest("_y", F.lit(0.0))).alias("_ly"),
-                       F.log1p(F.greatest("_p", F.lit(0.0))).alias("_lp"))
-    # greatest() skips nulls, so the log columns are masked again
-    rows = rows.withColumn("_ly", F.when(F.col("_y").isNotNull(), F.col("_ly"))) \
-               .withColumn("_lp", F.when(F.col("_p").isNotNull(), F.col("_lp")))
-    out = rows.groupBy(*keys).agg(
-        F.count("_y").alias("n_samples"),
-        *_metric_aggregates(F.col("_y"), F.col("_p")),
-        *_metric_aggregates(F.col("_ly"), F.col("_lp"), "_log"))
-    width = F.lit(n_features).cast("int")
-    return out.withColumn("adj_r2", adjusted_r2(F.col("r2"), F.col("n_samples"), width))
+    pair, aggregates = canonical_aggregates(actual, predicted)
+    out = df.select(*keys, pair).groupBy(*keys).agg(*aggregates)
+    return out.withColumn("adj_r2", adjusted_r2(F.col("r2"), F.col("n_samples"), F.lit(n_features).cast("int")))
+
+
+def summary_aggregates(predicted: str) -> list[Column]:
+    value = nan_to_null(F.col(predicted))
+    return [F.avg(value).alias("pred_mean"), F.stddev_pop(value).alias("pred_std"),
+            F.min(value).alias("pred_min"), F.max(value).alias("pred_max")]
 
 
 def prediction_summary(df: DataFrame, keys: Sequence[str], predicted: str) -> DataFrame:
     """Mean, population deviation and extremes of the predictions."""
-    from ..functions import nan_to_null
+    return df.groupBy(*keys).agg(*summary_aggregates(predicted))
 
-    value = nan_to_null(F.col(predicted))
-    return df.groupBy(*keys).agg(
-        F.avg(value).alias("pred_mean"), F.stddev_pop(value).alias("pred_std"),
-        F.min(value).alias("pred_min"), F.max(value).alias("pred_max"))
+
+def batch_facts(df: DataFrame, actual: str, predicted: str, n_features: int | None = None) -> DataFrame:
+    """Row count, metrics and prediction summary of every batch, from one pass."""
+    pair, aggregates = canonical_aggregates(actual, predicted)
+    out = df.select("batch_id", predicted, pair).groupBy("batch_id").agg(
+        F.count("*").alias("n_rows"), *aggregates, *summary_aggregates(predicted))
+    return out.withColumn("adj_r2", adjusted_r2(F.col("r2"), F.col("n_samples"), F.lit(n_features).cast("int")))

@@ -56,9 +56,9 @@ def bin_counts(series: DataFrame, edges: DataFrame, n_bins: int = 10,
     binned = (
         series.join(side, "series")
         .where(is_finite(F.col("value")))
-        .withColumn("_bin", lookup_bin(F.col("value"), F.col("edges"), n_bins - 1))
+        .withColumn("_bin", lookup_bin("value", "edges", n_bins - 1))
     )
-    tallies = [F.count_if(F.col("_bin") == i).alias(f"_b{i}") for i in range(n_bins)]
+    tallies = [F.expr(f"count_if(_bin = {i}) AS _b{i}") for i in range(n_bins)]
     counted = binned.groupBy(*keys, "series").agg(F.max(F.size("edges")).alias("_edges"), *tallies)
     counts = F.slice(F.array(*[F.col(f"_b{i}") for i in range(n_bins)]), F.lit(1), F.col("_edges") + 1)
     return counted.select(*keys, "series", counts.alias("counts"))

@@ -49,7 +49,7 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Seque
     sketch = rows.groupBy(*keys).agg(
         F.array_sort(F.array_distinct(F.percentile_approx("_v", cuts, accuracy))).alias("_cuts"))
 
-    slot = lookup_bin(F.col("_v"), F.col("_cuts"), len(cuts))
+    slot = lookup_bin("_v", "_cuts", len(cuts))
     located = (
         rows.join(small(sketch), keys)
         .withColumn("_slot", slot)

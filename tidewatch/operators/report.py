@@ -23,30 +23,23 @@ def psi_extremes(psi: DataFrame, spec: FeatureSpec) -> DataFrame:
         F.map_from_entries(F.array_sort(F.collect_list(F.struct("feature", "psi")))).alias("psi"))
 
 
-def batch_status(batches: DataFrame, signals: DataFrame, psi: DataFrame, metrics: DataFrame,
-                 predictions: DataFrame, violations: DataFrame, spec: FeatureSpec) -> DataFrame:
-    """One row per batch of this run. A batch without any readable row is an ALERT, not reconciled.
-
-    `batches` is (batch_id, n_rows, has_target).
-    """
+def batch_status(frame: DataFrame, signals: DataFrame, psi: DataFrame, spec: FeatureSpec) -> DataFrame:
+    """One row per delivered batch. A batch without any readable row is an ALERT, not reconciled."""
     judged = signals.groupBy("batch_id").agg(
         F.max(rank_of(F.col("status"))).alias("_rank"), *problem_flags(spec),
         F.sort_array(F.collect_list(F.struct(
             "seq", "name", "category", "value", "status", "detail", "thresholds_source"))).alias("signals"))
-    counted = violations.groupBy("batch_id").agg(F.count("*").alias("n_violations"))
-    readable = F.coalesce(F.col("n_rows"), F.lit(0)) > 0
+    readable = F.col("n_rows") > 0
     return (
-        batches.join(judged, "batch_id", "left").join(psi_extremes(psi, spec), "batch_id", "left")
-        .join(metrics, "batch_id", "left").join(predictions, "batch_id", "left")
-        .join(counted, "batch_id", "left")
+        frame.join(judged, "batch_id", "left").join(psi_extremes(psi, spec), "batch_id", "left")
         .select(
-            "batch_id", F.coalesce("n_rows", F.lit(0)).cast("bigint").alias("n_rows"), "has_target",
+            "batch_id", "n_rows", "has_target",
             F.when(readable, label_of(F.col("_rank"))).otherwise(F.lit(ALERT)).alias("status"),
             F.when(readable, diagnosis_code(F.col("has_target"))).otherwise("UNREADABLE").alias("diagnosis_code"),
             readable.alias("reconciled"), "n_samples", "rmse", "mae", "r2", "mape", "rmse_log", "mae_log", "r2_log",
             "mape_log", "adj_r2", F.coalesce("psi_max", F.lit(0.0)).alias("psi_max"), "psi_max_feature", "psi",
-            F.coalesce("n_violations", F.lit(0)).alias("n_violations"),
-            "pred_mean", "pred_std", "pred_min", "pred_max", "signals")
+            F.size("violations").cast("bigint").alias("n_violations"),
+            "pred_mean", "pred_std", "pred_min", "pred_max", "signals", "violations")
     )
 
 

@@ -64,8 +64,8 @@ def numeric_summary(rows: DataFrame, spec: FeatureSpec, bins: DataFrame | None =
         F.when(counted, value).alias("v"), counted.alias("_counted"), scored.alias("_scored"),
         failed.alias("_failed"),
         F.when(scored & is_finite(F.col("value")),
-               lookup_bin(F.col("value"), F.col("edges"), spec.bins - 1)).alias("_bin"))
-    tallies = [F.count_if(F.col("_bin") == i).alias(f"_b{i}") for i in range(spec.bins)]
+               lookup_bin("value", "edges", spec.bins - 1)).alias("_bin"))
+    tallies = [F.expr(f"count_if(_bin = {i}) AS _b{i}") for i in range(spec.bins)]
     out = located.groupBy(*keys, "series").agg(
         F.count_if("_counted").alias("n_rows"),
         F.count_if(F.col("_counted") & F.col("v").isNull()).alias("n_null"),

@@ -7,19 +7,11 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.baseline import Baseline, reference_metrics
+from ..operators.baseline import Baseline
 from ..operators.contract import category_violations, missing_column_violations, numeric_violations, row_count_violations
-from ..operators.metrics import canonical_metrics, prediction_summary
+from ..operators.metrics import batch_facts
 from ..operators.report import batch_status
-from ..operators.rules import resolve_thresholds
-from ..operators.signals import (
-    drift_signals,
-    feature_psi,
-    performance_signals,
-    prediction_signals,
-    schema_signals,
-    target_signals,
-)
+from ..operators.signals import batch_frame, batch_signals, drift_signals, feature_psi, reference_metrics, series_psi
 from ..operators.summary import category_summary, numeric_summary, without_missing
 from ..spec import FeatureSpec
 
@@ -31,6 +23,12 @@ class Monitored:
     psi: DataFrame
     status: DataFrame
     reference: DataFrame
+    held: tuple[DataFrame, ...] = ()
+
+    def release(self) -> None:
+        """Drop the cached summaries once the run has been written."""
+        for df in self.held:
+            df.unpersist()
 
 
 def monitor(rows: DataFrame, batches: DataFrame, baseline: Baseline, spec: FeatureSpec, model_id: str,
@@ -50,7 +48,8 @@ def monitor(rows: DataFrame, batches: DataFrame, baseline: Baseline, spec: Featu
         declared = batches.withColumn("column", F.explode(F.array(*[F.lit(c) for c in spec.features])))
         missing = declared.select("batch_id", "column").join(present_columns, ["batch_id", "column"], "left_anti")
 
-    # A row per (batch, column) or (batch, level): small, read by every check below.
+    # Everything cached here has a row per batch, (batch, column) or (batch, level): small tables
+    # read by several branches below, recomputed from the rows if an executor is lost.
     numbers = without_missing(numeric_summary(rows, spec, model.bins), missing, "series").cache()
     levels = without_missing(category_summary(rows, spec), missing, "feature").cache()
 
@@ -62,22 +61,14 @@ def monitor(rows: DataFrame, batches: DataFrame, baseline: Baseline, spec: Featu
         violations = violations.unionByName(missing_column_violations(batches, spec, present_columns))
     if "n_target" in batches.columns:
         violations = violations.unionByName(row_count_violations(batches, spec))
+    violations = violations.cache()
 
     scored = rows.where("scored") if "scored" in rows.columns else rows
-    metrics = canonical_metrics(scored, ["batch_id"], spec.target, spec.prediction, n_features) \
-        .join(labelled, "batch_id", "left_semi")
-    thresholds = resolve_thresholds(numbers.select("batch_id").distinct(), rules or {})
-    psi = feature_psi(numbers, levels, model, spec)
-    signals = (
-        schema_signals(violations.join(thresholds.select("batch_id"), "batch_id", "left_semi"), thresholds)
-        .unionByName(drift_signals(psi.select("batch_id", "feature", "psi", "baseline_mean", "batch_mean"), rules or {}, spec))
-        .unionByName(prediction_signals(numbers, model, thresholds))
-        .unionByName(performance_signals(metrics, baseline, thresholds, model_id))
-        .unionByName(target_signals(numbers, model, thresholds, labelled))
-    )
-    sizes = scored.groupBy("batch_id").agg(F.count("*").alias("n_rows"))
-    status = batch_status(
-        batches.select("batch_id", "has_target").join(sizes, "batch_id", "left"), signals,
-        psi.select("batch_id", "feature", "psi"), metrics,
-        prediction_summary(scored, ["batch_id"], spec.prediction), violations, spec)
-    return Monitored(violations, signals, psi, status, reference_metrics(model))
+    series = series_psi(numbers, model)
+    psi = feature_psi(series, levels, model, spec).cache()
+    facts = batch_facts(scored, spec.target, spec.prediction, n_features)
+    frame = batch_frame(batches, facts, series, violations, model, model_id).cache()
+    signals = batch_signals(frame, rules or {}).unionByName(drift_signals(psi, rules or {}, spec)).cache()
+    status = batch_status(frame, signals, psi, spec)
+    return Monitored(violations, signals, psi, status, reference_metrics(model),
+                     (numbers, levels, violations, psi, frame, signals))

@@ -70,7 +70,7 @@ def read_lines(spark: SparkSession, batches: DataFrame, directory: str) -> DataF
     lines = (
         spark.read.option("recursiveFileLookup", "true").text(directory)
         .where(F.rlike(path, F.lit(_NAME)))
-        .where(F.btrim("value", F.lit(" \t\r﻿")) != "")
+        .where(F.btrim("value", F.lit(" \t\r\ufeff")) != "")
         .select("value", path.alias("path"), F.col("_metadata.file_block_start").alias("block_start"))
         .withColumn("line_id", F.monotonically_increasing_id())
         .withColumns({k: v for k, v in _named(F.col("path")).items() if k in ("kind", "source")})
@@ -81,7 +81,7 @@ def read_lines(spark: SparkSession, batches: DataFrame, directory: str) -> DataF
 
 def _header_is_data(kind: Column, line: Column) -> Column:
     """A target file whose first line is a number has no header; a feature file always has one."""
-    return (kind == "target") & parse_decimal(F.btrim(line, F.lit("﻿"))).isNotNull()
+    return (kind == "target") & parse_decimal(F.btrim(line, F.lit("\ufeff"))).isNotNull()
 
 
 def index_rows(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -99,7 +99,7 @@ def index_rows(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     offsets = splits.select(
         "path", "block_start", "first_id", "skip",
         F.coalesce(F.sum(F.col("n_lines") - F.col("skip")).over(earlier), F.lit(0)).alias("offset"))
-    headers = splits.where("skip = 1").select("source", "kind", "path", F.btrim("first_line", F.lit("﻿")).alias("header"))
+    headers = splits.where("skip = 1").select("source", "kind", "path", F.btrim("first_line", F.lit("\ufeff")).alias("header"))
     rows = lines.join(offsets, ["path", "block_start"]).where("line_id >= first_id + skip").withColumn(
         "row_index", F.col("offset") + F.col("line_id") - F.col("first_id") - F.col("skip"))
     return rows.select("batch_id", "kind", "source", "path", "row_index", "value"), headers
@@ -126,7 +126,7 @@ def parse_features(rows: DataFrame, headers: DataFrame, spec: FeatureSpec) -> tu
     """
     heads = headers.where("kind = 'feats'")
     width = heads.agg(F.max(F.length("header") - F.length(F.translate("header", ",", "")) + 1)).first()[0] or 1
-    names = F.transform(_fields(F.col("header"), width), lambda n: F.lower(F.btrim(n, F.lit(" \t\"﻿"))))
+    names = F.transform(_fields(F.col("header"), width), lambda n: F.lower(F.btrim(n, F.lit(" \t\"\ufeff"))))
     heads = heads.select("path", names.alias("names"))
     named = rows.where("kind = 'feats'").join(heads, "path").withColumn("_f", _fields(F.col("value"), width))
 
