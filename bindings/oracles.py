@@ -161,7 +161,7 @@ _VIEWS = {
         FROM candidate c JOIN named n USING (model, version) LEFT JOIN (SELECT * FROM alias WHERE alias = 'production') p ON p.model = c.model
         LEFT JOIN named pn ON pn.model = p.model AND pn.version = p.version)""",
     # selection
-    "contender": """SELECT p_brand, p_type AS family, round(avg(p_retailprice), 1) AS val_rmse, avg(p_size) / 50 AS val_r2,
+    "contender": """SELECT p_brand, p_type AS family, floor(max(p_retailprice) / 50) * 50 AS val_rmse, avg(p_size) / 50 AS val_r2,
             max(p_size) / 50 AS train_r2, round(stddev_pop(p_retailprice), 6) AS cv_rmse_log,
             CAST(list_position(['LARGE', 'ECONOMY', 'SMALL', 'STANDARD', 'PROMO', 'MEDIUM'], p_type) AS INTEGER) AS catalog_order
         FROM part GROUP BY p_brand, p_type""",
@@ -338,9 +338,9 @@ oracle("flat_monitoring_report", """SELECT s.batch_id, '2024-05-01 12:00:00' AS
     round(m.rmse, 3) + 0.0 AS rmse, round(m.mae, 3) + 0.0 AS mae, round(m.r2, 6) + 0.0 AS r2, round(m.mape, 6) + 0.0 AS mape,
     round(val_rmse, 3) + 0.0 AS baseline_rmse, round(val_r2, 6) + 0.0 AS baseline_r2, round(psi_max, 4) + 0.0 AS psi_max, psi_max_feature,
     n_violations, round((SELECT avg(prediction) FROM batch b WHERE b.batch_id = s.batch_id), 4) + 0.0 AS pred_mean,
-    (SELECT count_if(transition = 'NEW') FROM transition t WHERE t.batch_id = s.batch_id) AS alerts_new,
-    (SELECT count_if(transition = 'ONGOING') FROM transition t WHERE t.batch_id = s.batch_id) AS alerts_ongoing,
-    (SELECT count_if(transition = 'RESOLVED') FROM transition t WHERE t.batch_id = s.batch_id) AS alerts_resolved,
+    coalesce((SELECT count_if(transition = 'NEW') FROM transition t WHERE t.batch_id = s.batch_id), 0) AS alerts_new,
+    coalesce((SELECT count_if(transition = 'ONGOING') FROM transition t WHERE t.batch_id = s.batch_id), 0) AS alerts_ongoing,
+    coalesce((SELECT count_if(transition = 'RESOLVED') FROM transition t WHERE t.batch_id = s.batch_id), 0) AS alerts_resolved,
     diagnosis, 'price' AS model_name, '3' AS model_version, 'registry:production' AS model_source, 'train-9' AS training_run_id, 'run-2' AS run_id
     FROM (SELECT * FROM status UNION ALL SELECT '2002', true, 'ALERT', 'UNREADABLE', 0, 0, 0.0, NULL) s
     LEFT JOIN metric m USING (batch_id) CROSS JOIN val_metric""", "status", "metric", "val_metric", "transition")
@@ -437,10 +437,10 @@ oracle("histogram", f"""WITH s AS {_MIXED}, l AS (SELECT series, min(value) AS l
 # --- selection and training -----------------------------------------------------------------
 
 def _selected(metric: str, order: str, shown: str) -> str:
-    return f"""SELECT p_brand, max(CASE WHEN at = 1 THEN family END) AS winner, max(CASE WHEN at = 1 THEN {shown} END) AS winner_value,
-    max(CASE WHEN at = 2 THEN family END) AS runner_up, max(CASE WHEN at = 2 THEN {shown} END) AS runner_up_value,
-    max(CASE WHEN cv = 1 THEN family END) AS cv_winner, max(CASE WHEN at = 1 THEN family END) <> max(CASE WHEN cv = 1 THEN family END) AS rankings_disagree
-    FROM (SELECT *, row_number() OVER (PARTITION BY p_brand ORDER BY {metric} {order}, catalog_order) AS at,
+    return f"""SELECT p_brand, max(CASE WHEN pos = 1 THEN family END) AS winner, max(CASE WHEN pos = 1 THEN {shown} END) AS winner_value,
+    max(CASE WHEN pos = 2 THEN family END) AS runner_up, max(CASE WHEN pos = 2 THEN {shown} END) AS runner_up_value,
+    max(CASE WHEN cv = 1 THEN family END) AS cv_winner, max(CASE WHEN pos = 1 THEN family END) <> max(CASE WHEN cv = 1 THEN family END) AS rankings_disagree
+    FROM (SELECT *, row_number() OVER (PARTITION BY p_brand ORDER BY {metric} {order}, catalog_order) AS pos,
         row_number() OVER (PARTITION BY p_brand ORDER BY cv_rmse_log, catalog_order) AS cv FROM contender) GROUP BY p_brand"""
 
 
@@ -453,7 +453,7 @@ oracle("family_comparison", """SELECT c.p_brand, c.family, c.val_rmse, round(c.v
     FROM contender c LEFT JOIN contender f ON f.p_brand = c.p_brand AND f.family = 'STANDARD'""", "contender")
 oracle("top_trials", """SELECT family, trial, mean_test_rmse, CAST(r AS INTEGER) AS rank FROM (SELECT p_type AS family, p_partkey AS trial,
     CAST(p_size AS DOUBLE) AS mean_test_rmse, rank() OVER (PARTITION BY p_type ORDER BY p_size) AS r,
-    row_number() OVER (PARTITION BY p_type ORDER BY p_size, p_partkey) AS at FROM part) WHERE at <= 5""")
+    row_number() OVER (PARTITION BY p_type ORDER BY p_size, p_partkey) AS pos FROM part) WHERE pos <= 5""")
 oracle("hashed_split", "SELECT count(DISTINCT o_orderkey) AS n_keys, CAST(0 AS BIGINT) AS n_moved, true AS near_a_fifth FROM orders")
 oracle("linear_batch_predictions", """WITH fit AS (SELECT regr_slope(ln(1 + price), l_quantity) AS slope, regr_intercept(ln(1 + price), l_quantity) AS base
         FROM li WHERE yr <= 1998)

@@ -491,7 +491,7 @@ def _two_runs(spark, sf):
         pattern.withColumn("one", F.lit(1)), "one").drop("one")
     first = A.reconcile(A.empty_state(spark), earlier, reconciled, "run-1", NOW, MODEL)
     second = A.reconcile(pinned(first.state), now.signals, reconciled, "run-2", NOW + timedelta(days=1), MODEL)
-    return now, second
+    return now, A.Reconciled(second.state, second.transitions.cache())
 
 
 @query
@@ -709,7 +709,7 @@ FAMILIES = ["LARGE", "ECONOMY", "SMALL", "STANDARD", "PROMO", "MEDIUM"]
 def _candidates(spark: SparkSession, sf: str) -> DataFrame:
     """Part types compete within each brand; prices and sizes stand in for the metrics."""
     made = table(spark, sf, "part").groupBy("p_brand", F.col("p_type").alias("family")).agg(
-        F.round(F.avg("p_retailprice"), 1).alias("val_rmse"), (F.avg("p_size") / 50).alias("val_r2"),
+        (F.floor(F.max("p_retailprice") / 50) * 50.0).alias("val_rmse"), (F.avg("p_size") / 50).alias("val_r2"),
         (F.max("p_size") / 50).alias("train_r2"), F.round(F.stddev_pop("p_retailprice"), 6).alias("cv_rmse_log"))
     order = F.array_position(F.array(*[F.lit(f) for f in FAMILIES]), F.col("family")).cast("int")
     return selection.with_overfitting(made.withColumn("catalog_order", order))
@@ -824,8 +824,8 @@ def _ledger(spark: SparkSession, sf: str):
         F.when(key % 17 != 0, (key % 40) / 200).alias("overfitting_r2_diff"), F.col("p_size").alias("size"), brand.alias("no"))
     versions = named.select("model", "version", "run_id", "family", "val_rmse", "val_r2", F.lit("Staging").alias("stage"))
     runs = named.select("model", "run_id", "val_rmse", "val_r2", "overfitting_r2_diff",
-                        F.when(key % 7 == 0, "FAILED").otherwise("FINISHED").alias("status"),
-                        F.when(key % 5 == 0, "scoring").otherwise("training").alias("pipeline_stage"))
+                        F.when(F.col("version") % 7 == 0, "FAILED").otherwise("FINISHED").alias("status"),
+                        F.when(F.col("version") % 5 == 0, "scoring").otherwise("training").alias("pipeline_stage"))
     production = named.where("no % 3 <> 0 AND size < 25").groupBy("model").agg(F.min("version").alias("version")) \
         .select("model", F.lit("production").alias("alias"), "version")
     staging = named.where("no % 2 = 0 AND size >= 38").groupBy("model").agg(F.max("version").alias("version")) \

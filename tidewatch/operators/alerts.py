@@ -36,7 +36,8 @@ def empty_state(spark) -> DataFrame:
 
 def severity_change(previous: Column, current: Column) -> Column:
     """up, down, or null when there was no change."""
-    return F.when(rank_of(current) > rank_of(previous), "up").when(rank_of(current) < rank_of(previous), "down")
+    return (F.when(previous.isNull(), F.lit(None).cast("string"))
+            .when(rank_of(current) > rank_of(previous), "up").when(rank_of(current) < rank_of(previous), "down"))
 
 
 def firing_signals(signals: DataFrame) -> DataFrame:

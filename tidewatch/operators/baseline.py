@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..spec import FeatureSpec
 from .metrics import canonical_metrics
-from .profile import as_frequencies, bin_counts, category_frequencies, describe_series, quantile_edges, reference_series
+from .profile import category_frequencies, profile_and_bins, reference_series
 from .shaping import to_series
 
 
@@ -38,15 +38,12 @@ def build_baseline(train: DataFrame, validation: DataFrame, spec: FeatureSpec, m
     series = reference_series(train, validation, spec)
     model, created = F.lit(model_id).alias("model_id"), F.lit(at).cast("timestamp_ntz").alias("created_at")
 
-    edges = quantile_edges(series, spec.bins, spec.edge_digits, accuracy=accuracy)
-    counted = bin_counts(series, edges, spec.bins).select(
-        "series", as_frequencies(F.col("counts")).alias("freqs"))
-    bins = edges.join(F.broadcast(counted), "series")
+    profile, bins = profile_and_bins(series, spec.bins, spec.edge_digits, accuracy)
     levels = to_series(train, [], spec.categorical, "feature", "value", "string")
     freqs = category_frequencies(levels).select("feature", "category", "freq")
     metrics = metric_rows(canonical_metrics(validation, [], spec.target, spec.prediction, n_features))
     return Baseline(
-        describe_series(series, accuracy=accuracy).select(model, created, "*"),
+        profile.select(model, created, "*"),
         bins.select(model, created, "*"),
         freqs.select(model, created, "*"),
         metrics.select(model, created, "*"),

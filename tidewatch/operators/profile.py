@@ -18,25 +18,18 @@ def bin_probs(n_bins: int) -> list[float]:
     return [i / n_bins for i in range(n_bins + 1)]
 
 
-def describe_series(series: DataFrame, keys: Sequence[str] = ("series",), accuracy: int = 10_000,
-                    few_groups: bool = True) -> DataFrame:
-    """Count, mean, sample deviation, extremes and exact percentiles of (keys, value)."""
-    keys = list(keys)
+def _profile_of(series: DataFrame, keys: list[str], marks: DataFrame, probs: Sequence[float]) -> DataFrame:
     value = nan_to_null(F.col("value"))
     stats = series.groupBy(*keys).agg(
         F.count(value).alias("n"), F.avg(value).alias("mean"), F.stddev_samp(value).alias("std"),
         F.min(value).alias("min"), F.max(value).alias("max"))
-    marks = exact_quantiles(series, keys, "value", list(PROFILE_PROBS.values()), accuracy, few_groups)
-    points = [F.get("quantiles", F.lit(i)).alias(name) for i, name in enumerate(PROFILE_PROBS)]
+    points = [F.get("quantiles", F.lit(list(probs).index(p))).alias(name) for name, p in PROFILE_PROBS.items()]
     return stats.join(marks.select(*keys, *points), keys, "left")
 
 
-def quantile_edges(series: DataFrame, n_bins: int = 10, digits: int | None = None,
-                   keys: Sequence[str] = ("series",), accuracy: int = 10_000,
-                   few_groups: bool = True) -> DataFrame:
-    """Interior bin edges of every series: de-duplicated quantiles without the two extremes."""
-    marks = exact_quantiles(series, keys, "value", bin_probs(n_bins), accuracy, few_groups)
-    points = F.col("quantiles")
+def _edges_of(marks: DataFrame, keys: list[str], probs: Sequence[float], n_bins: int, digits: int | None) -> DataFrame:
+    places = [list(probs).index(p) for p in bin_probs(n_bins)]
+    points = F.array(*[F.get("quantiles", F.lit(i)) for i in places])
     if digits is not None:
         points = F.transform(points, lambda q: F.round(q, digits))
     distinct = F.array_sort(F.array_distinct(points))
@@ -45,8 +38,33 @@ def quantile_edges(series: DataFrame, n_bins: int = 10, digits: int | None = Non
     return marks.select(*keys, inner.alias("edges"))
 
 
-def bin_counts(series: DataFrame, edges: DataFrame, n_bins: int = 10,
-               keys: Sequence[str] = (), few_series: bool = True) -> DataFrame:
+def describe_series(series: DataFrame, keys: Sequence[str] = ("series",), accuracy: int = 10_000,
+                    few_groups: bool = True) -> DataFrame:
+    """Count, mean, sample deviation, extremes and exact percentiles of (keys, value)."""
+    keys, probs = list(keys), list(PROFILE_PROBS.values())
+    return _profile_of(series, keys, exact_quantiles(series, keys, "value", probs, accuracy, few_groups), probs)
+
+
+def quantile_edges(series: DataFrame, n_bins: int = 10, digits: int | None = None,
+                   keys: Sequence[str] = ("series",), accuracy: int = 10_000,
+                   few_groups: bool = True) -> DataFrame:
+    """Interior bin edges of every series: de-duplicated quantiles without the two extremes."""
+    keys, probs = list(keys), bin_probs(n_bins)
+    return _edges_of(exact_quantiles(series, keys, "value", probs, accuracy, few_groups), keys, probs, n_bins, digits)
+
+
+def profile_and_bins(series: DataFrame, n_bins: int = 10, digits: int | None = None,
+                     accuracy: int = 10_000) -> tuple[DataFrame, DataFrame]:
+    """(profile, bins) of every series from one set of quantiles."""
+    probs = sorted({*bin_probs(n_bins), *PROFILE_PROBS.values()})
+    # one row per declared series, needed by the profile, the edges and the counts
+    marks = exact_quantiles(series, ["series"], "value", probs, accuracy, few_groups=True).cache()
+    edges = _edges_of(marks, ["series"], probs, n_bins, digits)
+    return _profile_of(series, ["series"], marks, probs), _with_freqs(series, edges, n_bins)
+
+
+def bin_counts(series: DataFrame, edges: DataFrame, n_bins: int = 10, keys: Sequence[str] = (),
+               few_series: bool = True, with_edges: bool = False) -> DataFrame:
     """Rows per bin for every (keys, series), as one array; non-finite values are left out.
 
     Counts are folded per bin inside one aggregate, so the shuffle carries one row per task and
@@ -56,12 +74,13 @@ def bin_counts(series: DataFrame, edges: DataFrame, n_bins: int = 10,
     binned = (
         series.join(side, "series")
         .where(is_finite(F.col("value")))
-        .withColumn("_bin", lookup_bin("value", "edges", n_bins - 1))
+        .select(*keys, "series", F.size("edges").alias("_edges"), lookup_bin("value", "edges", n_bins - 1).alias("_bin"))
     )
     tallies = [F.expr(f"count_if(_bin = {i}) AS _b{i}") for i in range(n_bins)]
-    counted = binned.groupBy(*keys, "series").agg(F.max(F.size("edges")).alias("_edges"), *tallies)
+    counted = binned.groupBy(*keys, "series").agg(F.max("_edges").alias("_edges"), *tallies)
     counts = F.slice(F.array(*[F.col(f"_b{i}") for i in range(n_bins)]), F.lit(1), F.col("_edges") + 1)
-    return counted.select(*keys, "series", counts.alias("counts"))
+    out = counted.select(*keys, "series", counts.alias("counts"))
+    return out.join(side, "series") if with_edges else out
 
 
 def as_frequencies(counts):
@@ -72,9 +91,12 @@ def as_frequencies(counts):
 def make_bins(series: DataFrame, n_bins: int = 10, digits: int | None = None,
               accuracy: int = 10_000) -> DataFrame:
     """(series, edges, freqs): the reference histogram of every series."""
-    edges = quantile_edges(series, n_bins, digits, accuracy=accuracy)
-    freqs = bin_counts(series, edges, n_bins).select("series", as_frequencies(F.col("counts")).alias("freqs"))
-    return edges.join(F.broadcast(freqs), "series", "left")
+    return _with_freqs(series, quantile_edges(series, n_bins, digits, accuracy=accuracy), n_bins)
+
+
+def _with_freqs(series: DataFrame, edges: DataFrame, n_bins: int) -> DataFrame:
+    counts = bin_counts(series, edges, n_bins, with_edges=True)
+    return counts.select("series", "edges", as_frequencies(F.col("counts")).alias("freqs"))
 
 
 def category_frequencies(series: DataFrame, keys: Sequence[str] = ("feature",)) -> DataFrame:

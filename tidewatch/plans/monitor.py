@@ -69,6 +69,6 @@ def monitor(rows: DataFrame, batches: DataFrame, baseline: Baseline, spec: Featu
     facts = batch_facts(scored, spec.target, spec.prediction, n_features)
     frame = batch_frame(batches, facts, series, violations, model, model_id).cache()
     signals = batch_signals(frame, rules or {}).unionByName(drift_signals(psi, rules or {}, spec)).cache()
-    status = batch_status(frame, signals, psi, spec)
+    status = batch_status(frame, signals, psi, spec).cache()
     return Monitored(violations, signals, psi, status, reference_metrics(model),
-                     (numbers, levels, violations, psi, frame, signals))
+                     (numbers, levels, violations, psi, frame, signals, status))
