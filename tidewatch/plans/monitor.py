@@ -13,6 +13,7 @@ from ..operators.metrics import batch_facts
 from ..operators.report import batch_status
 from ..operators.signals import batch_frame, batch_signals, drift_signals, feature_psi, reference_metrics, series_psi
 from ..operators.summary import category_summary, numeric_summary, without_missing
+from ..session import pinned
 from ..spec import FeatureSpec
 
 
@@ -23,12 +24,6 @@ class Monitored:
     psi: DataFrame
     status: DataFrame
     reference: DataFrame
-    held: tuple[DataFrame, ...] = ()
-
-    def release(self) -> None:
-        """Drop the cached summaries once the run has been written."""
-        for df in self.held:
-            df.unpersist()
 
 
 def monitor(rows: DataFrame, batches: DataFrame, baseline: Baseline, spec: FeatureSpec, model_id: str,
@@ -48,10 +43,10 @@ def monitor(rows: DataFrame, batches: DataFrame, baseline: Baseline, spec: Featu
         declared = batches.withColumn("column", F.explode(F.array(*[F.lit(c) for c in spec.features])))
         missing = declared.select("batch_id", "column").join(present_columns, ["batch_id", "column"], "left_anti")
 
-    # Everything cached here has a row per batch, (batch, column) or (batch, level): small tables
-    # read by several branches below, recomputed from the rows if an executor is lost.
-    numbers = without_missing(numeric_summary(rows, spec, model.bins), missing, "series").cache()
-    levels = without_missing(category_summary(rows, spec), missing, "feature").cache()
+    # What is pinned here has a row per batch, (batch, column) or (batch, level). Several branches
+    # read it below: written once, it is never recomputed from the rows, and plans stay short.
+    numbers = pinned(without_missing(numeric_summary(rows, spec, model.bins), missing, "series"))
+    levels = pinned(without_missing(category_summary(rows, spec), missing, "feature"))
 
     labelled = batches.where("has_target").select("batch_id")
     violations = numeric_violations(numbers, spec, labelled)
@@ -61,14 +56,14 @@ def monitor(rows: DataFrame, batches: DataFrame, baseline: Baseline, spec: Featu
         violations = violations.unionByName(missing_column_violations(batches, spec, present_columns))
     if "n_target" in batches.columns:
         violations = violations.unionByName(row_count_violations(batches, spec))
-    violations = violations.cache()
+    violations = pinned(violations)
 
     scored = rows.where("scored") if "scored" in rows.columns else rows
     series = series_psi(numbers, model)
-    psi = feature_psi(series, levels, model, spec).cache()
+    psi = pinned(feature_psi(series, levels, model, spec))
     facts = batch_facts(scored, spec.target, spec.prediction, n_features)
-    frame = batch_frame(batches, facts, series, violations, model, model_id).cache()
-    signals = batch_signals(frame, rules or {}).unionByName(drift_signals(psi, rules or {}, spec)).cache()
-    status = batch_status(frame, signals, psi, spec).cache()
-    return Monitored(violations, signals, psi, status, reference_metrics(model),
-                     (numbers, levels, violations, psi, frame, signals, status))
+    frame = batch_frame(batches, facts, series, violations, model, model_id)
+    frame = pinned(frame)
+    signals = pinned(batch_signals(frame, rules or {}).unionByName(drift_signals(psi, rules or {}, spec)))
+    status = pinned(batch_status(frame, signals, psi, spec))
+    return Monitored(violations, signals, psi, status, reference_metrics(model))
