@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -96,20 +95,20 @@ def mean_ratio(df: DataFrame, flag: Column, column: str) -> DataFrame:
 
 
 def correlations(df: DataFrame, columns: Mapping[str, Column] | Sequence[str]) -> DataFrame:
-    """(left, right, corr) of every pair, both ways round and with itself, from one aggregate."""
+    """(left, right, corr) of every pair, from one scan; a pair uses the rows where both are known.
+
+    Each row is repeated once per column, not once per pair, and every copy is folded into k
+    correlations: one aggregate of all pairs at once would outgrow generated code.
+    """
     if not isinstance(columns, Mapping):
         columns = {c: F.col(c) for c in columns}
     names = list(columns)
     wide = df.select(*[e.cast("double").alias(n) for n, e in columns.items()])
-    pairs = list(combinations(names, 2))
-    computed = wide.agg(
-        *[F.corr(a, b).alias(f"_{i}") for i, (a, b) in enumerate(pairs)],
-        *[F.when(F.var_pop(n) > 0, 1.0).alias(f"_d{i}") for i, n in enumerate(names)])
-    cells = [F.struct(F.lit(a).alias("left"), F.lit(b).alias("right"), F.col(f"_{i}").alias("corr"))
-             for i, (x, y) in enumerate(pairs) for a, b in ((x, y), (y, x))]
-    cells += [F.struct(F.lit(n).alias("left"), F.lit(n).alias("right"), F.col(f"_d{i}").alias("corr"))
-              for i, n in enumerate(names)]
-    return computed.select(F.explode(F.array(*cells)).alias("c")).select("c.*")
+    long = wide.select("*", *[F.col(n).alias(f"_{n}") for n in names]).unpivot(
+        names, [f"_{n}" for n in names], "_left", "_x")
+    rows = long.groupBy(F.substring("_left", 2, 1_000).alias("left")).agg(*[F.corr("_x", n).alias(n) for n in names])
+    return rows.unpivot(["left"], names, "right", "corr").withColumn(
+        "corr", F.when(F.col("left") != F.col("right"), F.col("corr")).when(F.col("corr").isNotNull(), 1.0))
 
 
 def target_correlations(df: DataFrame, columns: Mapping[str, Column], target: str, bound: float = 0.5) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def build_session(app: str = "tidewatch", master: str | None = None, **conf: str) -> SparkSession:
@@ -41,3 +42,8 @@ def pinned(df: DataFrame) -> DataFrame:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
+
+
+def small_side(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
+    """Broadcast a narrow join side after counting that it is small; leave it to the optimizer if not."""
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import clean_category, decimal_convention, normalize_decimal, parse_decimal, to_double
-from ..session import pinned
+from ..session import pinned, small_side
 from ..spec import FeatureSpec
 
 # The naming convention of batch files.
@@ -75,8 +75,7 @@ def read_lines(spark: SparkSession, batches: DataFrame, directory: str) -> DataF
         .withColumn("line_id", F.monotonically_increasing_id())
         .withColumns({k: v for k, v in _named(F.col("path")).items() if k in ("kind", "source")})
     )
-    # the listing: one row per file, already held by the driver to plan the scan
-    return pinned(lines.join(F.broadcast(chosen), "source"))
+    return pinned(lines.join(small_side(chosen), "source"))
 
 
 def _header_is_data(kind: Column, line: Column) -> Column:
@@ -96,11 +95,12 @@ def index_rows(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     splits = splits.withColumn("skip", has_header.cast("int"))
     earlier = (Window.partitionBy("source").orderBy(F.length("path"), "path", "block_start")
                .rowsBetween(Window.unboundedPreceding, -1))
+    splits = pinned(splits)  # one row per split, read for the offsets and for the headers
     offsets = splits.select(
         "path", "block_start", "first_id", "skip",
         F.coalesce(F.sum(F.col("n_lines") - F.col("skip")).over(earlier), F.lit(0)).alias("offset"))
     headers = splits.where("skip = 1").select("source", "kind", "path", F.btrim("first_line", F.lit("\ufeff")).alias("header"))
-    rows = lines.join(offsets, ["path", "block_start"]).where("line_id >= first_id + skip").withColumn(
+    rows = lines.join(small_side(offsets), ["path", "block_start"]).where("line_id >= first_id + skip").withColumn(
         "row_index", F.col("offset") + F.col("line_id") - F.col("first_id") - F.col("skip"))
     return rows.select("batch_id", "kind", "source", "path", "row_index", "value"), headers
 
@@ -128,7 +128,7 @@ def parse_features(rows: DataFrame, headers: DataFrame, spec: FeatureSpec) -> tu
     width = heads.agg(F.max(F.length("header") - F.length(F.translate("header", ",", "")) + 1)).first()[0] or 1
     names = F.transform(_fields(F.col("header"), width), lambda n: F.lower(F.btrim(n, F.lit(" \t\"\ufeff"))))
     heads = heads.select("path", names.alias("names"))
-    named = rows.where("kind = 'feats'").join(heads, "path").withColumn("_f", _fields(F.col("value"), width))
+    named = rows.where("kind = 'feats'").join(small_side(heads), "path").withColumn("_f", _fields(F.col("value"), width))
 
     def pick(column: str) -> Column:
         return F.get("_f", (F.array_position("names", column) - 1).cast("int"))
