@@ -121,7 +121,8 @@ _VIEWS = {
             (SELECT max_by(feature, psi) FROM fpsi p WHERE p.batch_id = flag.batch_id) AS psi_max_feature FROM flag""",
     "transition": """SELECT batch_id, name, CASE WHEN now AND was THEN 'ONGOING' WHEN now THEN 'NEW' ELSE 'RESOLVED' END AS transition FROM (
         SELECT b.batch_id, n.name, bool_or(s.status IS NOT NULL) AS now,
-            bool_or(n.name IN (SELECT name FROM signal WHERE batch_id = '2000' AND status <> 'OK')) AS was
+            bool_or(n.name IN (SELECT name FROM signal WHERE batch_id = '2000' AND status <> 'OK')
+                    AND (b.batch_id, n.name) IN (SELECT (batch_id, name) FROM signal)) AS was
         FROM (SELECT DISTINCT batch_id FROM batch) b CROSS JOIN (SELECT DISTINCT name FROM signal) n
         LEFT JOIN (SELECT * FROM signal WHERE status <> 'OK') s ON s.batch_id = b.batch_id AND s.name = n.name GROUP BY ALL)
         WHERE now OR was""",
@@ -242,8 +243,8 @@ oracle("derived_features", """SELECT yr, round(sum(CASE WHEN l_returnflag = 'R'
     round(sum(l_quantity * l_quantity), 4) + 0.0 AS quantity_squared, round(sum(l_discount * l_discount), 4) + 0.0 AS discount_squared,
     CAST(count_if(l_quantity > 30) AS DOUBLE) AS large_order, CAST(count_if(l_discount > 0.05) AS DOUBLE) AS high_discount FROM li GROUP BY yr""", "li")
 oracle("log_target", """SELECT yr, round(avg(ln(1 + price)), 6) + 0.0 AS mean_log, round(avg(price), 4) + 0.0 AS mean_back FROM li GROUP BY yr""", "li")
-oracle("features_without_bookkeeping", """SELECT o_orderstatus, o_orderpriority, count(*) AS n,
-    round((SELECT sum(o_totalprice) FROM orders), 1) + 0.0 AS target_sum FROM orders GROUP BY ALL""")
+oracle("features_without_bookkeeping", """SELECT o_orderstatus, o_orderpriority, count(*) AS n, CAST(NULL AS DOUBLE) AS target_sum
+    FROM orders GROUP BY ALL UNION ALL SELECT NULL, NULL, NULL, round(sum(o_totalprice), 1) + 0.0 FROM orders""")
 oracle("row_errors", """SELECT batch_id, count(p) AS n_abs, count(CASE WHEN p <> 0 THEN 1 END) AS n_pct,
     round(avg(abs(p - prediction)), 4) + 0.0 AS abs_error, round(avg(CASE WHEN p <> 0 THEN abs((p - prediction) / p) * 100 END), 6) + 0.0 AS pct_error
     FROM (SELECT batch_id, prediction, CASE WHEN l_linenumber = 7 THEN 0.0 ELSE price END AS p FROM batch) GROUP BY batch_id""", "batch")

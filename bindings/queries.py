@@ -219,7 +219,7 @@ def baseline_in_use(spark, sf):
     metrics.write.partitionBy("model_id").parquet(path)
     stored = spark.read.parquet(path)
     known = Baseline(stored, stored, stored, stored)
-    picks = [io.baseline_in_use(known, spark.createDataFrame([(m,)], "model_id string")) for m in ("new", "unknown")]
+    picks = [io.baseline_in_use(known, name) for name in ("new", "unknown")]
     out = reduce(DataFrame.unionByName, picks).join(stored.select("model_id", "value"), "model_id")
     return rounded(out.withColumnRenamed("value", "val_rmse"), {"val_rmse": 4})
 
@@ -246,8 +246,8 @@ def features_without_bookkeeping(spark, sf):
     features, target = split_features_target(raw.select("id", "created_at", "o_orderstatus", "o_orderpriority", "o_totalprice"),
                                              "o_totalprice")
     counted = features.groupBy(*features.columns).agg(F.count("*").alias("n"))
-    total = target.agg(F.sum("o_totalprice").alias("target_sum")).withColumn("k", F.lit(1))
-    return rounded(counted.withColumn("k", F.lit(1)).join(total, "k").drop("k"), {"target_sum": 1})
+    total = target.agg(F.sum("o_totalprice").alias("target_sum"))
+    return rounded(counted.unionByName(total, allowMissingColumns=True), {"target_sum": 1})
 
 
 @query
@@ -483,12 +483,11 @@ def custom_threshold_sources(spark, sf):
 
 
 def _two_runs(spark, sf):
-    """A first run where every batch looked like 2000, then the real one."""
+    """A first run where every signal had the status it has in 2000, then the real one."""
     now = _monitored(spark, sf)
     reconciled = now.status.where("reconciled").select("batch_id")
-    pattern = now.signals.where("batch_id = '2000'").drop("batch_id")
-    earlier = reconciled.select("batch_id", F.explode(F.array(F.lit(1))).alias("one")).join(
-        pattern.withColumn("one", F.lit(1)), "one").drop("one")
+    pattern = now.signals.where("batch_id = '2000'").select("name", "status")
+    earlier = now.signals.drop("status").join(pattern, "name")
     first = A.reconcile(A.empty_state(spark), earlier, reconciled, "run-1", NOW, MODEL)
     second = A.reconcile(pinned(first.state), now.signals, reconciled, "run-2", NOW + timedelta(days=1), MODEL)
     return now, A.Reconciled(second.state, second.transitions.cache())
@@ -497,7 +496,7 @@ def _two_runs(spark, sf):
 @query
 def flat_monitoring_report(spark, sf):
     now, second = _two_runs(spark, sf)
-    out = flat_report(now.status, now.reference, second.transitions, MODEL, "run-2", NOW,
+    out = flat_report(now.status, now.reference, second.transitions, "run-2", NOW,
                       {"model_name": "price", "model_version": "3", "model_source": "registry:production",
                        "training_run_id": "train-9"})
     out = out.withColumn("scored_at", F.date_format("scored_at", "yyyy-MM-dd HH:mm:ss"))
@@ -522,7 +521,7 @@ def report_sinks(spark, sf):
     """Report rows appended with their JSON, the nested report and its flat view, all read back."""
     now, second = _two_runs(spark, sf)
     path = run_folder(spark, "reports")
-    flat = flat_report(now.status, now.reference, second.transitions, MODEL, "run-2", NOW)
+    flat = flat_report(now.status, now.reference, second.transitions, "run-2", NOW)
     io.append_monitoring(monitoring_rows(now.status, flat), f"{path}/monitoring")
     io.write_report(now.status, flat, path, "run-2")
     stored = spark.read.parquet(f"{path}/monitoring").select(

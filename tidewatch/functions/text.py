@@ -10,7 +10,7 @@ _BLANKS = " \t\r\n\f\u000b\u00a0\ufeff"
 # Texts that stand for a missing value.
 NULL_TEXTS = ("", "nan", "null", "none", "na")
 
-_NUMBER = r"^[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|(?i:inf|infinity))$"
+_INFINITIES = ("inf", "+inf", "-inf", "infinity", "+infinity", "-infinity")
 
 
 def normalize_decimal(raw: Column) -> Column:
@@ -31,9 +31,14 @@ def normalize_decimal(raw: Column) -> Column:
 
 
 def to_double(text: Column) -> Column:
-    """Lenient cast: null for text that is no number. Guards the `d`/`f` suffixes Spark accepts."""
+    """Lenient cast: null for text that is no number.
+
+    The cast would also take a `d` or `f` suffix and hexadecimal digits, so those letters are
+    looked for first.
+    """
     bare = F.btrim(text, F.lit(_BLANKS))
-    return F.when(F.rlike(bare, F.lit(_NUMBER)), bare.try_cast("double"))
+    plain = F.translate(bare, "dDfFxX", "") == bare
+    return F.when(plain | F.lower(bare).isin(*_INFINITIES), bare.try_cast("double"))
 
 
 def parse_decimal(raw: Column) -> Column:

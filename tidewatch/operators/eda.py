@@ -15,12 +15,12 @@ _SALTS = 16
 
 
 def shape(df: DataFrame) -> DataFrame:
-    """(column, type, n_rows, n_columns), one row per column."""
-    described = df.sparkSession.createDataFrame(
-        [(name, kind, i) for i, (name, kind) in enumerate(df.dtypes)], "column string, type string, position int")
-    size = df.agg(F.count("*").alias("n_rows")).withColumn("_one", F.lit(1))
-    return described.withColumn("_one", F.lit(1)).join(size, "_one").select(
-        "column", "type", "position", "n_rows", F.lit(len(df.columns)).alias("n_columns"))
+    """(column, type, position, n_rows, n_columns), one row per column."""
+    columns = [F.struct(F.lit(name).alias("column"), F.lit(kind).alias("type"), F.lit(i).alias("position"))
+               for i, (name, kind) in enumerate(df.dtypes)]
+    size = df.agg(F.count("*").alias("n_rows"))
+    return size.select(F.explode(F.array(*columns)).alias("c"), "n_rows").select(
+        "c.*", "n_rows", F.lit(len(df.columns)).alias("n_columns"))
 
 
 def null_counts(df: DataFrame) -> DataFrame:

@@ -62,21 +62,20 @@ def total_transitions(transitions: DataFrame) -> DataFrame:
                            _count_kind("RESOLVED").alias("resolved"))
 
 
-def flat_report(status: DataFrame, reference: DataFrame, transitions: DataFrame, model_id: str,
+def flat_report(status: DataFrame, reference: dict[str, float | None], transitions: DataFrame,
                 run_id: str, at, model: dict | None = None) -> DataFrame:
     """The tabular view, one row per batch. Training run and scoring run stay two columns.
 
-    `reference` is (model_id, val_rmse, val_r2).
+    `reference` holds the validation metrics the batches were judged by.
     """
     model = model or {}
     counts = transition_counts(transitions, status).drop("reconciled")
     return (
-        status.withColumn("model_id", F.lit(model_id))
-        .join(F.broadcast(reference), "model_id", "left").join(counts, "batch_id", "left")
+        status.join(counts, "batch_id", "left")
         .select(
             "batch_id", F.lit(at).cast("timestamp_ntz").alias("scored_at"), "n_rows", "has_target", "status",
-            "rmse", "mae", "r2", "mape", F.col("val_rmse").alias("baseline_rmse"),
-            F.col("val_r2").alias("baseline_r2"), "psi_max", "psi_max_feature", "n_violations", "pred_mean",
+            "rmse", "mae", "r2", "mape", F.lit(reference["val_rmse"]).cast("double").alias("baseline_rmse"),
+            F.lit(reference["val_r2"]).cast("double").alias("baseline_r2"), "psi_max", "psi_max_feature", "n_violations", "pred_mean",
             *[F.coalesce(c, F.lit(0)).alias(f"alerts_{c}") for c in ("new", "ongoing", "resolved")],
             F.col("diagnosis_code").alias("diagnosis"),
             *[F.lit(model.get(c)).cast("string").alias(c) for c in ("model_name", "model_version", "model_source")],
@@ -93,12 +92,12 @@ def monitoring_rows(status: DataFrame, flat: DataFrame) -> DataFrame:
 
 def consolidate(status: DataFrame, transitions: DataFrame) -> DataFrame:
     """One row: overall status, batches per status (zeros kept), alert totals."""
-    overall = status.agg(
-        label_of(F.max(rank_of(F.col("status")))).alias("overall_status"), F.count("*").alias("n_batches"),
-        *[F.count_if(F.col("status") == s).alias(f"n_{s.lower()}") for s in STATUSES])
-    totals = total_transitions(transitions)
-    key = F.lit(1).alias("_one")
-    return overall.select(key, "*").join(totals.select(key, "*"), "_one").drop("_one")
+    both = status.select("status").unionByName(transitions.select("transition"), allowMissingColumns=True)
+    return both.agg(
+        label_of(F.max(F.when(F.col("status").isNotNull(), rank_of(F.col("status"))))).alias("overall_status"),
+        F.count("status").alias("n_batches"),
+        *[F.count_if(F.col("status") == s).alias(f"n_{s.lower()}") for s in STATUSES],
+        _count_kind("NEW").alias("new"), _count_kind("ONGOING").alias("ongoing"), _count_kind("RESOLVED").alias("resolved"))
 
 
 def threshold_exceptions(signals: DataFrame) -> DataFrame:

@@ -60,16 +60,14 @@ def drift_signals(psi: DataFrame, rules, spec: FeatureSpec) -> DataFrame:
         detail.alias("detail"), F.col("sources")["psi"].alias("thresholds_source"))
 
 
-def reference_metrics(baseline: Baseline) -> DataFrame:
-    """(model_id, val_rmse, val_r2), one row per model."""
-    def metric(name: str) -> Column:
-        return F.max(F.when(F.col("metric") == name, F.col("value"))).alias(name)
-
-    return baseline.metrics.groupBy("model_id").agg(metric("val_rmse"), metric("val_r2"))
+def reference_metrics(baseline: Baseline) -> dict[str, float | None]:
+    """val_rmse and val_r2 of one model's baseline: two numbers, used as constants of the run."""
+    rows = baseline.metrics.where(F.col("metric").isin("val_rmse", "val_r2")).select("metric", "value").collect()
+    return {"val_rmse": None, "val_r2": None} | {r.metric: r.value for r in rows}
 
 
 def batch_frame(batches: DataFrame, facts: DataFrame, series: DataFrame, violations: DataFrame,
-                baseline: Baseline, model_id: str) -> DataFrame:
+                reference: dict[str, float | None]) -> DataFrame:
     """Everything the batch-level signals are judged by, one row per delivered batch.
 
     Metrics of a batch without labels are null.
@@ -87,8 +85,8 @@ def batch_frame(batches: DataFrame, facts: DataFrame, series: DataFrame, violati
     metrics = [c for c in facts.columns if c not in ("batch_id", "n_rows") and not c.startswith("pred_")]
     joined = (
         batches.select("batch_id", "has_target").join(facts, "batch_id", "left").join(special, "batch_id", "left")
-        .join(broken, "batch_id", "left").withColumn("model_id", F.lit(model_id))
-        .join(F.broadcast(reference_metrics(baseline)), "model_id", "left")
+        .join(broken, "batch_id", "left")
+        .withColumns({name: F.lit(value).cast("double") for name, value in reference.items()})
     )
     return joined.withColumns({c: F.when(F.col("has_target"), F.col(c)) for c in metrics} | {
         "n_rows": F.coalesce("n_rows", F.lit(0)).cast("bigint"),

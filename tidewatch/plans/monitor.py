@@ -23,7 +23,7 @@ class Monitored:
     signals: DataFrame
     psi: DataFrame
     status: DataFrame
-    reference: DataFrame
+    reference: dict[str, float | None]
 
 
 def monitor(rows: DataFrame, batches: DataFrame, baseline: Baseline, spec: FeatureSpec, model_id: str,
@@ -62,8 +62,9 @@ def monitor(rows: DataFrame, batches: DataFrame, baseline: Baseline, spec: Featu
     series = series_psi(numbers, model)
     psi = pinned(feature_psi(series, levels, model, spec))
     facts = batch_facts(scored, spec.target, spec.prediction, n_features)
-    frame = batch_frame(batches, facts, series, violations, model, model_id)
+    reference = reference_metrics(model)
+    frame = batch_frame(batches, facts, series, violations, reference)
     frame = pinned(frame)
     signals = pinned(batch_signals(frame, rules or {}).unionByName(drift_signals(psi, rules or {}, spec)))
     status = pinned(batch_status(frame, signals, psi, spec))
-    return Monitored(violations, signals, psi, status, reference_metrics(model))
+    return Monitored(violations, signals, psi, status, reference)

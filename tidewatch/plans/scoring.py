@@ -46,7 +46,7 @@ def score_directory(spark: SparkSession, directory: str, model: PipelineModel, b
     merged = Reconciled(pinned(merged.state), pinned(merged.transitions))
     rows = with_provenance(with_row_errors(scored.where("scored"), spec.target, spec.prediction),
                            {"model_id": model_id, **(provenance or {})}, run_id, at).drop("unparsed", "scored")
-    flat = flat_report(seen.status, seen.reference, merged.transitions, model_id, run_id, at, dict(provenance or {}))
+    flat = flat_report(seen.status, seen.reference, merged.transitions, run_id, at, dict(provenance or {}))
     return ScoredRun(rows, seen, merged, flat, consolidate(seen.status, merged.transitions))
 
 

@@ -32,25 +32,29 @@ def _named(path: Column) -> dict[str, Column]:
     }
 
 
+def batch_files(spark: SparkSession, directory: str) -> DataFrame:
+    """(path, batch_id, kind, extension, source) of every batch file, from the listing alone."""
+    try:
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(directory)
+    except AnalysisException as problem:
+        raise FileNotFoundError(f"no batch directory {directory}") from problem
+    path = F.col("_metadata.file_path")
+    return files.select(path.alias("path")).withColumns(_named(F.col("path"))).where("batch_id != ''")
+
+
 def discover_batches(spark: SparkSession, directory: str) -> DataFrame:
-    """(batch_id, features, target, has_target) from the file listing alone; no content is read.
+    """(batch_id, features, target, has_target) of a directory; no content is read.
 
     Both sides are paired by the extracted id, case-insensitively on the convention. Of several
     targets the one with the extension of the features wins, then the doubled extension.
     """
-    try:
-        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(directory)
-    except AnalysisException as problem:
-        raise FileNotFoundError(f"no batch directory {directory}") from problem
-    sources = files.select("path").withColumns(_named(F.col("path"))).where("batch_id != ''") \
-        .select("batch_id", "kind", "extension", "source").distinct()
+    sources = batch_files(spark, directory).select("batch_id", "kind", "extension", "source").distinct()
     features = sources.where("kind = 'feats'").groupBy("batch_id").agg(
         F.min_by(F.struct("source", "extension"), "source").alias("f"))
-    targets = sources.where("kind = 'target'").select("batch_id", "extension", F.col("source").alias("target"))
-    order = F.struct(F.coalesce(F.col("t.extension") != F.col("f.extension"), F.lit(True)),
-                     -F.length("t.extension"), "target")
-    paired = features.alias("a").join(
-        targets.withColumn("t", F.struct("extension")), "batch_id", "left").groupBy("batch_id").agg(
+    targets = sources.where("kind = 'target'").select(
+        "batch_id", F.col("extension").alias("t_extension"), F.col("source").alias("target"))
+    order = F.struct(F.col("t_extension") != F.col("f.extension"), -F.length("t_extension"), "target")
+    paired = features.join(targets, "batch_id", "left").groupBy("batch_id").agg(
         F.first("f").alias("f"), F.min_by("target", order).alias("target"))
     found = paired.select("batch_id", F.col("f.source").alias("features"), "target",
                           F.col("target").isNotNull().alias("has_target"))
@@ -65,17 +69,17 @@ def read_lines(spark: SparkSession, batches: DataFrame, directory: str) -> DataF
     Which bytes form a split depends on the cluster, so the lines are pinned before positions are
     counted: later stages must not see another cut.
     """
-    chosen = batches.select("batch_id", F.explode(F.array_compact(F.array("features", "target"))).alias("source"))
+    sources = batches.select(F.explode(F.array_compact(F.array("features", "target"))).alias("source"))
+    chosen = batch_files(spark, directory).join(sources, "source", "left_semi").select("path", "batch_id", "kind", "source")
     path = F.col("_metadata.file_path")
     lines = (
         spark.read.option("recursiveFileLookup", "true").text(directory)
-        .where(F.rlike(path, F.lit(_NAME)))
+        .where(F.contains(F.lower(path), F.lit("/dataset_")))
         .where(F.btrim("value", F.lit(" \t\r\ufeff")) != "")
         .select("value", path.alias("path"), F.col("_metadata.file_block_start").alias("block_start"))
         .withColumn("line_id", F.monotonically_increasing_id())
-        .withColumns({k: v for k, v in _named(F.col("path")).items() if k in ("kind", "source")})
     )
-    return pinned(lines.join(small_side(chosen), "source"))
+    return pinned(lines.join(small_side(chosen), "path"))
 
 
 def _header_is_data(kind: Column, line: Column) -> Column:
@@ -136,11 +140,12 @@ def parse_features(rows: DataFrame, headers: DataFrame, spec: FeatureSpec) -> tu
     text = {c: pick(c) for c in spec.features}
     raw = named.select("batch_id", "row_index", *[e.alias(c) for c, e in text.items()])
     numbers = {c: normalize_decimal(F.col(c)) for c in spec.numeric}
-    clean = raw.withColumns({c: e for c, e in numbers.items()})
-    failed = [F.when(F.col(c).isNotNull() & to_double(F.col(c)).isNull(), F.lit(c)) for c in spec.numeric]
-    typed = clean.withColumn(
-        "unparsed", F.array_compact(F.array(*failed)) if failed else F.array().cast("array<string>")
-    ).withColumns({c: to_double(F.col(c)) for c in spec.numeric} | {c: clean_category(F.col(c)) for c in spec.categorical})
+    clean = raw.withColumns(numbers).withColumns({f"_n_{c}": to_double(F.col(c)) for c in spec.numeric})
+    failed = [F.when(F.col(c).isNotNull() & F.col(f"_n_{c}").isNull(), F.lit(c)) for c in spec.numeric]
+    typed = clean.select(
+        "batch_id", "row_index", *[F.col(f"_n_{c}").alias(c) for c in spec.numeric],
+        *[clean_category(F.col(c)).alias(c) for c in spec.categorical],
+        (F.array_compact(F.array(*failed)) if failed else F.array().cast("array<string>")).alias("unparsed"))
     present = rows.where("kind = 'feats'").select("batch_id", "path").distinct().join(heads, "path") \
         .select("batch_id", F.explode("names").alias("column")).distinct()
     return typed, present

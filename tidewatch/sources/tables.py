@@ -55,19 +55,13 @@ def load_baseline(spark: SparkSession, path: str) -> Baseline:
     return Baseline(*[table(part) for part in _BASELINE_PARTS])
 
 
-def baseline_in_use(baselines: Baseline, model: DataFrame) -> DataFrame:
-    """(model_id, from_model) to measure with: the resolved model's own, else the newest there is.
-
-    `model` is one row with model_id.
-    """
-    known = baselines.metrics.select("model_id", "created_at").distinct()
-    newest = known.agg(F.max_by("model_id", F.struct("created_at", "model_id")).alias("newest"))
-    own = model.select("model_id").join(known.select("model_id").distinct().withColumn("own", F.lit(True)), "model_id", "left")
-    key = F.lit(1).alias("_one")
-    return own.select(key, "*").join(newest.select(key, "*"), "_one").select(
-        F.col("model_id").alias("requested"),
-        F.when(F.col("own"), F.col("model_id")).otherwise(F.col("newest")).alias("model_id"),
-        F.coalesce("own", F.lit(False)).alias("exact"))
+def baseline_in_use(baselines: Baseline, model_id: str) -> DataFrame:
+    """(requested, model_id, exact): the model's own baseline, else the newest one there is."""
+    own = F.coalesce(F.bool_or(F.col("model_id") == model_id), F.lit(False))
+    newest = F.max_by("model_id", F.struct("created_at", "model_id"))
+    return baselines.metrics.agg(own.alias("exact"), newest.alias("newest")).select(
+        F.lit(model_id).alias("requested"), F.when(F.col("exact"), F.lit(model_id)).otherwise(F.col("newest")).alias("model_id"),
+        "exact")
 
 
 def append_predictions(scored: DataFrame, path: str) -> None:
