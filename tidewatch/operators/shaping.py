@@ -30,7 +30,7 @@ def global_position(df: DataFrame, order: Sequence[str], name: str) -> DataFrame
     """
     from ..session import pinned
 
-    placed = pinned(df.orderBy(*order)).withColumn("_part", F.spark_partition_id())
+    placed = pinned(df.orderBy(*order).withColumn("_part", F.spark_partition_id()))
     sizes = placed.groupBy("_part").agg(F.count("*").alias("_size"))
     earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
     offsets = sizes.select("_part", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_offset"))

@@ -39,7 +39,8 @@ def score_directory(spark: SparkSession, directory: str, model: PipelineModel, b
     readable row becomes an ALERT that resolves nothing.
     """
     loaded = load_batches(spark, directory, spec)
-    scored = predict(model, loaded.rows, spec)
+    # the join by position and the model run once; monitoring and the sinks read columns of the result
+    scored = pinned(predict(model, loaded.rows, spec))
     seen = monitor(scored, loaded.batches, baseline, spec, model_id, dict(rules or {}), n_features, loaded.columns)
     reconciled = seen.status.where("reconciled").select("batch_id")
     merged = reconcile(state, seen.signals, reconciled, run_id, at, model_id)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,12 +37,14 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def pinned(df: DataFrame) -> DataFrame:
-    """Write the rows once to the shared folder, so later stages all see the same ones."""
-    spark = df.sparkSession
-    folder = shared_dir(spark)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    """Write the rows once to the shared folder and read them back.
+
+    Later stages then see the same rows whatever executors are lost, plans start anew from a scan,
+    and the columns can still be pruned.
+    """
+    path = f"{shared_dir(df.sparkSession)}/pinned-{uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def small_side(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
