@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import is_finite, lookup_bin, nan_to_null
+from ..session import pinned
 from ..spec import PREDICTION_SERIES, TARGET_SERIES, FeatureSpec
 from .quantiles import exact_quantiles
 
@@ -58,7 +59,7 @@ def profile_and_bins(series: DataFrame, n_bins: int = 10, digits: int | None = N
     """(profile, bins) of every series from one set of quantiles."""
     probs = sorted({*bin_probs(n_bins), *PROFILE_PROBS.values()})
     # one row per declared series, needed by the profile, the edges and the counts
-    marks = exact_quantiles(series, ["series"], "value", probs, accuracy, few_groups=True).cache()
+    marks = pinned(exact_quantiles(series, ["series"], "value", probs, accuracy, few_groups=True))
     edges = _edges_of(marks, ["series"], probs, n_bins, digits)
     return _profile_of(series, ["series"], marks, probs), _with_freqs(series, edges, n_bins)
 

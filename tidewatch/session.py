@@ -28,7 +28,8 @@ def build_session(app: str = "tidewatch", master: str | None = None, **conf: str
 
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's checkpoint folder; a local one only where none is set (tests)."""
-    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    configured = (spark.conf.get("spark.checkpoint.dir", None)
+                  or spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.sparkContext.getCheckpointDir())
     if configured:
         return configured
     fallback = tempfile.mkdtemp(prefix="tidewatch-")
@@ -49,4 +50,4 @@ def pinned(df: DataFrame) -> DataFrame:
 
 def small_side(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
     """Broadcast a narrow join side after counting that it is small; leave it to the optimizer if not."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    return F.broadcast(df) if df.count() <= max_rows else df
