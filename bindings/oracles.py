@@ -385,7 +385,7 @@ oracle("table_shape", " UNION ALL ".join(
 _FEW = "l_returnflag, l_linestatus, l_linenumber, l_quantity, l_discount, l_tax"
 oracle("duplicate_rows", f"""SELECT count(*) AS n_rows, count(DISTINCT ({_FEW})) AS n_distinct, count(*) - count(DISTINCT ({_FEW})) AS n_duplicates FROM lineitem""")
 oracle("duplicate_copies", f"""SELECT l_returnflag, n_copies, CAST(sum(n_copies) AS BIGINT) AS n_rows, sum(l_quantity * n_copies) AS quantity FROM (
-    SELECT {_FEW}, count(*) AS n_copies FROM lineitem WHERE l_returnflag <> 'N' GROUP BY ALL HAVING count(*) > 1) GROUP BY l_returnflag, n_copies""")
+    SELECT {_FEW}, count(*) AS n_copies FROM lineitem GROUP BY ALL HAVING count(*) > 1) GROUP BY l_returnflag, n_copies""")
 oracle("null_counts", """SELECT unnest(['batch_id', 'o_custkey', 'o_totalprice', 'o_orderpriority', 'o_orderstatus']) AS "column",
     unnest([0, 0, count_if(o_orderkey % 97 = 0), count_if(o_orderkey % 89 = 0), 0]) AS n_null FROM orders""")
 _MELTED = """(SELECT 'l_quantity' AS series, l_quantity AS value FROM lineitem UNION ALL SELECT 'l_extendedprice', l_extendedprice FROM lineitem
@@ -416,7 +416,7 @@ _ENCODED = {
 _WITH_PRICE = _ENCODED | {"price": "l_extendedprice"}
 oracle("correlation_matrix", " UNION ALL ".join(
     f"SELECT '{a}' AS \"left\", '{b}' AS \"right\", {'1.0' if a == b else f'round(corr({x}, {y}), 6) + 0.0'} AS corr FROM lineitem"
-    + (" LIMIT 1" if False else "") for a, x in _WITH_PRICE.items() for b, y in _WITH_PRICE.items() if a != b)
+    for a, x in _WITH_PRICE.items() for b, y in _WITH_PRICE.items() if a != b)
     + " UNION ALL " + " UNION ALL ".join(f"SELECT '{a}', '{a}', CAST(1.0 AS DOUBLE)" for a in _WITH_PRICE))
 oracle("correlation_ranking", "SELECT feature, round(c, 6) + 0.0 AS corr, c > 0.5 AS strong, CAST(row_number() OVER (ORDER BY c DESC, feature) AS INTEGER) AS position FROM ("
     + " UNION ALL ".join(f"SELECT '{a}' AS feature, corr({x}, l_quantity) AS c FROM lineitem" for a, x in _ENCODED.items() if a != "l_quantity") + ")")

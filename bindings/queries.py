@@ -614,7 +614,7 @@ def duplicate_rows(spark, sf):
 
 @query
 def duplicate_copies(spark, sf):
-    copies = eda.all_copies(_few_columns(spark, sf).where("l_returnflag <> 'N'"))
+    copies = eda.all_copies(_few_columns(spark, sf))
     return copies.groupBy("l_returnflag", "n_copies").agg(F.count("*").alias("n_rows"), F.sum("l_quantity").alias("quantity"))
 
 
