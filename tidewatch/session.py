@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,14 +26,9 @@ def build_session(app: str = "tidewatch", master: str | None = None, **conf: str
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; a local one only where none is set (tests)."""
-    configured = (spark.conf.get("spark.checkpoint.dir", None)
-                  or spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.sparkContext.getCheckpointDir())
-    if configured:
-        return configured
-    fallback = tempfile.mkdtemp(prefix="tidewatch-")
-    spark.sparkContext.setCheckpointDir(fallback)
-    return fallback
+    """The folder all executors share: the cluster's checkpoint folder, or the warehouse where none is set."""
+    return (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+            or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_intermediate")
 
 
 def pinned(df: DataFrame) -> DataFrame:
