@@ -1 +1,10 @@
-"""Training-data operators: deduplication, extraction, scoring, archives, filters, mixing, decontamination."""
+"""Training-data operators: deduplication, extraction, scoring, archives, filters, mixing, decontamination.
+
+Functions of this package travel to the executors by value, so these need no copy of it.
+"""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

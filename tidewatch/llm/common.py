@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import pickle
+from typing import Any
+
+from pyspark import Broadcast, cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,3 +58,12 @@ def checked_broadcast(df: DataFrame, row_bytes: int, limit: int = 64 << 20) -> D
     Beyond the limit the plan is the ordinary shuffled join, with the same result.
     """
     return F.broadcast(df) if df.count() * row_bytes <= limit else df
+
+
+def share(spark: SparkSession, value: Any) -> Broadcast:
+    """Broadcast a value whose classes the executors need not be able to import; `opened` gives it back in a task."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+
+def opened(shared: Broadcast) -> Any:
+    return pickle.loads(shared.value)

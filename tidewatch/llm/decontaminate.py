@@ -13,6 +13,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewatch.llm.common import opened, share
+
 # fixed value: a word is made of digits, ASCII letters and all characters beyond ASCII
 WORD_BYTES = bytes(b if b >= 0x80 or chr(b).isalnum() else 0x20 for b in range(256))
 
@@ -86,7 +88,7 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 def _scan(shared):
     def scan(batches):
-        windows = shared.value
+        windows = opened(shared)
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1).cast(pa.binary())
             n_words, spans, items = [], [], []
@@ -126,9 +128,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", doc
     A null or empty text has no words and no spans; an item without words has no windows; items without an id are left
     out. Equal items are all reported. Rows that repeat a doc_id must have one text; an empty table gives no rows.
     """
-    sc = docs.sparkSession.sparkContext
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("body"))
-    scans = [rows.mapInArrow(_scan(sc.broadcast(WindowSet(block, width))), SCAN_SCHEMA)
+    scans = [rows.mapInArrow(_scan(share(docs.sparkSession, WindowSet(block, width))), SCAN_SCHEMA)
              for block in _item_blocks(benchmark, bench_text, item_id, width, block_windows)]
     if len(scans) == 1:
         return scans[0]

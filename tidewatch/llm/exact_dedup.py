@@ -24,7 +24,7 @@ from tidewatch.session import pinned
 
 RUN_SCHEMA = "owner int, sender long, n long, coded binary, repeated binary"
 REPLY_SCHEMA = "owner int, sender long, marks binary"
-_HEAD = struct.Struct("<QB")
+_HEAD = "<QB"  # number of gaps, width of a remainder
 
 
 def golomb_encode(gaps: np.ndarray) -> bytes:
@@ -40,12 +40,12 @@ def golomb_encode(gaps: np.ndarray) -> bytes:
     unary[np.cumsum(quotients + 1) - 1] = 1
     shifts = np.arange(width, dtype=np.uint64)
     rest = ((gaps[:, None] >> shifts) & np.uint64(1)).astype(np.uint8).ravel()
-    return _HEAD.pack(n, width) + np.packbits(unary).tobytes() + np.packbits(rest).tobytes()
+    return struct.pack(_HEAD, n, width) + np.packbits(unary).tobytes() + np.packbits(rest).tobytes()
 
 
 def golomb_decode(coded: bytes) -> np.ndarray:
-    n, width = _HEAD.unpack_from(coded)
-    body = np.frombuffer(coded, dtype=np.uint8, offset=_HEAD.size)
+    n, width = struct.unpack_from(_HEAD, coded)
+    body = np.frombuffer(coded, dtype=np.uint8, offset=struct.calcsize(_HEAD))
     rest_bytes = (n * width + 7) // 8
     ones = np.flatnonzero(np.unpackbits(body[:len(body) - rest_bytes]))[:n]
     quotients = np.diff(ones, prepend=-1) - 1

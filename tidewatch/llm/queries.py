@@ -4,17 +4,43 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidewatch.llm.brown import scored
 from tidewatch.llm.common import read_table
 from tidewatch.llm.decontaminate import contamination, digest_columns
 from tidewatch.llm.exact_dedup import exact_duplicates
+from tidewatch.llm.extract import extracted
+from tidewatch.llm.language import identified
+from tidewatch.llm.near_dedup import near_duplicates
+from tidewatch.llm.warc import archived
 
 
 def op1_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return exact_duplicates(read_table(spark, sf, "documents"))
 
 
+def op2_html_extraction(spark: SparkSession, sf: str) -> DataFrame:
+    return extracted(read_table(spark, sf, "pages"))
+
+
+def op3_lm_scoring(spark: SparkSession, sf: str) -> DataFrame:
+    return scored(read_table(spark, sf, "documents"))
+
+
+def op4_warc(spark: SparkSession, sf: str) -> DataFrame:
+    return archived(read_table(spark, sf, "pages"))
+
+
+def op5_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return near_duplicates(read_table(spark, sf, "documents"), width=3, percent=85)
+
+
+def op7_language_id(spark: SparkSession, sf: str) -> DataFrame:
+    return identified(read_table(spark, sf, "documents"))
+
+
 def op10_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
     return digest_columns(contamination(read_table(spark, sf, "documents"), read_table(spark, sf, "benchmark")))
 
 
-QUERIES = {query.__name__: query for query in (op1_exact_dedup, op10_decontaminate)}
+QUERIES = {query.__name__: query for query in (
+    op1_exact_dedup, op2_html_extraction, op3_lm_scoring, op4_warc, op5_near_dedup, op7_language_id, op10_decontaminate)}
