@@ -9,6 +9,8 @@ from pyspark import Broadcast, cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewatch.session import pinned
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 # one row of the bit filter holds as many bits as Spark's bitmap_construct_agg fills
@@ -42,14 +44,29 @@ def bit_filter(keys: DataFrame, key: str, bits: int) -> DataFrame:
             .groupBy("page").agg(F.bitmap_construct_agg("slot").alias("bitmap")))
 
 
-def passing(df: DataFrame, key: Column, kept: DataFrame, bits: int) -> DataFrame:
-    """The rows of df that pass a `bit_filter`; a broadcast of at most bits / 8 bytes, and no shuffle of df."""
+def _marked(df: DataFrame, key: Column, kept: DataFrame, bits: int) -> DataFrame:
+    """df with `_filter_hit`: whether the row's bit is set; a broadcast of at most bits / 8 bytes, and no shuffle of df."""
     slot = F.pmod(key, F.lit(bits))
-    pages = F.broadcast(kept.select(F.col("page").alias("_page"), F.col("bitmap").alias("_bitmap")))
-    marked = df.withColumns({"_slot": slot, "_at": F.floor(slot / PAGE_BITS)})
-    byte = F.conv(F.hex(F.expr("substring(_bitmap, int((_slot % 32768) div 8) + 1, 1)")), 16, 10).cast("int")
-    hit = F.pmod(F.floor(byte / F.expr("power(2, _slot % 8)")), F.lit(2)) == 1
-    return marked.join(pages, F.col("_at") == F.col("_page")).where(hit).drop("_slot", "_at", "_page", "_bitmap")
+    pages = F.broadcast(kept.select(F.col("page").alias("_filter_page"), F.col("bitmap").alias("_filter_bitmap")))
+    marked = df.withColumns({"_filter_slot": slot, "_filter_at": F.floor(slot / PAGE_BITS)})
+    byte = F.conv(F.hex(F.expr(f"substring(_filter_bitmap, int((_filter_slot % {PAGE_BITS}) div 8) + 1, 1)")), 16, 10).cast("int")
+    hit = F.pmod(F.floor(byte / F.expr("power(2, _filter_slot % 8)")), F.lit(2)) == 1
+    return marked.join(pages, F.col("_filter_at") == F.col("_filter_page"), "left").withColumn(
+        "_filter_hit", F.coalesce(hit, F.lit(False))).drop("_filter_slot", "_filter_at", "_filter_page", "_filter_bitmap")
+
+
+def passing(df: DataFrame, key: Column, kept: DataFrame, bits: int) -> DataFrame:
+    """The rows of df that pass a `bit_filter`."""
+    return _marked(df, key, kept, bits).where("_filter_hit").drop("_filter_hit")
+
+
+def dropping(df: DataFrame, ids: DataFrame, key: str, bits: int = 1 << 26) -> DataFrame:
+    """The rows of df whose key is not among the written table `ids`; rows with a null key stay.
+
+    Only rows that a bit filter of the ids does not clear are shuffled for the exact anti join.
+    """
+    marked = _marked(df, F.col(key), pinned(bit_filter(ids, key, bits)), bits)
+    return marked.where("not _filter_hit").unionByName(marked.where("_filter_hit").join(ids, key, "left_anti")).drop("_filter_hit")
 
 
 def checked_broadcast(df: DataFrame, row_bytes: int, limit: int = 64 << 20) -> DataFrame:

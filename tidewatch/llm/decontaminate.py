@@ -8,6 +8,8 @@ are merged, so what is broadcast at once has a fixed bound.
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -160,7 +162,29 @@ def digest_columns(found: DataFrame) -> DataFrame:
                         F.sha2(as_text, 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"))
 
 
-def without_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """The rows of docs in which no test window occurs, with all their columns."""
-    hit = contamination(docs, benchmark, **options).where(F.size("spans") > 0).select("doc_id")
-    return docs.join(hit, "doc_id", "left_anti")
+def _clean(shared, at: int):
+    def clean(batches):
+        windows = opened(shared)
+        for batch in batches:
+            texts = batch.column(at).cast(pa.binary())
+            yield batch.filter(pa.array([not windows.find(words_of(t.as_py()))[0] for t in texts], pa.bool_()))
+    return clean
+
+
+def without_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", bench_text: str = "text",
+                         item_id: str = "item_id", width: int = 10, block_windows: int = 2_000_000) -> DataFrame:
+    """The rows of docs in which no test window occurs, with all their columns; one pass, whatever the blocks."""
+    for block in _item_blocks(benchmark, bench_text, item_id, width, block_windows):
+        shared = share(docs.sparkSession, WindowSet(block, width))
+        docs = docs.mapInArrow(_clean(shared, docs.columns.index(text)), docs.schema)
+    return docs
+
+
+def without_spans(text: str, spans: list[tuple[int, int]]) -> str:
+    """The text without the words of the given spans (as `contamination` counts words) and what stands between them."""
+    pieces, at = [], 0
+    words = list(re.finditer("[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+", text))
+    for start, end in spans:
+        pieces.append(text[at:words[start].start()])
+        at = words[end - 1].end()
+    return "".join(pieces) + text[at:]

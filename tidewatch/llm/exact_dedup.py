@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import ascii_lower, bit_filter, passing
+from tidewatch.llm.common import ascii_lower, bit_filter, dropping, passing
 from tidewatch.session import pinned
 
 RUN_SCHEMA = "owner int, sender long, n long, coded binary, repeated binary"
@@ -135,7 +135,7 @@ def exact_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id"
         F.col("doc_id").eqNullSafe(keep).alias("kept"), F.lower(F.hex("digest")).alias("text_sha256"))
 
 
-def without_duplicates(docs: DataFrame, **options) -> DataFrame:
+def without_duplicates(docs: DataFrame, doc_id: str = "doc_id", **options) -> DataFrame:
     """The rows of docs that `exact_duplicates` keeps, with all their columns."""
-    dropped = exact_duplicates(docs, **options).where("not kept").select("doc_id")
-    return docs.join(dropped, "doc_id", "left_anti")
+    dropped = exact_duplicates(docs, doc_id=doc_id, **options).where("not kept").select(F.col("doc_id").alias(doc_id))
+    return dropping(docs, pinned(dropped.distinct()), doc_id)

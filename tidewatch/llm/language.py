@@ -137,11 +137,15 @@ def identified(docs: DataFrame, fold: int = 3, held_out: int = 1, text: str = "t
         "doc_id", (remainder("doc_id", fold) == held_out).alias("held_out"), "lang_pred", "score", "margin", "rejected")
 
 
-def without_rejected(docs: DataFrame, options: Options = Options()) -> DataFrame:
-    """The rows of docs whose language is recognised, with all their columns.
+def without_rejected(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "doc_id",
+                     options: Options = Options()) -> DataFrame:
+    """The rows of docs whose language is recognised, with all their columns; learns from all labelled rows."""
+    learned = dictionaries(docs, F.lit(True), text, lang, doc_id, options)
+    shared, at = share(docs.sparkSession, (learned, options)), docs.columns.index(text)
 
-    Learns from all labelled rows. Only the ids of rejected rows are joined back.
-    """
-    learned = dictionaries(docs, F.lit(True), "text", "lang", "doc_id", options)
-    rejected = predicted(docs, learned, options=options).where("rejected").select("doc_id")
-    return docs.join(rejected, "doc_id", "left_anti")
+    def keep(batches):
+        compressors = Compressors(*opened(shared))
+        for batch in batches:
+            yield batch.filter(pa.array([not compressors.predict(t.as_py())[3] for t in batch.column(at)], pa.bool_()))
+
+    return docs.mapInArrow(keep, docs.schema)

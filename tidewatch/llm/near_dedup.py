@@ -20,8 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import bit_filter, passing
-from tidewatch.llm.components import components
+from tidewatch.llm.common import bit_filter, dropping, passing
+from tidewatch.llm.components import components, merged_components
 from tidewatch.session import pinned
 
 SKETCH_SCHEMA = "doc_id long, n long, key binary, bands array<long>, tones binary"
@@ -172,55 +172,64 @@ class NearDuplicates:
         large = sized.where(f"least(n_a, n_b) >= {bins}").select("a", "b", "tones_a", "tones_b")
         return small.unionByName(large.mapInArrow(_alike(least), "a long, b long"))
 
-    def _confirmed(self, pairs: DataFrame) -> DataFrame:
-        """The candidates that are links on their full sets. Only texts of candidates are read into sets and shuffled."""
-        candidates = pinned(self._candidates(pairs))
-        ids = candidates.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    def _sets_of(self, ids: DataFrame) -> DataFrame:
+        """Shingle sets of a written table of ids. Only texts of these are read into sets and shuffled."""
         wanted = pinned(bit_filter(ids, "doc_id", self.filter_bits))
         texts = passing(self.docs, F.col("doc_id"), wanted, self.filter_bits)
-        sets = pinned(texts.join(ids, "doc_id", "left_semi").select("doc_id", "body").mapInArrow(_sets(self.width), SET_SCHEMA))
+        return pinned(texts.join(ids, "doc_id", "left_semi").select("doc_id", "body").mapInArrow(_sets(self.width), SET_SCHEMA))
+
+    def _confirmed(self, candidates: DataFrame, sets: DataFrame) -> DataFrame:
+        """The candidates that are links on their full sets."""
         a, b = (sets.select(F.col("doc_id").alias(x), F.col("shingles").alias(f"set_{x}")) for x in "ab")
         both = candidates.join(a, "a").join(b, "b").select("a", "b", "set_a", "set_b")
         return pinned(both.mapInArrow(_linked(self.percent), "a long, b long"))
 
-    def links(self) -> tuple[DataFrame, DataFrame]:
-        """(confirmed links between classes, component of each linked class)"""
+    def components(self) -> DataFrame:
+        """(node, component) of every class that is linked with another one."""
         mask = F.pmod(F.xxhash64("band"), F.lit((1 << 62) - 1))
         sizes = (self._members().groupBy("band", "value")
                  .agg(F.min(F.col("rep").bitwiseXOR(mask)).alias("nearest"), F.count("*").alias("n"))
                  .where("n > 1").select("band", "value", F.col("nearest").bitwiseXOR(mask).alias("centre"), "n"))
         full = pinned(self._members().join(sizes, ["band", "value"]))
         known = pinned(_pairs(full.select(F.col("rep").alias("x"), F.col("centre").alias("y"))))
-        links = self._confirmed(known)
-        found = pinned(components(links))
-        # a pair of a two-member bucket is a star
-        rest = full.where("n > 2").select("band", "value", "rep")
-        seen = full.where("n > 2").select("band", "value", F.col("centre").alias("rep")).distinct()
-        at_once = 1
+        candidates = pinned(self._candidates(known))
+        ids = pinned(candidates.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
+        found = pinned(components(self._confirmed(candidates, self._sets_of(ids))))
+        return self._finished(full.where("n > 2"), known, found)
+
+    def _finished(self, full: DataFrame, known: DataFrame, found: DataFrame) -> DataFrame:
+        """Take up the buckets that hold more than one component, until no pair from two components is left unseen.
+
+        A bucket of two members is a star, so `full` has larger ones only. Sets of all members of open buckets are made
+        once.
+        """
+        rest, sets, at_once = full.select("band", "value", "rep"), None, 4
+        seen = full.select("band", "value", F.col("centre").alias("rep")).distinct()
         while True:
             labelled = rest.join(found.withColumnsRenamed({"node": "rep", "component": "of"}), "rep", "left").select(
                 "band", "value", "rep", F.coalesce("of", "rep").alias("of"))
-            sizes = (labelled.groupBy("band", "value", "of").agg(F.count("*").alias("m"))
+            mains = (labelled.groupBy("band", "value", "of").agg(F.count("*").alias("m"))
                      .groupBy("band", "value").agg(F.max_by("of", "m").alias("main"), F.count("*").alias("parts"))
                      .where("parts > 1"))
-            rest = pinned(labelled.join(sizes.select("band", "value", "main"), ["band", "value"]))
+            rest = pinned(labelled.join(mains.select("band", "value", "main"), ["band", "value"]))
             fringe = rest.where("of <> main").join(seen, ["band", "value", "rep"], "left_anti")
             order = Window.partitionBy("band", "value").orderBy(F.xxhash64("rep", "band"), "rep")
             centres = pinned(fringe.withColumn("k", F.row_number().over(order)).where(F.col("k") <= at_once)
                              .select("band", "value", F.col("rep").alias("centre"), F.col("of").alias("centre_of")))
             if centres.isEmpty():
-                return links, found
+                return found
+            if sets is None:
+                sets = self._sets_of(pinned(rest.select(F.col("rep").alias("doc_id")).distinct()))
             met = rest.join(centres, ["band", "value"]).where("of <> centre_of")
             new = pinned(_pairs(met.select(F.col("rep").alias("x"), F.col("centre").alias("y")))
                          .join(known, ["a", "b"], "left_anti"))
-            more = self._confirmed(new)
+            more = self._confirmed(self._candidates(new), sets)
+            if not more.isEmpty():
+                found = merged_components(found, more)
             known = known.unionByName(new)
             seen = seen.unionByName(centres.select("band", "value", F.col("centre").alias("rep")))
-            if not more.isEmpty():
-                links = links.unionByName(more)
-                found = pinned(components(links))
             rest = rest.select("band", "value", "rep")
-            at_once *= 4
+            at_once *= 8
 
 
 def _pairs(edges: DataFrame) -> DataFrame:
@@ -238,7 +247,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     """
     rows_in = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("body"))
     run = NearDuplicates(rows_in, width, percent, bands, rows, filter_bits)
-    _, found = run.links()
+    found = run.components()
     labels = run.classes.join(found, F.col("rep") == F.col("node"), "left").select(
         "key", F.coalesce("component", "rep").alias("component"))
     return (run.sketches.select("doc_id", "n", "key").join(labels, "key", "left")
@@ -247,7 +256,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
             .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))))
 
 
-def without_near_duplicates(docs: DataFrame, **options) -> DataFrame:
+def without_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", **options) -> DataFrame:
     """One document of each group of near-duplicates, the one with the smallest doc_id, with all its columns."""
-    dropped = near_duplicates(docs, **options).where("not kept").select("doc_id")
-    return docs.join(dropped, "doc_id", "left_anti")
+    dropped = near_duplicates(docs, doc_id=doc_id, **options).where("not kept").select(F.col("doc_id").alias(doc_id))
+    return dropping(docs, pinned(dropped.distinct()), doc_id)

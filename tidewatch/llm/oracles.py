@@ -30,4 +30,33 @@ ORACLES = {
         SELECT doc_id, len(w) AS n_words, coalesce(covered.n, 0) AS n_hit, coalesce(items.n, 0) AS n_items,
                sha256(coalesce(ids, '')) AS items_sha256, coalesce(covered.n, 0) > 0 AS contaminated
         FROM doc LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)""",
+    "op8_url_filters": r"""
+        WITH url AS (
+            SELECT page_id, url, lower(regexp_extract(coalesce(url, ''), '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]*)', 1)) AS host,
+                   list_filter(string_split(regexp_extract(coalesce(url, ''), '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1), '/'),
+                               lambda s: s <> '') AS path,
+                   CAST('0x' || md5(page_id || ':fetched')[1:8] AS BIGINT) % 31622400 AS fetched,
+                   CAST('0x' || md5(page_id || ':listed')[1:8] AS BIGINT) % 31622400 AS listed,
+                   CAST('0x' || md5(page_id || ':kind')[1:8] AS BIGINT) % 4 AS kind,
+                   CAST('0x' || md5(page_id || ':act')[1:8] AS BIGINT) % 3 AS act
+            FROM pages),
+        list AS (
+            SELECT page_id AS entry_id, listed AS valid_from, ['block', 'allow', 'remove'][act + 1] AS action,
+                   CASE WHEN kind = 0 OR len(path) = 0 THEN host WHEN kind = 1 THEN regexp_replace(host, '^[^.]*\.', '')
+                        ELSE host || '/' || array_to_string(path[1:kind - 1], '/') END AS pattern
+            FROM url WHERE host <> ''),
+        valid AS (
+            SELECT *, lead(valid_from, 1, 1000000000) OVER (PARTITION BY pattern ORDER BY valid_from, entry_id) AS valid_to FROM list),
+        key AS (
+            SELECT page_id, fetched, unnest(list_transform(range(1, len(string_split(host, '.')) + 1),
+                lambda k: array_to_string(string_split(host, '.')[k:], '.'))) AS pattern FROM url WHERE host <> ''
+            UNION ALL
+            SELECT page_id, fetched, unnest(list_transform(range(1, len(path) + 1),
+                lambda k: host || '/' || array_to_string(path[1:k], '/'))) FROM url WHERE host <> ''),
+        best AS (
+            SELECT page_id, pattern, entry_id, action FROM key JOIN valid USING (pattern)
+            WHERE fetched >= valid_from AND fetched < valid_to AND action <> 'remove'
+            QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY contains(pattern, '/') DESC, length(pattern) DESC) = 1)
+        SELECT page_id AS capture_id, url, fetched AS at, entry_id, pattern, action, coalesce(action = 'block', false) AS blocked
+        FROM url LEFT JOIN best USING (page_id)""",
 }

@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
+from tidewatch.llm import decontaminate, secrets
 from tidewatch.llm.brown import scored
 from tidewatch.llm.common import read_table
-from tidewatch.llm.decontaminate import contamination, digest_columns
+from tidewatch.llm.decontaminate import contamination
 from tidewatch.llm.exact_dedup import exact_duplicates
 from tidewatch.llm.extract import extracted
 from tidewatch.llm.language import identified
+from tidewatch.llm.mixing import mixed, tempered_shares
 from tidewatch.llm.near_dedup import near_duplicates
+from tidewatch.llm.url_filters import captures_of, entries_of, judged
 from tidewatch.llm.warc import archived
 
 
@@ -34,13 +38,32 @@ def op5_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf, "documents"), width=3, percent=85)
 
 
+def op6_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
+    return secrets.digest_columns(secrets.secrets(read_table(spark, sf, "documents")))
+
+
 def op7_language_id(spark: SparkSession, sf: str) -> DataFrame:
     return identified(read_table(spark, sf, "documents"))
 
 
+def op8_url_filters(spark: SparkSession, sf: str) -> DataFrame:
+    pages = read_table(spark, sf, "pages")
+    return judged(captures_of(pages), entries_of(pages))
+
+
+def op9_mixing(spark: SparkSession, sf: str) -> DataFrame:
+    docs = read_table(spark, sf, "documents")
+    return mixed(docs, tempered_shares(docs))
+
+
 def op10_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
-    return digest_columns(contamination(read_table(spark, sf, "documents"), read_table(spark, sf, "benchmark")))
+    return decontaminate.digest_columns(contamination(read_table(spark, sf, "documents"), read_table(spark, sf, "benchmark")))
+
+
+def pipeline(spark: SparkSession, sf: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf)
 
 
 QUERIES = {query.__name__: query for query in (
-    op1_exact_dedup, op2_html_extraction, op3_lm_scoring, op4_warc, op5_near_dedup, op7_language_id, op10_decontaminate)}
+    op1_exact_dedup, op2_html_extraction, op3_lm_scoring, op4_warc, op5_near_dedup, op6_secret_scan, op7_language_id,
+    op8_url_filters, op9_mixing, op10_decontaminate, pipeline)}
