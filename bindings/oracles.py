@@ -107,8 +107,8 @@ _VIEWS = {
         thresholds_source FROM raw_signal""",
     "flag": """SELECT batch_id, batch_id <> '2001' AS has_target,
             max(CASE status WHEN 'ALERT' THEN 2 WHEN 'WARNING' THEN 1 ELSE 0 END) AS worst,
-            bool_or(status <> 'OK' AND (category = 'feature_drift' OR (category = 'schema' AND name NOT LIKE 'schema:price%'))) AS f,
-            bool_or(status <> 'OK' AND (category = 'target_drift' OR (category = 'schema' AND name LIKE 'schema:price%'))) AS t,
+            bool_or(status <> 'OK' AND (category = 'feature_drift' OR (category = 'schema' AND name NOT LIKE 'schema:price:%'))) AS f,
+            bool_or(status <> 'OK' AND (category = 'target_drift' OR (category = 'schema' AND name LIKE 'schema:price:%'))) AS t,
             bool_or(status <> 'OK' AND category = 'performance') AS p, bool_or(status <> 'OK' AND category = 'prediction_drift') AS q
         FROM signal GROUP BY batch_id""",
     "status": """SELECT batch_id, has_target, CASE worst WHEN 2 THEN 'ALERT' WHEN 1 THEN 'WARNING' ELSE 'OK' END AS status,
@@ -213,15 +213,15 @@ oracle("decimal_text", """SELECT kind, count(*) AS n, count_if(kind < 5) AS n_pa
     count_if(kind = 5 AND l_linenumber <> 2) AS n_failed, round(CAST(sum(CASE WHEN kind < 5 THEN price END) AS DOUBLE), 2) + 0.0 AS total
     FROM price_text GROUP BY kind""", "price_text")
 oracle("decimal_conventions", """SELECT kind, CASE WHEN kind IN (2, 3) THEN 'mixed' WHEN kind IN (1, 4) THEN 'comma' ELSE 'dot' END AS convention
-    FROM price_text WHERE kind < 5 GROUP BY kind""", "price_text")
+    FROM price_text GROUP BY kind""", "price_text")
 oracle("discovered_batches", """SELECT CAST(yr AS VARCHAR) AS batch_id, yr <> 2001 AS has_target,
-    CASE yr WHEN 1999 THEN 'comma' WHEN 2000 THEN 'dot' END AS convention FROM li WHERE yr > 1998 GROUP BY yr""", "li")
+    CASE yr WHEN 2001 THEN NULL WHEN 2000 THEN 'dot' ELSE 'comma' END AS convention FROM li GROUP BY yr""", "li")
 oracle("loaded_batches", """SELECT CAST(yr AS VARCHAR) AS batch_id, yr <> 2001 AS has_target, count(*) AS n_features,
-    CASE yr WHEN 1999 THEN count(*) WHEN 2000 THEN count_if(price <= 100000) END AS n_target,
+    CASE yr WHEN 2001 THEN NULL WHEN 2000 THEN count_if(price <= 100000) ELSE count(*) END AS n_target,
     CASE yr WHEN 2000 THEN count_if(price <= 100000) ELSE count(*) END AS n_scored, count(*) - 1 AS last_index,
     round(sum(l_quantity * l_discount), 2) + 0.0 AS features_sum,
-    round(sum(CASE WHEN yr = 1999 OR (yr = 2000 AND price <= 100000) THEN l_quantity * price END), 1) + 0.0 AS pairs_sum,
-    count_if(l_returnflag = 'R') AS n_returned FROM li WHERE yr > 1998 GROUP BY yr""", "li")
+    round(sum(CASE WHEN yr < 2000 OR yr > 2001 OR (yr = 2000 AND price <= 100000) THEN l_quantity * price END), 1) + 0.0 AS pairs_sum,
+    count_if(l_returnflag = 'R') AS n_returned FROM li GROUP BY yr""", "li")
 oracle("loaded_batch_violations", """SELECT '2001' AS batch_id, 'l_tax' AS "column", 'missing_column' AS kind, 'ALERT' AS severity,
     count(*) AS n_rows, CAST(100.0 AS DOUBLE) AS pct_rows FROM li WHERE yr = 2001 UNION ALL
     SELECT '2000', 'price', 'row_count_mismatch', 'ALERT', count_if(price > 100000), 100.0 FROM li WHERE yr = 2000""", "li")
@@ -267,8 +267,8 @@ oracle("contract_violations", f"""SELECT batch_id, "column", kind, {_severity('1
     round(100.0 * n / total, 6) + 0.0 AS pct_rows FROM ({_ORDER_CHECKS}) WHERE n > 0 UNION ALL
     SELECT batch_id, 'o_custkey', 'not_numeric', 'ALERT', count(*), 100.0 FROM orders_raw WHERE batch_id = '1997' GROUP BY batch_id UNION ALL
     SELECT batch_id, 'o_clerk', 'missing_column', 'ALERT', count(*), 100.0 FROM orders_raw GROUP BY batch_id""", "orders_raw")
-oracle("unknown_levels", """SELECT batch_id, 'o_orderpriority' AS "column", 'levels not in the contract: ' || string_agg(DISTINCT lower(priority), ', ') AS detail
-    FROM orders_raw WHERE priority NOT IN ('1-URGENT', '2-HIGH', '3-MEDIUM', '5-LOW') GROUP BY batch_id""", "orders_raw")
+oracle("unknown_levels", """SELECT batch_id, 'o_orderpriority' AS "column", lower(priority) AS level, count(*) AS n_rows
+    FROM orders_raw WHERE priority NOT IN ('1-URGENT', '2-HIGH', '3-MEDIUM', '5-LOW') GROUP BY ALL""", "orders_raw")
 oracle("contract_severity", f"""SELECT CAST(c_nationkey AS VARCHAR) AS batch_id,
     {_severity('100.0 * count_if(c_acctbal < 0 OR c_acctbal > 9990) / count(*)')} AS severity FROM customer GROUP BY c_nationkey
     HAVING count_if(c_acctbal < 0 OR c_acctbal > 9990) > 0""")
@@ -295,9 +295,11 @@ oracle("quantile_bins", """SELECT series, CAST(bin AS INTEGER) AS bin, CASE WHEN
     round(freq, 6) + 0.0 AS freq FROM refbin""", "refbin")
 oracle("batch_bin_counts", """SELECT batch_id, series, CAST(bin AS INTEGER) AS bin, n FROM counts WHERE NOT (batch_id = '2001' AND series = '__target__')""", "counts")
 oracle("numeric_psi", "SELECT batch_id, series, round(psi, 6) + 0.0 AS psi FROM npsi", "npsi")
+ORACLES["numeric_psi_many_bins"] = ORACLES["numeric_psi"].replace(
+    "[0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1]", str([k / 20 for k in range(21)]))
 oracle("categorical_psi", """WITH r AS (SELECT feature, category, count(*) / sum(count(*)) OVER (PARTITION BY feature) AS freq FROM (
         SELECT 'l_returnflag' AS feature, lower(l_returnflag) AS category FROM lineitem WHERE year(l_shipdate) <= 1998 AND l_returnflag <> 'R' UNION ALL
-        SELECT 'l_linestatus', lower(l_linestatus) FROM lineitem WHERE year(l_shipdate) <= 1998 AND l_returnflag <> 'R') GROUP BY feature, category),
+        SELECT 'l_linestatus', lower(l_linestatus) FROM lineitem WHERE year(l_shipdate) <= 1998) GROUP BY feature, category),
     b AS (SELECT batch_id, feature, category, count(*) AS n FROM (
         SELECT CAST(year(l_shipdate) AS VARCHAR) AS batch_id, 'l_returnflag' AS feature, lower(l_returnflag) AS category FROM lineitem
         WHERE year(l_shipdate) > 1998 AND (year(l_shipdate) <> 2000 OR l_returnflag <> 'A') UNION ALL
@@ -374,7 +376,11 @@ _STATE = f"""SELECT batch_id, name AS signal_name, {_NAME_OF.format('max_by(seve
 oracle("alert_state", _STATE, "alert")
 oracle("open_alert_history", f"""SELECT batch_id, signal_name, severity, occurrences, last_seen FROM ({_STATE}) WHERE state = 'open'
     ORDER BY last_seen DESC, batch_id, signal_name LIMIT 50""", "alert")
-oracle("duplicate_open_alerts", "SELECT CAST(0 AS BIGINT) AS n_duplicates")
+oracle("duplicate_open_alerts", f"""SELECT batch_id, signal_name, CAST(2 AS BIGINT) AS count FROM ({_STATE})
+    WHERE state = 'open' AND occurrences > 1""", "alert")
+oracle("alert_report_order", """SELECT batch_id, name AS signal_name, transition, CAST(row_number() OVER (PARTITION BY batch_id ORDER BY
+    list_position(['NEW', 'ONGOING', 'RESOLVED'], transition), name) AS INTEGER) AS position FROM (
+    SELECT *, CASE WHEN level = 0 THEN 'RESOLVED' WHEN before = 0 THEN 'NEW' ELSE 'ONGOING' END AS transition FROM alert WHERE run = 2)""", "alert")
 
 # --- exploration ----------------------------------------------------------------------------
 
@@ -456,6 +462,27 @@ oracle("top_trials", """SELECT family, trial, mean_test_rmse, CAST(r AS INTEGER)
     CAST(p_size AS DOUBLE) AS mean_test_rmse, rank() OVER (PARTITION BY p_type ORDER BY p_size) AS r,
     row_number() OVER (PARTITION BY p_type ORDER BY p_size, p_partkey) AS pos FROM part) WHERE pos <= 5""")
 oracle("hashed_split", "SELECT count(DISTINCT o_orderkey) AS n_keys, CAST(0 AS BIGINT) AS n_moved, true AS near_a_fifth FROM orders")
+_PRICED = """SELECT l_quantity AS x, l_discount AS d, ln(1 + y) AS ly, y, l_orderkey % 5 = 0 AS held, l_linenumber % 2 AS fold FROM (
+    SELECT *, 1000 + 50 * l_quantity + 4000 * l_discount + CASE WHEN l_returnflag = 'R' THEN 900 ELSE 0 END + price / 1000 AS y
+    FROM li WHERE yr <= 1998)"""
+_VIEWS["priced"], _USES["priced"] = _PRICED, ["li"]
+oracle("cross_validated_trials", """WITH fit AS (SELECT f.fold AS left_out, regr_slope(ly, x) AS s, regr_intercept(ly, x) AS b
+        FROM priced, (SELECT DISTINCT fold FROM priced) f WHERE NOT held AND priced.fold <> f.fold GROUP BY f.fold),
+    e AS (SELECT left_out, sqrt(avg((ly - b - s * x) ** 2) FILTER (fold = left_out)) AS test,
+        sqrt(avg((ly - b - s * x) ** 2) FILTER (fold <> left_out)) AS train FROM priced, fit WHERE NOT held GROUP BY left_out)
+    SELECT 'ols' AS family, 0 AS trial, round(avg(test), 6) + 0.0 AS mean_test_rmse, round(stddev_pop(test), 6) + 0.0 AS std_test_rmse,
+    round(avg(train), 6) + 0.0 AS mean_train_rmse FROM e""", "priced")
+oracle("evaluated_splits", """WITH fit AS (SELECT regr_slope(ly, x) AS s, regr_intercept(ly, x) AS b FROM priced WHERE NOT held),
+    p AS (SELECT held, y, exp(b + s * x) - 1 AS q FROM priced, fit),
+    m AS (SELECT held, sqrt(avg((y - q) ** 2)) AS rmse, avg(abs(y - q)) AS mae, 1 - sum((y - q) ** 2) / (count(*) * var_pop(y)) AS r2 FROM p GROUP BY held)
+    SELECT round(t.rmse, 3) + 0.0 AS train_rmse, round(v.rmse, 3) + 0.0 AS val_rmse, round(t.mae, 3) + 0.0 AS train_mae, round(v.mae, 3) + 0.0 AS val_mae,
+    round(t.r2, 6) + 0.0 AS train_r2, round(v.r2, 6) + 0.0 AS val_r2, CASE WHEN t.r2 - v.r2 > 0.15 THEN 'severe' WHEN t.r2 - v.r2 > 0.1 THEN 'moderate'
+    WHEN t.r2 - v.r2 > 0.05 THEN 'minor' ELSE 'none' END AS overfitting_band FROM m t, m v WHERE NOT t.held AND v.held""", "priced")
+oracle("coefficient_importance", """SELECT 'abs_coef' AS kind, CAST(row_number() OVER (ORDER BY c DESC) AS INTEGER) AS position, feature, round(c, 5) + 0.0 AS importance FROM (
+    SELECT 'l_quantity' AS feature, abs(covar_pop(ly, x) * var_pop(d) - covar_pop(ly, d) * covar_pop(x, d)) / (var_pop(x) * var_pop(d) - covar_pop(x, d) ** 2) AS c
+    FROM priced WHERE NOT held UNION ALL
+    SELECT 'l_discount', abs(covar_pop(ly, d) * var_pop(x) - covar_pop(ly, x) * covar_pop(x, d)) / (var_pop(x) * var_pop(d) - covar_pop(x, d) ** 2)
+    FROM priced WHERE NOT held)""", "priced")
 oracle("linear_batch_predictions", """WITH fit AS (SELECT regr_slope(ln(1 + price), l_quantity) AS slope, regr_intercept(ln(1 + price), l_quantity) AS base
         FROM li WHERE yr <= 1998)
     SELECT yr AS batch, count(*) AS n, round(avg(exp(base + slope * l_quantity) - 1), 2) + 0.0 AS pred_mean,
@@ -477,6 +504,10 @@ oracle("promotion_decisions", "SELECT * FROM decision", "decision")
 oracle("promoted_aliases", """SELECT a.model, a.alias, a.version FROM alias a LEFT JOIN (SELECT * FROM decision WHERE action = 'PROMOTE') d USING (model)
     WHERE d.model IS NULL OR (a.alias = 'staging' AND a.version <> d.version) UNION ALL
     SELECT model, 'production', version FROM decision WHERE action = 'PROMOTE'""", "decision")
+oracle("registered_versions", """SELECT model, max(version) + 1 AS version, 'Staging' AS stage, max(version) + 1 AS staged FROM named
+    WHERE no % 2 = 1 GROUP BY model""", "named")
+oracle("rejected_versions", """SELECT model, version, 'Staging' AS stage, replace(reasons, '; ', ' | ') AS rejection_reason,
+    '2024-05-01 12:00:00' AS rejected_at FROM decision WHERE action = 'REJECT'""", "decision")
 oracle("promoted_versions", """SELECT model, version, 'Production' AS stage, CAST(NULL AS BIGINT) AS superseded_by, replace(reasons, '; ', ' | ') AS promotion_reason
     FROM decision WHERE action = 'PROMOTE' UNION ALL
     SELECT model, production_version, 'Archived', version, NULL FROM decision WHERE action = 'PROMOTE' AND production_version IS NOT NULL""", "decision")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import timedelta
 from functools import reduce
 
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 from tidewatch.functions import decimal_convention, normalize_decimal, parse_decimal
 from tidewatch.operators import alerts as A
 from tidewatch.operators import eda, ledger, selection, training
+from tidewatch.operators.contract import unknown_levels as levels_outside_contract
 from tidewatch.operators.contract import validate_rows, worst_severity
 from tidewatch.operators.drift import psi_categorical, psi_numeric
 from tidewatch.operators.features import (
@@ -46,7 +48,7 @@ from tidewatch.operators.report import (
 from tidewatch.operators.rules import resolve_thresholds
 from tidewatch.operators.shaping import to_series
 from tidewatch.operators.signals import feature_psi, series_psi
-from tidewatch.operators.summary import category_summary, numeric_summary
+from tidewatch.operators.summary import category_summary, coerce_numeric, numeric_summary
 from tidewatch.plans.monitor import Monitored, monitor
 from tidewatch.session import pinned
 from tidewatch.sources import tables as io
@@ -105,25 +107,26 @@ def decimal_text(spark, sf):
 
 @query
 def decimal_conventions(spark, sf):
-    return _price_texts(spark, sf).where("kind < 5").groupBy("kind").agg(decimal_convention(
+    return _price_texts(spark, sf).groupBy("kind").agg(decimal_convention(
         F.bool_or(F.contains("raw", F.lit(","))), F.bool_or(F.contains("raw", F.lit(".")))).alias("convention"))
 
 
 def _write_batches(spark: SparkSession, sf: str) -> str:
-    """Three batches as part-file folders: 2000's target stops early and its columns are shuffled,
+    """A batch for every year, as part-file folders: 2000's target stops early and its columns are shuffled,
     2001 has neither a tax column nor a target."""
     folder = run_folder(spark, "batches")
     rows = lineitem(spark, sf)
     order = ["price", "l_orderkey", "l_linenumber", *SPEC.features]
-    headers = {1999: list(SPEC.features), 2000: list(reversed(SPEC.features)), 2001: [c for c in SPEC.features if c != "l_tax"]}
-    for year, columns in headers.items():
+    headers = {2000: list(reversed(SPEC.features)), 2001: [c for c in SPEC.features if c != "l_tax"]}
+    for year in [r.yr for r in rows.select("yr").distinct().orderBy("yr").collect()]:
+        columns = headers.get(year, list(SPEC.features))
         batch = rows.where(F.col("yr") == year).orderBy(*order)
         comma = {c: F.translate(F.col(c).cast("decimal(18,4)").cast("string"), ".", ",") for c in SPEC.numeric}
         texts = [(comma.get(c, F.col(c)) if year == 2000 else F.col(c)).alias(c.upper() if year == 2000 else c) for c in columns]
         batch.select(*texts).write.option("header", "true").csv(f"{folder}/dataset_{year}_feats.csv")
         if year != 2001:
-            target = F.translate(F.col("price").cast("decimal(18,2)").cast("string"), ".", "," if year == 1999 else ".")
-            labelled = batch if year == 1999 else batch.where("price <= 100000")
+            target = F.translate(F.col("price").cast("decimal(18,2)").cast("string"), ".", "." if year == 2000 else ",")
+            labelled = batch.where("price <= 100000") if year == 2000 else batch
             labelled.select(target).write.text(f"{folder}/dataset_{year}_target.csv.csv")
     return folder
 
@@ -192,7 +195,7 @@ def prediction_sinks(spark, sf):
         with_row_errors(batch_rows(spark, sf), "price", "prediction"),
         {"model_name": "price", "model_version": "3", "model_source": "registry:production", "model_id": MODEL}, "run-1", NOW
     ).drop("yr")
-    io.append_predictions(scored, f"{path}/table")
+    io.append_predictions(scored, f"{path}/table", "run-1")
     io.write_predictions_csv(scored, f"{path}/csv", "run-1")
     stored = spark.read.parquet(f"{path}/table").groupBy(F.col("batch_id").cast("string").alias("batch_id")).agg(
         F.count("*").alias("n"), F.count("price").alias("n_actual"), F.avg("abs_error").alias("abs_error"),
@@ -314,8 +317,7 @@ def contract_violations(spark, sf):
 
 @query
 def unknown_levels(spark, sf):
-    found = validate_rows(_order_batches(spark, sf), ORDERS).where("kind = 'unknown_category'")
-    return found.select("batch_id", "column", "detail")
+    return levels_outside_contract(category_summary(coerce_numeric(_order_batches(spark, sf), ORDERS), ORDERS), ORDERS)
 
 
 @query
@@ -381,20 +383,28 @@ def _batch_series(spark, sf) -> DataFrame:
 @query
 def batch_bin_counts(spark, sf):
     edges = baseline(spark, sf).bins.select("series", "edges")
-    counts = bin_counts(_batch_series(spark, sf), edges, SPEC.bins, ["batch_id"])
+    counts = bin_counts(_batch_series(spark, sf), edges, ["batch_id"])
     return counts.select("batch_id", "series", F.posexplode("counts").alias("bin", "n"))
 
 
 @query
 def numeric_psi(spark, sf):
-    return rounded(psi_numeric(_batch_series(spark, sf), baseline(spark, sf).bins, SPEC.bins), {"psi": 6})
+    return rounded(psi_numeric(_batch_series(spark, sf), baseline(spark, sf).bins), {"psi": 6})
+
+
+@query
+def numeric_psi_many_bins(spark, sf):
+    """The number of bins is the baseline's, not a default."""
+    bins = make_bins(_reference(spark, sf), 20, SPEC.edge_digits)
+    return rounded(psi_numeric(_batch_series(spark, sf), bins), {"psi": 6})
 
 
 @query
 def categorical_psi(spark, sf):
     """One batch has a level the reference lacks, and lacks one the reference has."""
     rows = lineitem(spark, sf)
-    base = to_series(rows.where("yr <= 1998 AND l_returnflag <> 'R'"), [], SPEC.categorical, "feature", "value", "string")
+    reference = rows.where("yr <= 1998").withColumn("l_returnflag", F.nullif("l_returnflag", F.lit("R")))
+    base = to_series(reference, [], SPEC.categorical, "feature", "value", "string")
     batches = rows.where("yr > 1998").select(
         F.col("yr").cast("string").alias("batch_id"), "l_linestatus",
         F.when((F.col("yr") != 2000) | (F.col("l_returnflag") != "A"), F.col("l_returnflag")).alias("l_returnflag"))
@@ -407,7 +417,7 @@ def regression_metrics(spark, sf):
     rows = batch_rows(spark, sf).withColumn(
         "price", F.when(F.col("l_linenumber") == 6, F.lit(float("inf"))).when(F.col("l_linenumber") == 7, 0.0)
         .otherwise(F.col("price")))
-    out = canonical_metrics(rows.where("yr <> 2001"), ["batch_id"], "price", "prediction", N_FEATURES)
+    out = canonical_metrics(rows, ["batch_id"], "price", "prediction", N_FEATURES)
     return rounded(out, {c: 6 for c in out.columns if c not in ("batch_id", "n_samples")} | {"rmse": 3, "mae": 3})
 
 
@@ -490,7 +500,7 @@ def _two_runs(spark, sf):
     earlier = now.signals.drop("status").join(pattern, "name")
     first = A.reconcile(A.empty_state(spark), earlier, reconciled, "run-1", NOW, MODEL)
     second = A.reconcile(pinned(first.state), now.signals, reconciled, "run-2", NOW + timedelta(days=1), MODEL)
-    return now, A.Reconciled(second.state, second.transitions.cache())
+    return now, A.Reconciled(second.state, pinned(second.transitions), second.closed)
 
 
 @query
@@ -522,7 +532,7 @@ def report_sinks(spark, sf):
     now, second = _two_runs(spark, sf)
     path = run_folder(spark, "reports")
     flat = flat_report(now.status, now.reference, second.transitions, "run-2", NOW)
-    io.append_monitoring(monitoring_rows(now.status, flat), f"{path}/monitoring")
+    io.append_monitoring(monitoring_rows(now.status, flat), f"{path}/monitoring", "run-2")
     io.write_report(now.status, flat, path, "run-2")
     stored = spark.read.parquet(f"{path}/monitoring").select(
         "batch_id", "status", F.get_json_object("details", "$.diagnosis_code").alias("diagnosis"),
@@ -548,19 +558,10 @@ def _event_runs(spark: SparkSession, sf: str) -> DataFrame:
         F.lit(1).alias("seq"))
 
 
-def _alert_chain(spark: SparkSession, sf: str):
-    """Runs are serial by nature: each reads the state the previous one wrote."""
-    runs = pinned(_event_runs(spark, sf))
-    weeks = [r.run for r in runs.select("run").distinct().orderBy("run").collect()]
-    path = run_folder(spark, "alerts")
-    state, transitions = A.empty_state(spark), None
-    for number, week in enumerate(weeks):
-        signals = runs.where(F.col("run") == week).drop("run")
-        step = A.reconcile(state, signals, signals.select("batch_id").distinct(), f"run-{week}", NOW + timedelta(days=7 * week))
-        io.save_state(step.state, path, number)
-        transitions = step.transitions if transitions is None else transitions.unionByName(step.transitions)
-        state = io.load_state(spark, path, number)
-    return state, transitions
+def _replayed(spark: SparkSession, sf: str) -> A.Reconciled:
+    """The whole history of weekly runs at once."""
+    at = F.lit(NOW).cast("timestamp_ntz") + F.make_dt_interval(F.col("run") * 7)
+    return A.replay(_event_runs(spark, sf).withColumns({"run_id": F.concat(F.lit("run-"), "run"), "at": at}))
 
 
 def _stamp(column: str):
@@ -569,16 +570,15 @@ def _stamp(column: str):
 
 @query
 def alert_transitions(spark, sf):
-    _, transitions = _alert_chain(spark, sf)
-    return transitions.select(
+    return _replayed(spark, sf).transitions.select(
         "run_id", "batch_id", "signal_name", "severity", "transition", "occurrences", _stamp("first_seen"), _stamp("last_seen"),
         "escalated_from", A.severity_change(F.col("escalated_from"), F.col("severity")).alias("direction"))
 
 
 @query
 def alert_state(spark, sf):
-    state, _ = _alert_chain(spark, sf)
-    return state.select("batch_id", "signal_name", "severity", "state", "occurrences", _stamp("first_seen"), _stamp("last_seen"),
+    run = _replayed(spark, sf)
+    return run.state.unionByName(run.closed).select("batch_id", "signal_name", "severity", "state", "occurrences", _stamp("first_seen"), _stamp("last_seen"),
                         _stamp("resolved_at"), F.size("severity_history").alias("n_changes"),
                         F.array_join(F.col("severity_history")["severity"], ">").alias("history"), "last_detail")
 
@@ -586,14 +586,22 @@ def alert_state(spark, sf):
 @query
 def open_alert_history(spark, sf):
     """Newest open alerts; the limit is the feature."""
-    state, _ = _alert_chain(spark, sf)
-    return A.recent_history(state, limit=50).select("batch_id", "signal_name", "severity", "occurrences", _stamp("last_seen"))
+    state = _replayed(spark, sf).state
+    return A.recent_history(state, 50).select("batch_id", "signal_name", "severity", "occurrences", _stamp("last_seen"))
 
 
 @query
 def duplicate_open_alerts(spark, sf):
-    state, _ = _alert_chain(spark, sf)
-    return A.duplicate_open_alerts(state).agg(F.count("*").alias("n_duplicates"))
+    """A damaged state: alerts that occurred more than once are in it twice."""
+    state = _replayed(spark, sf).state
+    return A.duplicate_open_alerts(state.unionByName(state.where("occurrences > 1"))).select("batch_id", "signal_name", "count")
+
+
+@query
+def alert_report_order(spark, sf):
+    """NEW before ONGOING before RESOLVED within a batch, as positions."""
+    ordered = A.report_positions(_replayed(spark, sf).transitions.where("run_id = 'run-2'"))
+    return ordered.select("batch_id", "signal_name", "transition", "position")
 
 
 # --- exploration ----------------------------------------------------------------------------
@@ -756,14 +764,17 @@ def hashed_split(spark, sf):
         (F.abs(F.avg((F.col("split") == "validation").cast("int")) - 0.2) < 0.02).alias("near_a_fifth"))
 
 
+OLS = training.Family("ols", "Least squares", training.LinearRegression, {"regParam": 0.0}, {}, importance="abs_coef")
+
+
 @query
 def linear_batch_predictions(spark, sf):
     """One saved model scores every batch; unregularized, so least squares in SQL gives the same."""
     rows = lineitem(spark, sf)
     spec = FeatureSpec(("l_quantity",), (), "price")
-    family = training.Family("ols", "Least squares", training._linear, {})
+    family = OLS
     train = rows.where("yr <= 1998").withColumn(training.LABEL, F.log1p("price"))
-    model = training.build_pipeline(family, spec, {}, {"regParam": 0.0}).fit(train)
+    model = training.build_pipeline(family, spec, {}).fit(train)
     path = run_folder(spark, "model")
     model.save(path)
     scored = training.predict(training.PipelineModel.load(path), rows.where("yr > 1998").drop("prediction"), spec)
@@ -777,14 +788,53 @@ def _searched(spark, sf):
     train = rows.where("split = 'train'")
     levels = category_levels(train, SPEC.categorical)
     small = {"gradient_boosting": {"maxIter": [5], "maxDepth": [3]}, "random_forest": {"numTrees": [10], "maxDepth": [6]},
-             "elasticnet": {"regParam": [0.001, 1.0], "elasticNetParam": [0.5]}}
-    families = [training.Family(f.name, f.label, f.build, small[f.name], f.scaled, f.budget_ratio, f.importance)
-                for f in training.get_families(list(small))]
+             "histogram_boosting": {"maxIter": [5], "maxDepth": [3]}, "elasticnet": {"regParam": [0.001, 1.0], "elasticNetParam": [0.5]}}
+    families = [replace(f, grid=small[f.name]) for f in training.requested(small)]
     searches = [training.search_family(train, f, SPEC, levels, ["l_orderkey", "l_linenumber"], budget=5, folds=2)
                 for f in families]
     return rows, levels, searches
 
 
+def _folded(spark, sf) -> DataFrame:
+    """Training rows with a split and folds from their keys' digits, so that SQL can form the same ones."""
+    return _regression_rows(spark, sf).withColumns({
+        "split": F.when(F.col("l_orderkey") % 5 == 0, "validation").otherwise("train"),
+        "given_fold": (F.col("l_linenumber") % 2).cast("int")})
+
+
+def _least_squares(spark, sf):
+    rows, spec = pinned(_folded(spark, sf)), FeatureSpec(("l_quantity",), (), "price")
+    found = training.search_family(rows.where("split = 'train'"), OLS, spec, {}, [], folds=2, fold=F.col("given_fold"))
+    return rows, spec, found
+
+
+@query
+def cross_validated_trials(spark, sf):
+    """Errors of least squares on the held-out fold and on the fitted rows, over both folds."""
+    _, _, found = _least_squares(spark, sf)
+    out = training.trials_table(spark, [found]).select("family", "trial", "mean_test_rmse", "std_test_rmse", "mean_train_rmse")
+    return rounded(out, {c: 6 for c in ("mean_test_rmse", "std_test_rmse", "mean_train_rmse")})
+
+
+@query
+def evaluated_splits(spark, sf):
+    rows, spec, found = _least_squares(spark, sf)
+    out = training.evaluate(found.model, rows, spec, 1).select(
+        "train_rmse", "val_rmse", "train_mae", "val_mae", "train_r2", "val_r2", "overfitting_band")
+    return rounded(out, {"train_rmse": 3, "val_rmse": 3, "train_mae": 3, "val_mae": 3, "train_r2": 6, "val_r2": 6})
+
+
+@query
+def coefficient_importance(spark, sf):
+    """|coefficients| of two features that are fitted together, largest first."""
+    spec = FeatureSpec(("l_quantity", "l_discount"), (), "price")
+    train = _folded(spark, sf).where("split = 'train'").withColumn(training.LABEL, F.log1p("price"))
+    found = training.feature_importance(training.build_pipeline(OLS, spec, {}).fit(train), OLS, list(spec.numeric))
+    out = spark.createDataFrame([(found.kind, i + 1, n, v) for i, (n, v) in enumerate(found.values)],
+                                "kind string, position int, feature string, importance double")
+    return rounded(out, {"importance": 5})
+
+
 @query
 def trained_families(spark, sf):
     """Families searched, evaluated and compared on the training years (no SQL equivalent)."""
@@ -890,6 +940,26 @@ def promoted_aliases(spark, sf):
     return ledger.apply_promotions(ledger.Ledger(versions, aliases), decisions, NOW).aliases
 
 
+@query
+def registered_versions(spark, sf):
+    """Every model gets a run: equal to its latest version where the brand's number is even, else better by one."""
+    versions, _, aliases = _ledger(spark, sf)
+    number = F.regexp_extract("model", r"(\d+)", 1).cast("int")
+    runs = ledger.latest_versions(versions).select(
+        "model", F.lit("new").alias("run_id"), "family", (F.col("val_rmse") - number % 2).alias("val_rmse"))
+    after = ledger.register_runs(ledger.Ledger(versions, aliases), runs, ("val_rmse",))
+    staged = after.aliases.where("alias = 'staging'").select("model", F.col("version").alias("staged"))
+    return after.versions.where("run_id = 'new'").select("model", "version", "stage").join(staged, "model")
+
+
+@query
+def rejected_versions(spark, sf):
+    versions, aliases, decisions = _decisions(spark, sf)
+    after = ledger.apply_promotions(ledger.Ledger(versions, aliases), decisions, NOW).versions
+    return after.where("rejected_at is not null").select(
+        "model", "version", "stage", "rejection_reason", F.date_format("rejected_at", "yyyy-MM-dd HH:mm:ss").alias("rejected_at"))
+
+
 @query
 def promoted_versions(spark, sf):
     versions, aliases, decisions = _decisions(spark, sf)

@@ -78,6 +78,27 @@ def step(spark, state, day, signals, batches=("p",)):
     return spark.createDataFrame(out.state.collect(), A.STATE_SCHEMA), moves, out
 
 
+def test_replay_equals_run_by_run(spark):
+    days = [[("p", "a", "WARNING"), ("p", "b", "OK"), ("q", "z", "ALERT")], [("p", "a", "ALERT"), ("p", "b", "WARNING")],
+            [("p", "b", "ALERT"), ("q", "z", "OK")], [("p", "a", "WARNING"), ("p", "b", "WARNING"), ("q", "y", "OK")], [("p", "a", "OK"), ("p", "c", "OK")]]
+    state, transitions, closed, history = A.empty_state(spark), [], [], None
+    for day, signals in enumerate(days):
+        state, moves, out = step(spark, state, day, signals, sorted({b for b, _, _ in signals}))
+        transitions += moves.values()
+        closed += out.closed.collect()
+        rows = spark.createDataFrame([(b, i, n, "feature_drift", 1.0, s, f"day {day}", "default", day, f"r{day}", NOW + timedelta(days=day))
+                                      for i, (b, n, s) in enumerate(signals)], SIGNALS + ", run int, run_id string, at timestamp_ntz")
+        history = rows if history is None else history.unionByName(rows)
+    again = A.replay(history.drop("nothing"), "m")
+    names = ["run_id", "batch_id", "signal_name", "category", "severity", "transition", "occurrences", "first_seen", "last_seen",
+             "detail", "thresholds_source", "escalated_from"]
+    assert {tuple(r[n] for n in names) for r in again.transitions.collect()} == {tuple(t[n] for n in names) for t in transitions}
+    kept = [c for c in state.columns if c not in ("last_value", "severity_history")]
+    for whole, parts in ((again.state, state.collect()), (again.closed, closed)):
+        assert {(tuple(r[c] for c in kept), tuple(map(tuple, r.severity_history))) for r in whole.collect()} == {
+            (tuple(r[c] for c in kept), tuple(map(tuple, r.severity_history))) for r in parts}
+
+
 def test_alert_life_cycle(spark):
     state, moves, _ = step(spark, A.empty_state(spark), 0, [("p", "a", "WARNING"), ("p", "b", "OK"), ("q", "z", "ALERT")], ("p", "q"))
     assert {k: v.transition for k, v in moves.items()} == {("p", "a"): "NEW", ("q", "z"): "NEW"}
@@ -86,6 +107,7 @@ def test_alert_life_cycle(spark):
     assert (moves["p", "b"].transition, moves["p", "b"].severity) == ("NEW", "ALERT")  # the last one wins
     assert ("q", "z") not in moves  # not in this run: neither resolved nor touched
     state, moves, out = step(spark, state, 2, [("p", "b", "ALERT")])  # a is absent
+    closed = out.closed.collect()
     assert (moves["p", "a"].transition, moves["p", "a"].last_seen) == ("RESOLVED", NOW + timedelta(days=1))
     assert (moves["p", "b"].transition, moves["p", "b"].escalated_from) == ("ONGOING", None)
     status = spark.createDataFrame([("p", True), ("q", False), ("quiet", True)], "batch_id string, reconciled boolean")
@@ -94,11 +116,11 @@ def test_alert_life_cycle(spark):
     state, moves, _ = step(spark, state, 3, [("p", "a", "WARNING"), ("p", "b", "WARNING")])
     assert (moves["p", "a"].transition, moves["p", "a"].occurrences) == ("NEW", 1)  # a resolved one that fails again
     rows = {(r.batch_id, r.signal_name, r.state): r for r in state.collect()}
-    assert len(rows) == 4 and A.duplicate_open_alerts(state).isEmpty()
+    assert len(rows) == 3 and A.duplicate_open_alerts(state).isEmpty()
     assert [h.severity for h in rows["p", "b", "open"].severity_history] == ["ALERT", "WARNING"]
-    assert rows["p", "a", "resolved"].resolved_at == NOW + timedelta(days=2) and rows["p", "a", "open"].last_value is None
+    assert [(r.signal_name, r.state, r.resolved_at) for r in closed] == [("a", "resolved", NOW + timedelta(days=2))] and rows["p", "a", "open"].last_value is None
     assert {(r.batch_id, r.signal_name) for r in A.open_alerts(state).collect()} == {("p", "a"), ("p", "b"), ("q", "z")}
-    assert A.recent_history(state, "p", include_resolved=True, limit=2).count() == 2
+    assert A.recent_history(state, 1, "p", include_resolved=True).count() == 1
 
 
 def candidates(spark, rows):
@@ -208,24 +230,25 @@ def test_training_rows(spark):
 
 
 def test_catalogue():
-    assert [f.name for f in training.get_families(["elasticnet", "gradient_boosting"])] == ["gradient_boosting", "elasticnet"]
-    with pytest.raises(ValueError):
-        training.get_families(["nothing"])
-    with pytest.raises(ValueError):
-        training.get_families([])
-    assert [f.n_iter(50) for f in training.get_families()] == [50, 20, 20, 20]
-    assert training.CATALOG["elasticnet"].n_iter(500) == 20 and training.CATALOG["elasticnet"].n_iter(0) == 1
-    drawn = training.CATALOG["random_forest"].sample(50)
-    assert len(drawn) == 20 and len({tuple(d.items()) for d in drawn}) == 20 and drawn == training.CATALOG["random_forest"].sample(50)
+    assert [f.name for f in training.requested(["elasticnet", "gradient_boosting"])] == ["gradient_boosting", "elasticnet"]
+    for names in (["nothing"], []):
+        with pytest.raises(ValueError):
+            training.requested(names)
+    plans = [training.trial_plan(f, 50) for f in training.requested()]
+    assert [(len(points), size) for points, size in plans] == [(50, 64), (20, 144), (20, 108), (20, 20)]
+    linear, forest = training.CATALOG["elasticnet"], training.CATALOG["random_forest"]
+    assert len(training.trial_plan(linear, 500)[0]) == 20 and len(training.trial_plan(linear, 0)[0]) == 1
+    drawn, _ = training.trial_plan(forest, 50)
+    assert len({tuple(d.items()) for d in drawn}) == 20 and drawn == training.trial_plan(forest, 50)[0]
 
 
 def test_search_saves_a_model_that_scores_batches(spark, tmp_path):
     rows = training.split_rows(people(spark, 600, 5), ["row_index"]).cache()
     train = rows.where("split = 'train'")
     levels = category_levels(train, INSURANCE.categorical)
-    family = training.Family("elasticnet", "Elastic net", training._linear, {"regParam": [0.001, 10.0], "elasticNetParam": [0.5]},
-                             scaled=True, importance="abs_coef")
-    found = training.search_family(train, family, INSURANCE, levels, ["row_index"], budget=5, folds=3, train_scores=True)
+    family = training.Family("elasticnet", "Elastic net", training.LinearRegression, {"standardization": False},
+                             {"regParam": [0.001, 10.0], "elasticNetParam": [0.5]}, scaled=True, importance="abs_coef")
+    found = training.search_family(train, family, INSURANCE, levels, ["row_index"], budget=5, folds=3)
     assert found.best_params["regParam"] == 0.001 and len(found.trials) == 2
     assert all(t["mean_train_rmse"] is not None for t in found.trials)
     ranked = selection.top_trials(training.trials_table(spark, [found]), 1).first()

@@ -14,8 +14,8 @@ from tidewatch.sources.tables import load_baseline, load_state, save_baseline
 from tidewatch.spec import INSURANCE
 
 SMALL = {
-    "random_forest": training.Family("random_forest", "Forest", training._forest, {"numTrees": [10], "maxDepth": [7]}, importance="gain"),
-    "elasticnet": training.Family("elasticnet", "Elastic net", training._linear, {"regParam": [0.01], "elasticNetParam": [0.5]},
+    "random_forest": training.Family("random_forest", "Forest", training.RandomForestRegressor, {"seed": 42}, {"numTrees": [10], "maxDepth": [7]}, importance="gain"),
+    "elasticnet": training.Family("elasticnet", "Elastic net", training.LinearRegression, {"standardization": False}, {"regParam": [0.01], "elasticNetParam": [0.5]},
                                   scaled=True, importance="abs_coef"),
 }
 

@@ -98,3 +98,25 @@ def test_positions_do_not_depend_on_the_splits(spark, tmp_path):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
         spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_nothing_is_lost_at_load(spark, tmp_path):
+    """Two files with one id, an empty file, and records with line breaks inside quotes."""
+    def put(name, text):
+        (tmp_path / name).write_text(text, encoding="utf-8")
+
+    rows = "".join(f"{r}\n" for r in ROWS)
+    put("dataset_a_feats.csv", f"{HEADER}\n{rows}")
+    put("dataset_a_feats.csv.csv", f"{HEADER}\n{ROWS[0]}\n")
+    put("dataset_a_target.csv", "1.5\n2.5\n3.5\n4.5\n5.5\n")
+    put("dataset_e_feats.csv", "")
+    put("dataset_q_feats.csv", HEADER + '\n19,female,27.9,0,yes,"south\nwest"\n34,male,33.77,1,no,southeast\n'
+        + '20,"fe\n\nmale",20.5,"2",no,"a ""b""\nc"\n47,female,23.164,3,no,northwest\n')
+    put("dataset_q_target.csv", "1\n2\n3\n4\n")
+    loaded = load_batches(spark, str(tmp_path), INSURANCE)
+    sizes = {r.batch_id: (r.n_features, r.n_target) for r in loaded.batches.collect()}
+    assert sizes == {"a@dataset_a_feats.csv": (5, 5), "a@dataset_a_feats.csv.csv": (1, 5), "e": (0, None), "q": (4, 4)}
+    got = [(r.age, r.region, r.bmi, r.charges, list(r.unparsed)) for r in
+           loaded.rows.where("batch_id = 'q'").orderBy("row_index").collect()]
+    assert got == [(19.0, "south\nwest", 27.9, 1.0, []), (34.0, "southeast", 33.77, 2.0, []),
+                   (20.0, 'a "b"\nc', 20.5, 3.0, []), (47.0, "northwest", 23.164, 4.0, [])]

@@ -6,6 +6,7 @@ from .numbers import (  # noqa: F401
     nan_to_null,
     rank_of,
     status_of,
+    tally,
 )
 from .text import (  # noqa: F401
     clean_category,

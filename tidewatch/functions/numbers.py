@@ -38,17 +38,11 @@ def is_finite(value: Column) -> Column:
     return F.abs(value) < F.lit(INFINITY)
 
 
-def lookup_bin(value: str, edges: str, max_edges: int) -> Column:
-    """Number of (sorted) edges at or below the value, so that both outer bins are open.
-
-    A nested CASE halves the edges at each step and stays inside generated code, which a lambda
-    over the array would not. An index past the array gives null, which counts as "above".
-    """
-    def between(low: int, high: int) -> str:
-        if low == high:
-            return str(low)
-        middle = (low + high) // 2
-        return (f"CASE WHEN get({edges}, {middle}) <= {value} THEN {between(middle + 1, high)} "
-                f"ELSE {between(low, middle)} END")
-
-    return F.expr(between(0, max(max_edges, 0)))
+def lookup_bin(value: Column, edges: Column) -> Column:
+    """Number of (sorted) edges at or below the value, so that both outer bins are open; null without a value or edges."""
+    return F.when(value.isNotNull() & edges.isNotNull(), F.size(F.filter(edges, lambda edge: edge <= value)))
+
+
+def tally(bins: Column, edges: Column) -> Column:
+    """Counts of every bin that the edges make, from a map bin -> count; bins not in the map are empty."""
+    return F.transform(F.sequence(F.lit(0), F.size(edges)), lambda b: F.coalesce(F.element_at(bins, b), F.lit(0)).cast("bigint"))

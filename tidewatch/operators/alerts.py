@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import finite, rank_of
@@ -26,8 +26,9 @@ STATE_SCHEMA = (
 
 @dataclass(frozen=True)
 class Reconciled:
-    state: DataFrame
+    state: DataFrame        # open alerts: what the next run has to read
     transitions: DataFrame
+    closed: DataFrame       # alerts this run resolved, to be appended to the history
 
 
 def empty_state(spark) -> DataFrame:
@@ -65,7 +66,7 @@ def _next_run(state: DataFrame, signals: DataFrame, reconciled: DataFrame) -> Da
 
 def reconcile(state: DataFrame, signals: DataFrame, reconciled: DataFrame, run_id: str, at,
               model_id: str | None = None) -> Reconciled:
-    """Merge one run. Only batches in `reconciled` can resolve an alert; the others stay as they are.
+    """Merge one run into the open alerts of `state`. Only batches in `reconciled` can resolve an alert; the others stay as they are.
 
     At most one alert per (batch, signal) is open, because that pair is the join key. A resolved
     alert that fails again is NEW.
@@ -99,8 +100,7 @@ def reconcile(state: DataFrame, signals: DataFrame, reconciled: DataFrame, run_i
         "severity_history": history,
     }
     rows = run.select("batch_id", "signal_name", *[c.alias(n) for n, c in fields.items()])
-    untouched = state.where(F.col("state") != OPEN)
-    following = untouched.unionByName(rows.select(*untouched.columns))
+    rows = rows.select(*state.columns)
 
     transitions = run.where("transition IS NOT NULL").select(
         F.lit(run_id).alias("run_id"), "batch_id", "signal_name",
@@ -110,7 +110,53 @@ def reconcile(state: DataFrame, signals: DataFrame, reconciled: DataFrame, run_i
         F.when(fired, now["detail"]).otherwise("signal is back to OK").alias("detail"),
         F.when(fired, now["thresholds_source"]).otherwise("default").alias("thresholds_source"),
         F.when((F.col("transition") == ONGOING) & changed, was["severity"]).alias("escalated_from"))
-    return Reconciled(following, transitions)
+    return Reconciled(rows.where(F.col("state") == OPEN), transitions, rows.where(F.col("state") == RESOLVED_STATE))
+
+
+def replay(signals: DataFrame, model_id: str | None = None) -> Reconciled:
+    """What reconciling a whole history run by run would give, as one plan: signals with run (its order), run_id and at.
+
+    A batch takes part in the runs in which it has signals. For each (batch, signal) the runs from a NEW one to the
+    RESOLVED one, or to the last one, are one alert.
+    """
+    row = F.struct("category", "status", "value", "detail", "thresholds_source")
+    firing = signals.where(F.col("status") != OK).groupBy("run", "batch_id", F.col("name").alias("signal_name")).agg(
+        F.max_by(row, "seq").alias("now"))
+    visits = signals.select("run", "run_id", "at", "batch_id").distinct()
+    seen = visits.join(firing.select("batch_id", "signal_name").distinct(), "batch_id").join(
+        firing, ["run", "batch_id", "signal_name"], "left")
+    line = Window.partitionBy("batch_id", "signal_name").orderBy("run")
+    now, was = F.col("now").isNotNull(), F.coalesce(F.lag(F.col("now").isNotNull()).over(line), F.lit(False))
+    step = F.when(now & ~was, NEW).when(now, ONGOING).when(was, RESOLVED)
+    stepped = seen.withColumn("transition", step).where("transition is not null").withColumn(
+        "alert", F.sum(F.when(F.col("transition") == NEW, 1).otherwise(0)).over(line))
+    so_far = Window.partitionBy("batch_id", "signal_name", "alert").orderBy("run")
+    fired, status = F.col("transition") != RESOLVED, F.col("now")["status"]
+    previous = F.lag(status).over(so_far)
+    events = stepped.withColumns({
+        "occurrences": F.sum(fired.cast("bigint")).over(so_far), "first_seen": F.min("at").over(so_far),
+        "last_seen": F.max(F.when(fired, F.col("at"))).over(so_far), "last": F.last("now", ignorenulls=True).over(so_far),
+        "escalated_from": F.when((F.col("transition") == ONGOING) & (previous != status), previous),
+        "changed": fired & (previous.isNull() | (previous != status))})
+    transitions = events.select(
+        "run_id", "batch_id", "signal_name", F.col("last")["category"].alias("category"),
+        F.col("last")["status"].alias("severity"), "transition", "occurrences", "first_seen", "last_seen",
+        F.when(fired, F.col("now")["detail"]).otherwise("signal is back to OK").alias("detail"),
+        F.when(fired, F.col("now")["thresholds_source"]).otherwise("default").alias("thresholds_source"), "escalated_from")
+    end = F.struct("transition", "occurrences", "first_seen", "last_seen", "last", "at")
+    entry = F.struct("run", F.struct("at", status.alias("severity")).alias("entry"))
+    alerts = events.groupBy("batch_id", "signal_name", "alert").agg(
+        F.max_by(end, "run").alias("e"), F.min_by("run_id", "run").alias("run_id"), F.min_by(F.col("now")["category"], "run").alias("category"),
+        F.array_sort(F.collect_list(F.when(F.col("changed"), entry))).alias("changes"))
+    closed = F.col("e.transition") == RESOLVED
+    rows = alerts.select(
+        "batch_id", "signal_name", "category", F.col("e.last.status").alias("severity"),
+        F.when(closed, RESOLVED_STATE).otherwise(OPEN).alias("state"), "e.first_seen", "e.last_seen",
+        F.when(closed, F.col("e.at")).alias("resolved_at"), "e.occurrences", finite(F.col("e.last.value")).alias("last_value"),
+        F.col("e.last.detail").alias("last_detail"),
+        F.col("e.last.thresholds_source").alias("thresholds_source"), F.lit(model_id).cast("string").alias("model_id"), "run_id",
+        F.transform("changes", lambda c: c["entry"]).alias("severity_history"))
+    return Reconciled(rows.where(F.col("state") == OPEN), transitions, rows.where(F.col("state") == RESOLVED_STATE))
 
 
 def duplicate_open_alerts(state: DataFrame) -> DataFrame:
@@ -123,8 +169,8 @@ def open_alerts(state: DataFrame, batch_id: str | None = None) -> DataFrame:
     return found.where(F.col("batch_id") == batch_id) if batch_id is not None else found
 
 
-def recent_history(state: DataFrame, batch_id: str | None = None, include_resolved: bool = False,
-                   limit: int = 50) -> DataFrame:
+def recent_history(state: DataFrame, limit: int, batch_id: str | None = None,
+                   include_resolved: bool = False) -> DataFrame:
     """Newest alerts first; the limit is the feature."""
     found = state if include_resolved else open_alerts(state)
     if batch_id is not None:
@@ -132,6 +178,15 @@ def recent_history(state: DataFrame, batch_id: str | None = None, include_resolv
     return found.orderBy(F.desc("last_seen"), "batch_id", "signal_name").limit(limit)
 
 
+def _report_rank() -> Column:
+    return F.when(F.col("transition") == NEW, 0).when(F.col("transition") == ONGOING, 1).otherwise(2)
+
+
 def in_report_order(transitions: DataFrame) -> DataFrame:
-    rank = F.when(F.col("transition") == NEW, 0).when(F.col("transition") == ONGOING, 1).otherwise(2)
-    return transitions.orderBy("batch_id", rank, "signal_name")
+    return transitions.orderBy("batch_id", _report_rank(), "signal_name")
+
+
+def report_positions(transitions: DataFrame) -> DataFrame:
+    """The place of each transition in its batch's report, from 1."""
+    order = Window.partitionBy("batch_id").orderBy(_report_rank(), "signal_name")
+    return transitions.withColumn("position", F.row_number().over(order))

@@ -32,17 +32,16 @@ def psi_from_counts(counts: DataFrame, bins: DataFrame, keys: Sequence[str] = ("
     total = F.aggregate(F.coalesce("counts", F.array().cast("array<bigint>")), F.lit(0).cast("bigint"),
                         lambda a, c: a + c)
     usable = (F.size("freqs") >= 2) & (total > 0)
-    psi = F.when(usable, psi_of(F.col("freqs"), as_frequencies(F.col("counts"))))
+    psi = F.when(usable, psi_of(F.col("freqs"), as_frequencies(F.col("counts")))).otherwise(0.0)
     return (
         counts.join(F.broadcast(bins.select("series", "freqs")), "series")
-        .select(*keys, "series", F.coalesce(psi, F.lit(0.0)).alias("psi"))
+        .select(*keys, "series", psi.alias("psi"))
     )
 
 
-def psi_numeric(series: DataFrame, bins: DataFrame, n_bins: int = 10,
-                keys: Sequence[str] = ("batch_id",)) -> DataFrame:
+def psi_numeric(series: DataFrame, bins: DataFrame, keys: Sequence[str] = ("batch_id",)) -> DataFrame:
     """(keys, series, psi). `bins` is (series, edges, freqs), one row per declared column."""
-    counts = bin_counts(series, bins.select("series", "edges"), n_bins, keys)
+    counts = bin_counts(series, bins.select("series", "edges"), keys)
     seen = series.select(*keys, "series").distinct()
     return psi_from_counts(seen.join(counts, [*keys, "series"], "left"), bins, keys)
 

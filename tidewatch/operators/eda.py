@@ -11,8 +11,6 @@ from ..functions import is_finite, nan_to_null
 from .quantiles import exact_quantiles
 from .shaping import to_series
 
-_SALTS = 16
-
 
 def shape(df: DataFrame) -> DataFrame:
     """(column, type, position, n_rows, n_columns), one row per column."""
@@ -37,20 +35,16 @@ def duplicate_summary(df: DataFrame) -> DataFrame:
         (F.sum("_n") - F.count("*")).alias("n_duplicates"))
 
 
-def all_copies(df: DataFrame) -> DataFrame:
+def all_copies(df: DataFrame, chunk: int = 10_000) -> DataFrame:
     """Every row that occurs more than once, with its number of copies.
 
-    Copies are counted with a map-side combine, then joined back under a salt, so that a row
-    repeated very often is not gathered in one task.
+    Copies are equal, so they are counted with a map-side combine and written out again from the counts: first as
+    chunks of at most `chunk` copies, which are spread over the tasks, so that no task writes all copies of one row.
     """
     counts = df.groupBy(*df.columns).agg(F.count("*").alias("n_copies")).where("n_copies > 1")
-    salted = counts.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
-    rows = df.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(_SALTS)).cast("int"))
-    left, right = rows.alias("l"), salted.alias("r")
-    same = F.col("l._salt") == F.col("r._salt")
-    for c in df.columns:
-        same = same & F.col(f"l.`{c}`").eqNullSafe(F.col(f"r.`{c}`"))
-    return left.join(right, same).select(*[F.col(f"l.`{c}`") for c in df.columns], "r.n_copies")
+    chunks = counts.withColumn("_chunk", F.explode(F.sequence(F.lit(0), F.floor((F.col("n_copies") - 1) / chunk)))).hint("rebalance")
+    size = F.least(F.lit(chunk), F.col("n_copies") - F.col("_chunk") * chunk)
+    return chunks.withColumn("_copy", F.explode(F.sequence(F.lit(1), size))).drop("_chunk", "_copy")
 
 
 def _corrected_skewness(value: Column) -> Column:
@@ -95,20 +89,23 @@ def mean_ratio(df: DataFrame, flag: Column, column: str) -> DataFrame:
 
 
 def correlations(df: DataFrame, columns: Mapping[str, Column] | Sequence[str]) -> DataFrame:
-    """(left, right, corr) of every pair, from one scan; a pair uses the rows where both are known.
+    """(left, right, corr) of every pair, from one scan and one aggregate; a pair uses the rows where both are known.
 
-    Each row is repeated once per column, not once per pair, and every copy is folded into k
-    correlations: one aggregate of all pairs at once would outgrow generated code.
+    Only one half of the symmetric matrix is computed; the other is mirrored on its few rows.
     """
     if not isinstance(columns, Mapping):
         columns = {c: F.col(c) for c in columns}
     names = list(columns)
-    wide = df.select(*[e.cast("double").alias(n) for n, e in columns.items()])
-    long = wide.select("*", *[F.col(n).alias(f"_{n}") for n in names]).unpivot(
-        names, [f"_{n}" for n in names], "_left", "_x")
-    rows = long.groupBy(F.substring("_left", 2, 1_000).alias("left")).agg(*[F.corr("_x", n).alias(n) for n in names])
-    return rows.unpivot(["left"], names, "right", "corr").withColumn(
+    wide = df.select(*[e.cast("double").alias(f"_{i}") for i, e in enumerate(columns.values())])
+    pairs = [(i, j) for i in range(len(names)) for j in range(i, len(names))]
+    folded = wide.agg(F.array(*[F.struct(
+        F.lit(names[i]).alias("left"), F.lit(names[j]).alias("right"), F.corr(f"_{i}", f"_{j}").alias("corr"))
+        for i, j in pairs]).alias("cells"))
+    half = folded.select(F.explode("cells").alias("c")).select("c.*").withColumn(
         "corr", F.when(F.col("left") != F.col("right"), F.col("corr")).when(F.col("corr").isNotNull(), 1.0))
+    return half.select(F.explode(F.when(F.col("left") == F.col("right"), F.array(F.struct("left", "right"))).otherwise(F.array(
+        F.struct("left", "right"), F.struct(F.col("right").alias("left"), F.col("left").alias("right"))))).alias("p"), "corr"
+    ).select("p.left", "p.right", "corr")
 
 
 def target_correlations(df: DataFrame, columns: Mapping[str, Column], target: str, bound: float = 0.5) -> DataFrame:

@@ -8,7 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..spec import Derivations, FeatureSpec
-from .shaping import global_position
+from .shaping import global_position, to_series
+
+
+MAX_LEVELS = 10_000  # of all categorical inputs together: beyond it one-hot columns make no sensible model
 
 
 def _flag(condition: Column) -> Column:
@@ -60,10 +63,12 @@ def with_provenance(df: DataFrame, model: Mapping[str, str | None], run_id: str,
 
 
 def category_levels(df: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
-    """Sorted levels of every categorical model input. They become model columns, so this is a
-    driver-side list by nature; one small aggregate reads them."""
-    row = df.agg(*[F.array_sort(F.collect_set(c)).alias(c) for c in columns]).first()
-    return {c: list(row[c]) for c in columns}
+    """Sorted levels of every categorical model input. They become model columns, so more than MAX_LEVELS are an error."""
+    levels = to_series(df, [], columns, "feature", "value", "string").where("value is not null").distinct()
+    found = levels.limit(MAX_LEVELS + 1).collect() if columns else []
+    if len(found) > MAX_LEVELS:
+        raise ValueError(f"the categorical columns have more than {MAX_LEVELS} levels; they cannot all become model columns")
+    return {c: sorted(r.value for r in found if r.feature == c) for c in columns}
 
 
 def one_hot(levels: Mapping[str, Sequence[str]]) -> dict[str, Column]:

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 PRODUCTION, STAGING = "production", "staging"
@@ -17,7 +17,6 @@ PRODUCTION, STAGING = "production", "staging"
 MIN_R2 = 0.75
 MAX_OVERFITTING = 0.15
 MIN_IMPROVEMENT = 0.0
-REASON_CHARS = 480
 
 
 def latest_versions(versions: DataFrame) -> DataFrame:
@@ -130,13 +129,39 @@ class Ledger:
     aliases: DataFrame
 
 
+def register_runs(ledger: Ledger, runs: DataFrame, metrics: tuple[str, ...]) -> Ledger:
+    """The next snapshot after training runs (model, run_id, family, metrics): a new version each, and the staging alias.
+
+    A run that is equal to the latest version of its model is no new version. Of several runs of one model the
+    versions follow the order of run_id, and the last one is staged.
+    """
+    known = duplicate_versions(runs, ledger.versions, metrics).select("model", "run_id")
+    latest = latest_versions(ledger.versions).select("model", F.col("version").alias("_latest"))
+    order = Window.partitionBy("model").orderBy("run_id")
+    new = (runs.join(known, ["model", "run_id"], "left_anti").join(latest, "model", "left")
+           .withColumn("version", (F.coalesce("_latest", F.lit(0)) + F.row_number().over(order)).cast("bigint")).drop("_latest")
+           .withColumn("stage", F.lit("Staging")))
+    staged = new.groupBy("model").agg(F.max("version").alias("version"))
+    others = ledger.aliases.join(staged.select("model", F.lit(STAGING).alias("alias")), ["model", "alias"], "left_anti")
+    aliases = others.select("model", "alias", "version").unionByName(
+        staged.select("model", F.lit(STAGING).alias("alias"), "version"))
+    return Ledger(ledger.versions.unionByName(new.select(*[c for c in ledger.versions.columns if c in new.columns]),
+                                              allowMissingColumns=True), aliases)
+
+
 def apply_promotions(ledger: Ledger, decisions: DataFrame, at) -> Ledger:
-    """The next snapshot of both tables: the new version serves, the previous one is archived."""
+    """The next snapshot of both tables: the new version serves, the previous one is archived.
+
+    A rejected candidate is stamped with the time and the whole reason.
+    """
     time = F.lit(at).cast("timestamp_ntz")
     moved = decisions.where(F.col("action") == "PROMOTE").select(
         "model", F.col("version").alias("new_version"), "production_version",
-        F.substring(F.array_join("reasons", " | "), 1, REASON_CHARS).alias("reason"))
-    joined = ledger.versions.join(moved, "model", "left")
+        F.array_join("reasons", " | ").alias("reason"))
+    refused = decisions.where(F.col("action") == "REJECT").select(
+        "model", F.col("version").alias("rejected_version"), F.array_join("reasons", " | ").alias("rejection"))
+    joined = ledger.versions.join(moved, "model", "left").join(refused, "model", "left")
+    rejected = F.coalesce(F.col("version") == F.col("rejected_version"), F.lit(False))
     promoted = F.col("version") == F.col("new_version")
     replaced = (F.col("version") == F.col("production_version")) & F.col("new_version").isNotNull()
 
@@ -150,7 +175,9 @@ def apply_promotions(ledger: Ledger, decisions: DataFrame, at) -> Ledger:
         "promotion_reason": stamped("promotion_reason", promoted, F.col("reason")),
         "archived_at": stamped("archived_at", replaced, time),
         "superseded_by": stamped("superseded_by", replaced, F.col("new_version")),
-    }).drop("new_version", "production_version", "reason")
+        "rejected_at": stamped("rejected_at", rejected, time),
+        "rejection_reason": stamped("rejection_reason", rejected, F.col("rejection")),
+    }).drop("new_version", "production_version", "reason", "rejected_version", "rejection")
 
     stale = ledger.aliases.join(moved.select("model", "new_version"), "model", "left").where(
         F.col("new_version").isNull()

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import is_finite, lookup_bin, nan_to_null
+from ..functions import is_finite, lookup_bin, nan_to_null, tally
 from ..session import pinned
 from ..spec import PREDICTION_SERIES, TARGET_SERIES, FeatureSpec
 from .quantiles import exact_quantiles
+from .shaping import global_position, to_series
 
 PROFILE_PROBS = {"p01": 0.01, "p25": 0.25, "p50": 0.50, "p75": 0.75, "p99": 0.99}
 
@@ -61,27 +62,28 @@ def profile_and_bins(series: DataFrame, n_bins: int = 10, digits: int | None = N
     # one row per declared series, needed by the profile, the edges and the counts
     marks = pinned(exact_quantiles(series, ["series"], "value", probs, accuracy, few_groups=True))
     edges = _edges_of(marks, ["series"], probs, n_bins, digits)
-    return _profile_of(series, ["series"], marks, probs), _with_freqs(series, edges, n_bins)
+    return _profile_of(series, ["series"], marks, probs), _with_freqs(series, edges)
 
 
-def bin_counts(series: DataFrame, edges: DataFrame, n_bins: int = 10, keys: Sequence[str] = (),
-               few_series: bool = True, with_edges: bool = False) -> DataFrame:
+def bin_counts(series: DataFrame, edges: DataFrame, keys: Sequence[str] = (), few_series: bool = True,
+               with_edges: bool = False) -> DataFrame:
     """Rows per bin for every (keys, series), as one array; non-finite values are left out.
 
-    Counts are folded per bin inside one aggregate, so the shuffle carries one row per task and
-    (keys, series) however many rows a key holds.
+    The edges say how many bins there are. Counts are folded per bin before the shuffle, which then carries one row
+    per task and bin however many rows a key holds.
     """
     side = F.broadcast(edges) if few_series else edges
     binned = (
         series.join(side, "series")
         .where(is_finite(F.col("value")))
-        .select(*keys, "series", F.size("edges").alias("_edges"), lookup_bin("value", "edges", n_bins - 1).alias("_bin"))
+        .select(*keys, "series", lookup_bin(F.col("value"), F.col("edges")).alias("_bin"))
     )
-    tallies = [F.expr(f"count_if(_bin = {i}) AS _b{i}") for i in range(n_bins)]
-    counted = binned.groupBy(*keys, "series").agg(F.max("_edges").alias("_edges"), *tallies)
-    counts = F.slice(F.array(*[F.col(f"_b{i}") for i in range(n_bins)]), F.lit(1), F.col("_edges") + 1)
-    out = counted.select(*keys, "series", counts.alias("counts"))
-    return out.join(side, "series") if with_edges else out
+    counted = (
+        binned.groupBy(*keys, "series", "_bin").agg(F.count("*").alias("_n"))
+        .groupBy(*keys, "series").agg(F.map_from_entries(F.collect_list(F.struct("_bin", "_n"))).alias("_tally"))
+        .join(side, "series").withColumn("counts", tally(F.col("_tally"), F.col("edges")))
+    )
+    return counted.select(*keys, "series", "counts", *(["edges"] if with_edges else []))
 
 
 def as_frequencies(counts):
@@ -92,11 +94,11 @@ def as_frequencies(counts):
 def make_bins(series: DataFrame, n_bins: int = 10, digits: int | None = None,
               accuracy: int = 10_000) -> DataFrame:
     """(series, edges, freqs): the reference histogram of every series."""
-    return _with_freqs(series, quantile_edges(series, n_bins, digits, accuracy=accuracy), n_bins)
+    return _with_freqs(series, quantile_edges(series, n_bins, digits, accuracy=accuracy))
 
 
-def _with_freqs(series: DataFrame, edges: DataFrame, n_bins: int) -> DataFrame:
-    counts = bin_counts(series, edges, n_bins, with_edges=True)
+def _with_freqs(series: DataFrame, edges: DataFrame) -> DataFrame:
+    counts = bin_counts(series, edges, with_edges=True)
     return counts.select("series", "edges", as_frequencies(F.col("counts")).alias("freqs"))
 
 
@@ -113,14 +115,18 @@ def category_frequencies(series: DataFrame, keys: Sequence[str] = ("feature",))
 
 def reference_series(train: DataFrame, validation: DataFrame, spec: FeatureSpec) -> DataFrame:
     """Training features and target, and the predictions made on validation, as series."""
-    from .shaping import to_series
-
     columns = {name: F.col(name) for name in spec.numeric} | {TARGET_SERIES: F.col(spec.target)}
     return to_series(train, [], columns).unionByName(
         to_series(validation, [], {PREDICTION_SERIES: F.col(spec.prediction)}))
 
 
 def value_counts(series: DataFrame, keys: Sequence[str] = ("feature",)) -> DataFrame:
-    """Counts and proportions per level, most frequent first within a key."""
-    order = Window.partitionBy(*keys).orderBy(F.desc("n"), "category")
-    return category_frequencies(series, keys).withColumn("position", F.row_number().over(order))
+    """Counts and proportions per level, most frequent first within a key.
+
+    A key with as many levels as rows is sorted over all tasks: places count from the first one of the key.
+    """
+    counted = category_frequencies(series, keys).withColumn("_less", -F.col("n"))
+    placed = global_position(counted, [*keys, "_less", "category"], "_place").drop("_less")
+    first = placed.groupBy(*keys).agg(F.min("_place").alias("_first"))
+    return placed.join(first, list(keys)).withColumn(
+        "position", (F.col("_place") - F.col("_first") + 1).cast("int")).drop("_place", "_first")

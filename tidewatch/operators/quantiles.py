@@ -35,11 +35,11 @@ def _piece(value: Column, low: Column, high: Column) -> Column:
 
 
 def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float],
-                    accuracy: int = 10_000, few_groups: bool = False, small_group: int = 1_000_000) -> DataFrame:
+                    accuracy: int = 10_000, few_groups: bool = False) -> DataFrame:
     """One row per group: keys, `n` finite values, `quantiles` aligned with `probs`.
 
-    The sketch is written first, with the size of every group. If no group has more than
-    `small_group` values, `percentile` is bounded and takes two reads instead of three.
+    The sketch is written first; it takes one read of the rows, the counts between its points a second one, and the
+    values of the few intervals with a wanted rank a third one.
 
     `few_groups` says that the number of groups is bounded by a declared column list, which makes
     the per-group side tables safe to broadcast; otherwise the optimizer decides from their size.
@@ -51,14 +51,8 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Seque
     rows = df.select(*keys, F.col(value).cast("double").alias("_v")).where(is_finite(F.col("_v")))
     cuts = _cut_points(probs, accuracy)
     sketch = pinned(rows.groupBy(*keys).agg(
-        F.count("*").alias("_size"),
         F.array_sort(F.array_distinct(F.percentile_approx("_v", cuts, accuracy))).alias("_cuts")))
-    if (sketch.agg(F.max("_size")).first()[0] or 0) <= small_group:
-        return rows.groupBy(*keys).agg(
-            F.count("*").alias("n"), F.percentile("_v", F.array(*[F.lit(p) for p in probs])).alias("quantiles"))
-    sketch = sketch.drop("_size")
-
-    slot = lookup_bin("_v", "_cuts", len(cuts))
+    slot = lookup_bin(F.col("_v"), F.col("_cuts"))
     located = (
         rows.join(small(sketch), keys)
         .withColumn("_slot", slot)

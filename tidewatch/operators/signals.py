@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import finite, status_of
 from ..spec import OK, PREDICTION_SERIES, STRUCTURAL_KINDS, TARGET_SERIES, FeatureSpec
 from .baseline import Baseline
+from .contract import VIOLATION_KINDS
 from .drift import psi_categorical, psi_of
 from .profile import as_frequencies
 from .rules import resolve_thresholds
@@ -22,10 +23,10 @@ def series_psi(summary: DataFrame, baseline: Baseline) -> DataFrame:
         F.broadcast(baseline.profile.select("series", F.col("mean").alias("baseline_mean"))), "series")
     total = F.aggregate(F.coalesce("counts", F.array().cast("array<bigint>")), F.lit(0).cast("bigint"),
                         lambda a, c: a + c)
-    psi = F.when((F.size("freqs") >= 2) & (total > 0), psi_of(F.col("freqs"), as_frequencies(F.col("counts"))))
+    psi = F.when((F.size("freqs") >= 2) & (total > 0), psi_of(F.col("freqs"), as_frequencies(F.col("counts")))).otherwise(0.0)
     # the baseline of one model: a row per declared series
     return summary.join(F.broadcast(known), "series").select(
-        "batch_id", "series", F.coalesce(psi, F.lit(0.0)).alias("psi"), "baseline_mean",
+        "batch_id", "series", psi.alias("psi"), "baseline_mean",
         F.col("mean").alias("batch_mean"), (F.col("n_rows") - F.col("n_null")).alias("n_values"))
 
 
@@ -153,7 +154,7 @@ def batch_signals(frame: DataFrame, rules) -> DataFrame:
 def problem_flags(spec: FeatureSpec) -> list[Column]:
     """Per-batch aggregates over signals: where is the problem?"""
     bad = F.col("status") != OK
-    of_target = F.startswith(F.col("name"), F.lit(f"schema:{spec.target}"))
+    of_target = F.col("name").isin(*[f"schema:{spec.target}:{kind}" for kind in VIOLATION_KINDS])
 
     def any_bad(condition: Column) -> Column:
         return F.coalesce(F.bool_or(bad & condition), F.lit(False))

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import is_finite, lookup_bin, nan_to_null, normalize_decimal, to_double
+from ..functions import is_finite, lookup_bin, nan_to_null, normalize_decimal, tally, to_double
 from ..spec import PREDICTION_SERIES, TARGET_SERIES, FeatureSpec
 from .shaping import to_series
 
@@ -60,24 +60,26 @@ def numeric_summary(rows: DataFrame, spec: FeatureSpec, bins: DataFrame | None =
     failed = F.array_contains("unparsed", F.col("series")) if "unparsed" in carried else F.lit(False)
     dimension = series_dimension(spec, bins, rows.sparkSession)
     located = long.join(F.broadcast(dimension), "series").select(
-        *keys, "series", "low", "high", F.coalesce(F.size("edges"), F.lit(-1)).alias("_edges"),
-        F.when(counted, value).alias("v"), counted.alias("_counted"), scored.alias("_scored"),
-        failed.alias("_failed"),
-        F.when(scored & is_finite(F.col("value")),
-               lookup_bin("value", "edges", spec.bins - 1)).alias("_bin"))
-    tallies = [F.expr(f"count_if(_bin = {i}) AS _b{i}") for i in range(spec.bins)]
-    out = located.groupBy(*keys, "series").agg(
+        *keys, "series", F.when(counted, value).alias("v"), counted.alias("_counted"), scored.alias("_scored"),
+        failed.alias("_failed"), ((F.col("value") < F.col("low")) | (F.col("value") > F.col("high"))).alias("_out"),
+        F.when(scored & is_finite(F.col("value")), lookup_bin(F.col("value"), F.col("edges"))).alias("_bin"))
+    scored_value = F.when(F.col("_scored"), F.col("v"))
+    # rows are folded per bin first, so the number of bins is the baseline's own
+    by_bin = located.groupBy(*keys, "series", "_bin").agg(
         F.count_if("_counted").alias("n_rows"),
         F.count_if(F.col("_counted") & F.col("v").isNull()).alias("n_null"),
-        F.count_if("_failed").alias("n_failed"),
-        F.count_if((F.col("v") < F.col("low")) | (F.col("v") > F.col("high"))).alias("n_out"),
-        F.min("v").alias("min"), F.max("v").alias("max"),
-        F.avg(F.when(F.col("_scored"), F.col("v"))).alias("mean"),
-        F.max("low").alias("low"), F.max("high").alias("high"),
-        F.max("_edges").alias("_edges"), *tallies)
-    counts = F.slice(F.array(*[F.col(f"_b{i}") for i in range(spec.bins)]), F.lit(1), F.col("_edges") + 1)
-    return out.select(*keys, "series", "n_rows", "n_null", "n_failed", "n_out", "min", "max", "mean",
-                      "low", "high", F.when(F.col("_edges") >= 0, counts).alias("counts"))
+        F.count_if("_failed").alias("n_failed"), F.count_if(F.col("v").isNotNull() & F.col("_out")).alias("n_out"),
+        F.min("v").alias("min"), F.max("v").alias("max"), F.sum(scored_value).alias("total"),
+        F.count(scored_value).alias("n_scored"), F.count("*").alias("n"))
+    filled = F.filter(F.collect_list(F.struct("_bin", "n")), lambda entry: entry["_bin"].isNotNull())
+    out = by_bin.groupBy(*keys, "series").agg(
+        *[F.sum(c).alias(c) for c in ("n_rows", "n_null", "n_failed", "n_out", "total", "n_scored")],
+        F.min("min").alias("min"), F.max("max").alias("max"), F.map_from_entries(filled).alias("_tally")
+    ).join(F.broadcast(dimension), "series")
+    return out.select(
+        *keys, "series", "n_rows", "n_null", "n_failed", "n_out", "min", "max",
+        F.try_divide("total", "n_scored").alias("mean"), "low", "high",
+        F.when(F.col("edges").isNotNull(), tally(F.col("_tally"), F.col("edges"))).alias("counts"))
 
 
 def category_summary(rows: DataFrame, spec: FeatureSpec,

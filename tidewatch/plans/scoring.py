@@ -44,7 +44,7 @@ def score_directory(spark: SparkSession, directory: str, model: PipelineModel, b
     seen = monitor(scored, loaded.batches, baseline, spec, model_id, dict(rules or {}), n_features, loaded.columns)
     reconciled = seen.status.where("reconciled").select("batch_id")
     merged = reconcile(state, seen.signals, reconciled, run_id, at, model_id)
-    merged = Reconciled(pinned(merged.state), pinned(merged.transitions))
+    merged = Reconciled(pinned(merged.state), pinned(merged.transitions), pinned(merged.closed))
     rows = with_provenance(with_row_errors(scored.where("scored"), spec.target, spec.prediction),
                            {"model_id": model_id, **(provenance or {})}, run_id, at).drop("unparsed", "scored")
     flat = flat_report(seen.status, seen.reference, merged.transitions, run_id, at, dict(provenance or {}))
@@ -53,15 +53,16 @@ def score_directory(spark: SparkSession, directory: str, model: PipelineModel, b
 
 def write_run(run: ScoredRun, path: str, run_id: str, run_number: int) -> None:
     """Predictions, monitoring rows, reports, transitions and the next alert state."""
-    tables.append_predictions(run.rows, f"{path}/predictions")
-    tables.append_monitoring(monitoring_rows(run.monitored.status, run.flat), f"{path}/monitoring")
+    tables.append_predictions(run.rows, f"{path}/predictions", run_id)
+    tables.append_monitoring(monitoring_rows(run.monitored.status, run.flat), f"{path}/monitoring", run_id)
     tables.write_report(run.monitored.status, run.flat, f"{path}/reports", run_id)
-    run.alerts.transitions.write.mode("append").parquet(f"{path}/transitions")
+    tables.append_run(run.alerts.transitions, f"{path}/transitions", run_id)
+    tables.append_run(run.alerts.closed, f"{path}/closed_alerts", run_id)
     tables.save_state(run.alerts.state, f"{path}/alerts", run_number)
 
 
 def fail_on_alert(run: ScoredRun) -> None:
     """For schedulers that should stop on a red run."""
-    red = [r.batch_id for r in run.monitored.status.where(F.col("status") == "ALERT").select("batch_id").limit(20).collect()]
-    if red:
-        raise RuntimeError(f"batches in ALERT, among them: {', '.join(sorted(red))}")
+    red = run.monitored.status.where(F.col("status") == "ALERT").agg(F.count("*"), F.min("batch_id"), F.max("batch_id")).first()
+    if red[0]:
+        raise RuntimeError(f"{red[0]} batches in ALERT, from {red[1]} to {red[2]}; the status table lists them")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..operators.baseline import Baseline, build_baseline
 from ..operators.features import category_levels, encoded_names
 from ..operators.selection import comparison_table, select_best
-from ..operators.training import CATALOG, Family, Search, candidates_table, get_families, predict, search_family, split_rows
+from ..operators.training import CATALOG, Family, Search, candidates_table, requested, predict, search_family, split_rows
 from ..session import pinned
 from ..spec import FeatureSpec
 
@@ -35,7 +35,7 @@ def train(rows: DataFrame, spec: FeatureSpec, key: Sequence[str], model_id: str,
     levels = category_levels(train_rows, spec.categorical)
     names = encoded_names(spec, levels)
     searches = [search_family(train_rows, f, spec, levels, key, budget, folds, parallelism)
-                for f in get_families(families, catalog)]
+                for f in requested(catalog if families is None else families, catalog)]
     run = F.lit("run").alias("comparison")
     candidates = pinned(candidates_table(searches, split, spec, len(names), budget, catalog).select(run, "*"))
     choice = select_best(candidates, ["comparison"], metric, mode)

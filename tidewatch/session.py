@@ -5,7 +5,6 @@ from __future__ import annotations
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
 def build_session(app: str = "tidewatch", master: str | None = None, **conf: str) -> SparkSession:
@@ -41,7 +40,3 @@ def pinned(df: DataFrame) -> DataFrame:
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
-
-def small_side(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
-    """Broadcast a narrow join side after counting that it is small; leave it to the optimizer if not."""
-    return F.broadcast(df) if df.count() <= max_rows else df

@@ -8,20 +8,17 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import clean_category, decimal_convention, normalize_decimal, parse_decimal, to_double
-from ..session import pinned, small_side
+from ..session import pinned
 from ..spec import FeatureSpec
 
 # The naming convention of batch files.
 _NAME = r"(?i)/dataset_([^/]+?)_(feats|target)\.csv(\.csv)?(?:/[^/]+)?$"
 _SOURCE = r"(?i)^(.*/dataset_[^/]+?_(?:feats|target)\.csv(?:\.csv)?)(?:/[^/]+)?$"
 
-CONVENTION_ROWS = 50  # fixed value: rows looked at to name the decimal convention
-
 
 def _named(path: Column) -> dict[str, Column]:
     return {
@@ -32,54 +29,75 @@ def _named(path: Column) -> dict[str, Column]:
     }
 
 
+def _plain(path: Column) -> Column:
+    """One spelling of a path: listings and scans differ in the slashes after the scheme."""
+    return F.regexp_replace(path, "^([a-z0-9]+):/+", "$1:/")
+
+
 def batch_files(spark: SparkSession, directory: str) -> DataFrame:
-    """(path, batch_id, kind, extension, source) of every batch file, from the listing alone."""
-    try:
-        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(directory)
-    except AnalysisException as problem:
-        raise FileNotFoundError(f"no batch directory {directory}") from problem
-    path = F.col("_metadata.file_path")
-    return files.select(path.alias("path")).withColumns(_named(F.col("path"))).where("batch_id != ''")
+    """(path, length, batch_id, kind, extension, source) of every batch file, empty ones too.
+
+    The names come from the file system: a scan would leave out files without content.
+    """
+    root = spark._jvm.org.apache.hadoop.fs.Path(directory)
+    system = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(root):
+        raise FileNotFoundError(f"no batch directory {directory}")
+    listing, found = system.listFiles(root, True), []
+    while listing.hasNext():
+        status = listing.next()
+        if not status.getPath().getName().startswith(("_", ".")):
+            found.append((status.getPath().toString(), status.getLen()))
+    files = spark.createDataFrame(found, "path string, length bigint")
+    return files.withColumn("path", _plain(F.col("path"))).withColumns(_named(F.col("path"))).where("batch_id != ''")
 
 
 def discover_batches(spark: SparkSession, directory: str) -> DataFrame:
     """(batch_id, features, target, has_target) of a directory; no content is read.
 
     Both sides are paired by the extracted id, case-insensitively on the convention. Of several
-    targets the one with the extension of the features wins, then the doubled extension.
+    targets the one with the extension of the features wins, then the doubled extension. Several feature files with
+    one id are several batches: their batch_id then carries the file's place in the directory.
     """
     sources = batch_files(spark, directory).select("batch_id", "kind", "extension", "source").distinct()
-    features = sources.where("kind = 'feats'").groupBy("batch_id").agg(
-        F.min_by(F.struct("source", "extension"), "source").alias("f"))
+    features = sources.where("kind = 'feats'").select(F.col("batch_id").alias("id"), "extension", F.col("source").alias("features"))
     targets = sources.where("kind = 'target'").select(
-        "batch_id", F.col("extension").alias("t_extension"), F.col("source").alias("target"))
-    order = F.struct(F.col("t_extension") != F.col("f.extension"), -F.length("t_extension"), "target")
-    paired = features.join(targets, "batch_id", "left").groupBy("batch_id").agg(
-        F.first("f").alias("f"), F.min_by("target", order).alias("target"))
-    found = paired.select("batch_id", F.col("f.source").alias("features"), "target",
-                          F.col("target").isNotNull().alias("has_target"))
+        F.col("batch_id").alias("id"), F.col("extension").alias("t_extension"), F.col("source").alias("target"))
+    folder = F.regexp_extract("features", "^(.*)/[^/]+$", 1)
+    order = F.struct(F.regexp_extract("target", "^(.*)/[^/]+$", 1) != folder, F.col("t_extension") != F.col("extension"),
+                     -F.length("t_extension"), "target")
+    paired = features.join(targets, "id", "left").groupBy("id", "features").agg(F.min_by("target", order).alias("target"))
+    same = Window.partitionBy("id")
+    root = _plain(F.lit(str(spark._jvm.org.apache.hadoop.fs.Path(directory).toString()).rstrip("/")))
+    place = F.expr("substring(features, greatest(1, locate(_root, features)) + length(_root) + 1)")
+    found = paired.withColumns({"_n": F.count("*").over(same), "_root": root}).select(
+        F.when(F.col("_n") > 1, F.concat_ws("@", "id", place)).otherwise(F.col("id")).alias("batch_id"), "features", "target",
+        F.col("target").isNotNull().alias("has_target"))
     if found.isEmpty():
         raise FileNotFoundError(f"no file named dataset_<id>_feats.csv in {directory}")
     return found.orderBy("features")
 
 
 def read_lines(spark: SparkSession, batches: DataFrame, directory: str) -> DataFrame:
-    """Every non-blank line of the chosen files with its place in the file, written once.
+    """Every non-blank line of the chosen files with its place in the file and its number of quotes, written once.
 
     Which bytes form a split depends on the cluster, so the lines are pinned before positions are
     counted: later stages must not see another cut.
     """
-    sources = batches.select(F.explode(F.array_compact(F.array("features", "target"))).alias("source"))
-    chosen = batch_files(spark, directory).join(sources, "source", "left_semi").select("path", "batch_id", "kind", "source")
-    path = F.col("_metadata.file_path")
+    sources = batches.select("batch_id", F.explode(F.array(
+        F.struct(F.lit("feats").alias("kind"), F.col("features").alias("source")),
+        F.struct(F.lit("target").alias("kind"), F.col("target").alias("source")))).alias("s")).select("batch_id", "s.*")
+    chosen = batch_files(spark, directory).select("path", "source").join(sources, "source")
+    path = _plain(F.col("_metadata.file_path"))
     lines = (
         spark.read.option("recursiveFileLookup", "true").text(directory)
         .where(F.contains(F.lower(path), F.lit("/dataset_")))
         .where(F.btrim("value", F.lit(" \t\r\ufeff")) != "")
         .select("value", path.alias("path"), F.col("_metadata.file_block_start").alias("block_start"))
         .withColumn("line_id", F.monotonically_increasing_id())
+        .withColumn("quotes", F.length("value") - F.length(F.translate("value", '"', "")))
     )
-    return pinned(lines.join(small_side(chosen), "path"))
+    return pinned(lines.join(chosen, "path"))
 
 
 def _header_is_data(kind: Column, line: Column) -> Column:
@@ -87,32 +105,64 @@ def _header_is_data(kind: Column, line: Column) -> Column:
     return (kind == "target") & parse_decimal(F.btrim(line, F.lit("\ufeff"))).isNotNull()
 
 
+SPLIT = ("batch_id", "source", "kind", "path", "block_start")
+
+
+def _inside_quotes(lines: DataFrame, splits: DataFrame) -> DataFrame:
+    """The lines of files that have a line with an odd number of quotes, with `starts`: whether a record begins there.
+
+    A line between quotes that an earlier line opened continues that record. Such files are ordered split by split; the
+    list of splits carries the parity over.
+    """
+    file_of = Window.partitionBy("batch_id", "source", "path")
+    earlier = file_of.orderBy("block_start").rowsBetween(Window.unboundedPreceding, -1)
+    parity = splits.select(*SPLIT, F.coalesce(F.sum("odd").over(earlier), F.lit(0)).alias("_open"), F.sum("odd").over(file_of).alias("_odd"))
+    before = Window.partitionBy(*SPLIT).orderBy("line_id").rowsBetween(Window.unboundedPreceding, -1)
+    quotes = F.col("_open") + F.coalesce(F.sum("quotes").over(before), F.lit(0))
+    return lines.join(parity.where("_odd > 0"), list(SPLIT)).withColumn("starts", quotes % 2 == 0).drop("_open", "_odd")
+
+
 def index_rows(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(rows, headers): data rows with a zero-based `row_index` per source, and (source, path, header).
+    """(rows, headers): data rows with a zero-based `row_index` per source, and (batch_id, source, path, header).
 
     Lines of one split are consecutive, so a row's place is its distance from the first line of its
-    split plus the rows of the splits before it: no window spans more than the list of splits.
+    split plus the rows of the splits before it: no window spans more than the list of splits. Only files with line breaks
+    inside quotes are counted record by record; blank lines count nowhere.
     """
-    splits = lines.groupBy("source", "kind", "path", "block_start").agg(
-        F.count("*").alias("n_lines"), F.min("line_id").alias("first_id"), F.min_by("value", "line_id").alias("first_line"))
+    first = F.min_by("value", "line_id").alias("first_line")
+    splits = pinned(lines.groupBy(*SPLIT).agg(  # one row per split, read for parity, offsets and headers
+        F.count("*").alias("n_lines"), F.min("line_id").alias("first_id"), first, F.sum(F.col("quotes") % 2).alias("odd")))
+    inside = pinned(_inside_quotes(lines, splits))
+    begun = inside.groupBy(*SPLIT).agg(F.count_if("starts").alias("n_begun"))
     has_header = (F.col("block_start") == 0) & ~_header_is_data(F.col("kind"), F.col("first_line"))
-    splits = splits.withColumn("skip", has_header.cast("int"))
-    earlier = (Window.partitionBy("source").orderBy(F.length("path"), "path", "block_start")
+    counted = splits.join(begun, list(SPLIT), "left").withColumns({
+        "skip": has_header.cast("int"), "n_records": F.coalesce("n_begun", "n_lines")})
+    earlier = (Window.partitionBy("batch_id", "source").orderBy(F.length("path"), "path", "block_start")
                .rowsBetween(Window.unboundedPreceding, -1))
-    splits = pinned(splits)  # one row per split, read for the offsets and for the headers
-    offsets = splits.select(
-        "path", "block_start", "first_id", "skip",
-        F.coalesce(F.sum(F.col("n_lines") - F.col("skip")).over(earlier), F.lit(0)).alias("offset"))
-    headers = splits.where("skip = 1").select("source", "kind", "path", F.btrim("first_line", F.lit("\ufeff")).alias("header"))
-    rows = lines.join(small_side(offsets), ["path", "block_start"]).where("line_id >= first_id + skip").withColumn(
+    offsets = counted.select(
+        *SPLIT, "first_id", "skip", F.col("n_begun").isNotNull().alias("_quoted"),
+        F.coalesce(F.sum(F.col("n_records") - F.col("skip")).over(earlier), F.lit(0)).alias("offset"))
+    headers = counted.where("skip = 1").select("batch_id", "source", "kind", "path", F.btrim("first_line", F.lit("\ufeff")).alias("header"))
+    plain = lines.join(offsets.where("not _quoted"), list(SPLIT)).where("line_id >= first_id + skip").withColumn(
         "row_index", F.col("offset") + F.col("line_id") - F.col("first_id") - F.col("skip"))
-    return rows.select("batch_id", "kind", "source", "path", "row_index", "value"), headers
+    upto = Window.partitionBy(*SPLIT).orderBy("line_id")
+    numbered = inside.join(offsets, list(SPLIT)).withColumn(
+        "row_index", F.col("offset") + F.sum(F.col("starts").cast("int")).over(upto) - 1 - F.col("skip"))
+    parts = F.array_sort(F.collect_list(F.struct("line_id", "value")))
+    records = numbered.groupBy("batch_id", "kind", "source", "path", "row_index").agg(
+        F.array_join(F.transform(parts, lambda x: x["value"]), "\n").alias("value")).where("row_index >= 0")
+    columns = ["batch_id", "kind", "source", "path", "row_index", "value"]
+    # the header of a file with quoted breaks has the index before its first row
+    starts = offsets.where("_quoted and skip = 1").select("batch_id", "path", F.col("offset").alias("_first"))
+    records = records.join(starts.groupBy("batch_id", "path").agg(F.min("_first").alias("_first")), ["batch_id", "path"], "left").where(
+        "row_index >= coalesce(_first, 0)")
+    return plain.select(*columns).unionByName(records.select(*columns)), headers
 
 
 def _fields(line: Column, width: int) -> Column:
-    """Quoted-aware fields of a CSV line as an array of text."""
+    """Quoted-aware fields of a CSV record as an array of text."""
     schema = ", ".join(f"_c{i} string" for i in range(width))
-    parsed = F.from_csv(line, schema, {"mode": "PERMISSIVE", "quote": '"', "escape": '"'})
+    parsed = F.from_csv(line, schema, {"mode": "PERMISSIVE", "quote": '"', "escape": '"', "lineSep": "\u0001"})
     return F.array(*[parsed[f"_c{i}"] for i in range(width)])
 
 
@@ -132,7 +182,7 @@ def parse_features(rows: DataFrame, headers: DataFrame, spec: FeatureSpec) -> tu
     width = heads.agg(F.max(F.length("header") - F.length(F.translate("header", ",", "")) + 1)).first()[0] or 1
     names = F.transform(_fields(F.col("header"), width), lambda n: F.lower(F.btrim(n, F.lit(" \t\"\ufeff"))))
     heads = heads.select("path", names.alias("names"))
-    named = rows.where("kind = 'feats'").join(small_side(heads), "path").withColumn("_f", _fields(F.col("value"), width))
+    named = rows.where("kind = 'feats'").join(heads.select("batch_id", "path", "names"), ["batch_id", "path"]).withColumn("_f", _fields(F.col("value"), width))
 
     def pick(column: str) -> Column:
         return F.get("_f", (F.array_position("names", column) - 1).cast("int"))
@@ -146,7 +196,7 @@ def parse_features(rows: DataFrame, headers: DataFrame, spec: FeatureSpec) -> tu
         "batch_id", "row_index", *[F.col(f"_n_{c}").alias(c) for c in spec.numeric],
         *[clean_category(F.col(c)).alias(c) for c in spec.categorical],
         (F.array_compact(F.array(*failed)) if failed else F.array().cast("array<string>")).alias("unparsed"))
-    present = rows.where("kind = 'feats'").select("batch_id", "path").distinct().join(heads, "path") \
+    present = rows.where("kind = 'feats'").select("batch_id", "path").distinct().join(heads.select("batch_id", "path", "names"), ["batch_id", "path"]) \
         .select("batch_id", F.explode("names").alias("column")).distinct()
     return typed, present
 
@@ -160,9 +210,8 @@ def parse_targets(rows: DataFrame, target: str) -> DataFrame:
 
 
 def target_conventions(rows: DataFrame) -> DataFrame:
-    """Decimal convention of each batch's target, from its first rows."""
-    head = rows.where(f"kind = 'target' AND row_index < {CONVENTION_ROWS}")
-    return head.groupBy("batch_id").agg(decimal_convention(
+    """Decimal convention of each batch's target, from all its rows."""
+    return rows.where("kind = 'target'").groupBy("batch_id").agg(decimal_convention(
         F.bool_or(F.contains("value", F.lit(","))), F.bool_or(F.contains("value", F.lit(".")))).alias("convention"))
 
 

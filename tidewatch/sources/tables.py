@@ -64,9 +64,15 @@ def baseline_in_use(baselines: Baseline, model_id: str) -> DataFrame:
         "exact")
 
 
-def append_predictions(scored: DataFrame, path: str) -> None:
-    """Predictions partitioned by batch. The rebalance lets AQE split a large batch over many files."""
-    scored.hint("rebalance", "batch_id").write.mode("append").partitionBy("batch_id").parquet(path)
+def append_run(rows: DataFrame, path: str, run_id: str, *partitions: str) -> None:
+    """Add a run's rows as its own partition; a retried run replaces what it wrote before, and nothing else."""
+    writer = rows.drop("run_id").write.mode("overwrite")
+    (writer.partitionBy(*partitions) if partitions else writer).parquet(f"{path}/run_id={run_id}")
+
+
+def append_predictions(scored: DataFrame, path: str, run_id: str) -> None:
+    """Predictions partitioned by run and batch. The rebalance lets AQE split a large batch over many files."""
+    append_run(scored.hint("rebalance", "batch_id"), path, run_id, "batch_id")
 
 
 def write_predictions_csv(scored: DataFrame, path: str, run_id: str) -> None:
@@ -74,8 +80,8 @@ def write_predictions_csv(scored: DataFrame, path: str, run_id: str) -> None:
         .option("header", "true").csv(f"{path}/run_id={run_id}")
 
 
-def append_monitoring(rows: DataFrame, path: str) -> None:
-    rows.write.mode("append").parquet(path)
+def append_monitoring(rows: DataFrame, path: str, run_id: str) -> None:
+    append_run(rows, path, run_id)
 
 
 def write_report(status: DataFrame, flat: DataFrame, path: str, run_id: str) -> None:
