@@ -196,7 +196,7 @@ def _sql(final: str, *views: str) -> str:
     if not views:
         return final
     parts = ",\n".join(f"{name} AS MATERIALIZED ({_VIEWS[name]})" for name in _needed(list(views), []))
-    return f"WITH {parts}\n{final}"
+    return f"WITH {parts},\n{final[5:]}" if final.startswith("WITH ") else f"WITH {parts}\n{final}"
 
 
 def oracle(name: str, final: str, *views: str) -> None:
@@ -318,7 +318,8 @@ oracle("regression_metrics", """SELECT batch_id, count(*) AS n_samples, round(sq
     round(1 - sum((y - p) ** 2) / (count(*) * var_pop(y)) * (count(*) - 1) / (count(*) - 7), 6) + 0.0 AS adj_r2
     FROM (SELECT batch_id, y, p, ln(1 + y) AS ly, ln(1 + p) AS lp FROM (
         SELECT batch_id, CASE WHEN l_linenumber = 7 THEN 0.0 ELSE price END AS y, prediction AS p FROM batch
-        WHERE yr <> 2001 AND l_linenumber <> 6)) GROUP BY batch_id""", "batch")
+        WHERE yr <> 2001 AND l_linenumber <> 6)) GROUP BY batch_id
+    UNION ALL SELECT DISTINCT batch_id, 0, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM batch WHERE yr = 2001""", "batch")
 oracle("prediction_summaries", """SELECT batch_id, round(avg(prediction), 4) + 0.0 AS pred_mean, round(stddev_pop(prediction), 4) + 0.0 AS pred_std,
     round(min(prediction), 4) + 0.0 AS pred_min, round(max(prediction), 4) + 0.0 AS pred_max FROM batch GROUP BY batch_id""", "batch")
 oracle("largest_psi", """SELECT batch_id, round(max(psi), 6) + 0.0 AS psi_max, max_by(feature, psi) AS psi_max_feature,

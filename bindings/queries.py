@@ -415,8 +415,8 @@ def categorical_psi(spark, sf):
 @query
 def regression_metrics(spark, sf):
     rows = batch_rows(spark, sf).withColumn(
-        "price", F.when(F.col("l_linenumber") == 6, F.lit(float("inf"))).when(F.col("l_linenumber") == 7, 0.0)
-        .otherwise(F.col("price")))
+        "price", F.when(F.col("price").isNull(), None).when(F.col("l_linenumber") == 6, F.lit(float("inf")))
+        .when(F.col("l_linenumber") == 7, 0.0).otherwise(F.col("price")))
     out = canonical_metrics(rows, ["batch_id"], "price", "prediction", N_FEATURES)
     return rounded(out, {c: 6 for c in out.columns if c not in ("batch_id", "n_samples")} | {"rmse": 3, "mae": 3})
 

@@ -181,8 +181,8 @@ def parse_features(rows: DataFrame, headers: DataFrame, spec: FeatureSpec) -> tu
     heads = headers.where("kind = 'feats'")
     width = heads.agg(F.max(F.length("header") - F.length(F.translate("header", ",", "")) + 1)).first()[0] or 1
     names = F.transform(_fields(F.col("header"), width), lambda n: F.lower(F.btrim(n, F.lit(" \t\"\ufeff"))))
-    heads = heads.select("path", names.alias("names"))
-    named = rows.where("kind = 'feats'").join(heads.select("batch_id", "path", "names"), ["batch_id", "path"]).withColumn("_f", _fields(F.col("value"), width))
+    heads = heads.select("batch_id", "path", names.alias("names"))
+    named = rows.where("kind = 'feats'").join(heads, ["batch_id", "path"]).withColumn("_f", _fields(F.col("value"), width))
 
     def pick(column: str) -> Column:
         return F.get("_f", (F.array_position("names", column) - 1).cast("int"))
@@ -196,7 +196,7 @@ def parse_features(rows: DataFrame, headers: DataFrame, spec: FeatureSpec) -> tu
         "batch_id", "row_index", *[F.col(f"_n_{c}").alias(c) for c in spec.numeric],
         *[clean_category(F.col(c)).alias(c) for c in spec.categorical],
         (F.array_compact(F.array(*failed)) if failed else F.array().cast("array<string>")).alias("unparsed"))
-    present = rows.where("kind = 'feats'").select("batch_id", "path").distinct().join(heads.select("batch_id", "path", "names"), ["batch_id", "path"]) \
+    present = rows.where("kind = 'feats'").select("batch_id", "path").distinct().join(heads, ["batch_id", "path"]) \
         .select("batch_id", F.explode("names").alias("column")).distinct()
     return typed, present
 
