@@ -44,20 +44,28 @@ def bit_filter(keys: DataFrame, key: str, bits: int) -> DataFrame:
             .groupBy("page").agg(F.bitmap_construct_agg("slot").alias("bitmap")))
 
 
-def _marked(df: DataFrame, key: Column, kept: DataFrame, bits: int) -> DataFrame:
-    """df with `_filter_hit`: whether the row's bit is set; a broadcast of at most bits / 8 bytes, and no shuffle of df."""
-    slot = F.pmod(key, F.lit(bits))
-    pages = F.broadcast(kept.select(F.col("page").alias("_filter_page"), F.col("bitmap").alias("_filter_bitmap")))
-    marked = df.withColumns({"_filter_slot": slot, "_filter_at": F.floor(slot / PAGE_BITS)})
-    byte = F.conv(F.hex(F.expr(f"substring(_filter_bitmap, int((_filter_slot % {PAGE_BITS}) div 8) + 1, 1)")), 16, 10).cast("int")
-    hit = F.pmod(F.floor(byte / F.expr("power(2, _filter_slot % 8)")), F.lit(2)) == 1
-    return marked.join(pages, F.col("_filter_at") == F.col("_filter_page"), "left").withColumn(
-        "_filter_hit", F.coalesce(hit, F.lit(False))).drop("_filter_slot", "_filter_at", "_filter_page", "_filter_bitmap")
+def _marked(df: DataFrame, key: Column, kept: DataFrame, bits: int) -> tuple[DataFrame, str]:
+    """df with a column that says whether the row's bit is set, and that column's name, which df does not have.
+
+    A broadcast of at most bits / 8 bytes, and no shuffle of df.
+    """
+    own = "_f"
+    while any(c.lower().startswith(own) for c in df.columns):
+        own += "_"
+    slot, at, page, bitmap, hit = (own + c for c in ("slot", "at", "page", "bitmap", "hit"))
+    pages = F.broadcast(kept.select(F.col("page").alias(page), F.col("bitmap").alias(bitmap)))
+    slots = df.withColumn(slot, F.pmod(key, F.lit(bits)))
+    marked = slots.withColumn(at, F.floor(F.col(slot) / PAGE_BITS))
+    byte = F.conv(F.hex(F.expr(f"substring({bitmap}, int(({slot} % {PAGE_BITS}) div 8) + 1, 1)")), 16, 10).cast("int")
+    is_set = F.pmod(F.floor(byte / F.expr(f"power(2, {slot} % 8)")), F.lit(2)) == 1
+    return marked.join(pages, F.col(at) == F.col(page), "left").withColumn(
+        hit, F.coalesce(is_set, F.lit(False))).drop(slot, at, page, bitmap), hit
 
 
 def passing(df: DataFrame, key: Column, kept: DataFrame, bits: int) -> DataFrame:
     """The rows of df that pass a `bit_filter`."""
-    return _marked(df, key, kept, bits).where("_filter_hit").drop("_filter_hit")
+    marked, hit = _marked(df, key, kept, bits)
+    return marked.where(hit).drop(hit)
 
 
 def dropping(df: DataFrame, ids: DataFrame, key: str, bits: int = 1 << 26) -> DataFrame:
@@ -65,8 +73,8 @@ def dropping(df: DataFrame, ids: DataFrame, key: str, bits: int = 1 << 26) -> Da
 
     Only rows that a bit filter of the ids does not clear are shuffled for the exact anti join.
     """
-    marked = _marked(df, F.col(key), pinned(bit_filter(ids, key, bits)), bits)
-    return marked.where("not _filter_hit").unionByName(marked.where("_filter_hit").join(ids, key, "left_anti")).drop("_filter_hit")
+    marked, hit = _marked(df, F.col(key), pinned(bit_filter(ids, key, bits)), bits)
+    return marked.where(f"not {hit}").unionByName(marked.where(hit).join(ids, key, "left_anti").select(marked.columns)).drop(hit)
 
 
 def checked_broadcast(df: DataFrame, row_bytes: int, limit: int = 64 << 20) -> DataFrame:

@@ -15,6 +15,7 @@ from __future__ import annotations
 import hashlib
 import re
 from dataclasses import dataclass
+from functools import lru_cache
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -75,26 +76,35 @@ def host_of(url: str | None) -> str:
     return found.group(1).lower() if found else ""
 
 
+@lru_cache(maxsize=1 << 16)
+def _judged(tag: str, names: str, role: str) -> tuple[str, bool, bool]:
+    """(kind, main, noise) that an element's tag, class, id and role tell; numbers in names are left out of the kind."""
+    words, roles = set(re.split(r"[^a-z]+", names)), set(role.split())
+    kind = " ".join(sorted(re.sub(r"\d+", "", names).split()))
+    main = tag in MAIN_TAGS or not MAIN_ROLES.isdisjoint(roles)
+    named = not NOISE_NAMES.isdisjoint(words) and tag not in MAIN_TAGS and tag not in ("html", "body")
+    return kind, main, tag in NOISE_TAGS or not NOISE_ROLES.isdisjoint(roles) or named
+
+
+@lru_cache(maxsize=1 << 16)
+def _path_code(above: int, tag: str, kind: str) -> int:
+    return _code(above, tag, kind)
+
+
 class Element:
-    __slots__ = ("tag", "path", "main", "noise", "unseen", "plain", "children", "has_text", "digest", "branch")
+    __slots__ = ("tag", "path", "main", "noise", "unseen", "plain", "children", "texts", "branch")
 
     def __init__(self, tag: str, attributes: dict[str, str], parent: Element | None):
-        names = " ".join(attributes.get(k, "") for k in ("class", "id")).lower()
-        roles = attributes.get("role", "").lower().split()
-        words = set(re.split(r"[^a-z]+", names))
-        kind = " ".join(sorted(re.sub(r"\d+", "", names).split()))
-        self.tag, self.plain = tag, not names.strip()
-        self.path = _code(parent.path if parent else 0, tag, kind)
+        names = f"{attributes.get('class', '')} {attributes.get('id', '')}".lower() if attributes else " "
+        kind, main, noise = _judged(tag, names, attributes.get("role", "").lower())
+        self.tag, self.plain, self.children, self.texts = tag, not names.strip(), [], []
+        self.path = _path_code(parent.path if parent else 0, tag, kind)
         self.branch = (*parent.branch, self.path) if parent else ()
-        self.main = (parent is not None and parent.main) or tag in MAIN_TAGS or not MAIN_ROLES.isdisjoint(roles)
-        named = tag in NOISE_TAGS or not NOISE_ROLES.isdisjoint(roles) or (
-            not NOISE_NAMES.isdisjoint(words) and tag not in MAIN_TAGS and tag not in ("html", "body"))
-        hidden = "hidden" in attributes or attributes.get("aria-hidden", "").lower() == "true" or \
-            "display:none" in attributes.get("style", "").replace(" ", "").lower()
-        self.noise = (parent is not None and parent.noise) or named or hidden
+        hidden = bool(attributes) and ("hidden" in attributes or attributes.get("aria-hidden", "").lower() == "true" or
+                                       "display:none" in attributes.get("style", "").replace(" ", "").lower())
+        self.main = (parent is not None and parent.main) or main
+        self.noise = (parent is not None and parent.noise) or noise or hidden
         self.unseen = (parent is not None and parent.unseen) or tag in UNSEEN
-        self.children: list[str] = []
-        self.has_text, self.digest = False, hashlib.blake2b(digest_size=8)
 
 
 @dataclass(frozen=True)
@@ -123,8 +133,7 @@ class PageParser(HTMLParser):
         if text:
             self.blocks.append(Block(self.chain[-1].branch if self.chain else (), self.owner.main, self.owner.noise, text))
             for element in self.chain:
-                element.has_text = True
-                element.digest.update(text.encode("utf-8", "replace"))
+                element.texts.append(text)
 
     def _close(self, tags: tuple[str, ...]) -> None:
         """Close the innermost open element of these tags, unless a scope lies between."""
@@ -193,9 +202,9 @@ def page_nodes(page: PageParser) -> list[dict]:
     """One row for each path of the page outside named noise: the branch above it, child sequence, and content."""
     rows: dict[int, dict] = {}
     for element in page.elements:
-        if element.noise or not element.has_text:
+        if element.noise or not element.texts:
             continue
-        content = int.from_bytes(element.digest.digest(), "big", signed=True)
+        content = _code(*element.texts)
         row = rows.get(element.path)
         if row is None:
             rows[element.path] = {

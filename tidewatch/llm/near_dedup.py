@@ -3,12 +3,14 @@
 1. Each text becomes the sorted set of its shingle hashes. One permutation is cut into bins whose minima are the
    signature; empty bins borrow from bins chosen by a hash (optimal densification). Texts with equal sets are one class
    from here on, represented by the smallest doc_id.
-2. Bands of the signature give buckets. A bucket contributes an edge from each member to one centre, another one in each
-   band, so there are never more candidate edges than classes times bands.
+2. Bands of the signature give buckets. A bucket contributes one edge from each member to its centre, so there are never more
+   candidate edges than classes times bands, however large a bucket is.
 3. Candidates are confirmed on the full sets; connected components follow from the confirmed links.
-4. A star can miss a link between two members that are both unlike the centre. So every bucket that still holds more than
-   one component is taken up again: members outside its largest component become centres, a few at a time, until no pair
-   of a bucket from two components is left unseen. Rounds merge components, so few pairs remain for the last ones.
+4. A star can miss a link between two members that are both unlike the centre. So buckets that still hold several components
+   are cut by the value of a second band, another one in each round, and each part gets a centre of its own. Parts hold more
+   and more similar members, down to pairs. Rounds end when two in a row have joined nothing, or bands are used up. Every
+   round is bounded like the first one. A link is missed if it shares no band (see `rows_for`), or if in all rounds its two
+   members only meet other centres; tests and the README say how often.
 """
 
 from __future__ import annotations
@@ -17,14 +19,14 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.llm.common import bit_filter, dropping, passing
 from tidewatch.llm.components import components, merged_components
 from tidewatch.session import pinned
 
-SKETCH_SCHEMA = "doc_id long, n long, key binary, bands array<long>, tones binary"
+SKETCH_SCHEMA = "doc_id long, n long, key binary, bands array<long>"
 SET_SCHEMA = "doc_id long, n long, shingles binary"
 _ODD = [np.uint64(pow(0x9E3779B97F4A7C15, k + 1, 1 << 64)) for k in range(64)]
 _PROBES = 24
@@ -99,16 +101,14 @@ def _sketch(width: int, bands: int, rows: int):
             texts = batch.column(1).cast(pa.binary())
             sets = [shingle_set(t.as_py(), width, hashes) for t in texts]
             full = [k for k, s in enumerate(sets) if len(s)]
-            signatures = np.array([signer.signature(sets[k]) for k in full], dtype=np.uint64).reshape(len(full), -1)
-            band, tone = signer.band_hashes(signatures).astype(np.int64), (_mixed(signatures) & np.uint64(255)).astype(np.uint8)
-            of_band, of_tone = [[]] * len(sets), [b""] * len(sets)
-            for k, b, t in zip(full, band, tone, strict=True):
-                of_band[k], of_tone[k] = b, t.tobytes()
+            signatures = np.array([signer.signature(sets[k]) for k in full], dtype=np.uint64).reshape(len(full), signer.bins)
+            of_band = [[]] * len(sets)
+            for k, values in zip(full, signer.band_hashes(signatures).astype(np.int64), strict=True):
+                of_band[k] = values
             keys = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
             yield pa.RecordBatch.from_pydict({
                 "doc_id": batch.column(0), "n": pa.array([len(s) for s in sets], pa.int64()),
-                "key": pa.array(keys, pa.binary()), "bands": pa.array(of_band, pa.list_(pa.int64())),
-                "tones": pa.array(of_tone, pa.binary())})
+                "key": pa.array(keys, pa.binary()), "bands": pa.array(of_band, pa.list_(pa.int64()))})
     return sketch
 
 
@@ -135,13 +135,12 @@ def _linked(percent: int):
     return linked
 
 
-def _alike(least: float):
-    def alike(batches):
-        for batch in batches:
-            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(batch.num_rows, -1) for c in (2, 3))
-            ok = (x == y).mean(axis=1) >= least
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(ok, pa.bool_()))
-    return alike
+def rows_for(percent: int, bands: int, miss: float = 1e-6) -> int:
+    """The longest bands with which a pair just at the threshold shares none with a chance of at most `miss`."""
+    rows = 1
+    while rows < 16 and (1 - (percent / 100) ** (rows + 1)) ** bands <= miss:
+        rows += 1
+    return rows
 
 
 class NearDuplicates:
@@ -151,26 +150,18 @@ class NearDuplicates:
         self.docs, self.width, self.percent, self.filter_bits = docs, width, percent, filter_bits
         self.bands, self.rows = bands, rows
         self.sketches = pinned(docs.mapInArrow(_sketch(width, bands, rows), SKETCH_SCHEMA))
-        # sets decide bands and tones, so any row of a class has them
+        # a set decides its bands, so any row of a class has them
         self.classes = pinned(self.sketches.where("n > 0").groupBy("key").agg(
-            F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("bands").alias("bands"),
-            F.first("tones").alias("tones")))
+            F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("bands").alias("bands")))
 
     def _members(self) -> DataFrame:
         return self.classes.where("rep is not null").select("rep", F.posexplode("bands").alias("band", "value"))
 
-    def _candidates(self, pairs: DataFrame) -> DataFrame:
-        """Pairs whose sizes allow a link and whose signatures do not rule it out by more than six deviations."""
-        bins = self.bands * self.rows
-        p = self.percent / 100
-        least = p - 6 * (p * (1 - p) / bins) ** 0.5
-        side = self.classes.select("rep", "n", "tones")
-        a, b = (side.select(F.col("rep").alias(x), F.col("n").alias(f"n_{x}"), F.col("tones").alias(f"tones_{x}")) for x in "ab")
-        sized = pairs.join(a, "a").join(b, "b").where(
-            f"100 * least(n_a, n_b) >= {self.percent} * greatest(n_a, n_b)")
-        small = sized.where(f"least(n_a, n_b) < {bins}").select("a", "b")  # borrowed bins say less there: all are confirmed
-        large = sized.where(f"least(n_a, n_b) >= {bins}").select("a", "b", "tones_a", "tones_b")
-        return small.unionByName(large.mapInArrow(_alike(least), "a long, b long"))
+    def _sized(self, pairs: DataFrame) -> DataFrame:
+        """Pairs whose sizes allow a link."""
+        a, b = (self.classes.select(F.col("rep").alias(x), F.col("n").alias(f"n_{x}")) for x in "ab")
+        return pairs.join(a, "a").join(b, "b").where(
+            f"100 * least(n_a, n_b) >= {self.percent} * greatest(n_a, n_b)").select("a", "b")
 
     def _sets_of(self, ids: DataFrame) -> DataFrame:
         """Shingle sets of a written table of ids. Only texts of these are read into sets and shuffled."""
@@ -186,50 +177,49 @@ class NearDuplicates:
 
     def components(self) -> DataFrame:
         """(node, component) of every class that is linked with another one."""
-        mask = F.pmod(F.xxhash64("band"), F.lit((1 << 62) - 1))
-        sizes = (self._members().groupBy("band", "value")
-                 .agg(F.min(F.col("rep").bitwiseXOR(mask)).alias("nearest"), F.count("*").alias("n"))
-                 .where("n > 1").select("band", "value", F.col("nearest").bitwiseXOR(mask).alias("centre"), "n"))
+        sizes = self._members().groupBy("band", "value").agg(F.min("rep").alias("centre"), F.count("*").alias("n")).where("n > 1")
         full = pinned(self._members().join(sizes, ["band", "value"]))
         known = pinned(_pairs(full.select(F.col("rep").alias("x"), F.col("centre").alias("y"))))
-        candidates = pinned(self._candidates(known))
+        candidates = pinned(self._sized(known))
         ids = pinned(candidates.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
         found = pinned(components(self._confirmed(candidates, self._sets_of(ids))))
-        return self._finished(full.where("n > 2"), known, found)
-
-    def _finished(self, full: DataFrame, known: DataFrame, found: DataFrame) -> DataFrame:
-        """Take up the buckets that hold more than one component, until no pair from two components is left unseen.
-
-        A bucket of two members is a star, so `full` has larger ones only. Sets of all members of open buckets are made
-        once.
-        """
-        rest, sets, at_once = full.select("band", "value", "rep"), None, 4
-        seen = full.select("band", "value", F.col("centre").alias("rep")).distinct()
-        while True:
-            labelled = rest.join(found.withColumnsRenamed({"node": "rep", "component": "of"}), "rep", "left").select(
-                "band", "value", "rep", F.coalesce("of", "rep").alias("of"))
-            mains = (labelled.groupBy("band", "value", "of").agg(F.count("*").alias("m"))
-                     .groupBy("band", "value").agg(F.max_by("of", "m").alias("main"), F.count("*").alias("parts"))
-                     .where("parts > 1"))
-            rest = pinned(labelled.join(mains.select("band", "value", "main"), ["band", "value"]))
-            fringe = rest.where("of <> main").join(seen, ["band", "value", "rep"], "left_anti")
-            order = Window.partitionBy("band", "value").orderBy(F.xxhash64("rep", "band"), "rep")
-            centres = pinned(fringe.withColumn("k", F.row_number().over(order)).where(F.col("k") <= at_once)
-                             .select("band", "value", F.col("rep").alias("centre"), F.col("of").alias("centre_of")))
-            if centres.isEmpty():
-                return found
-            if sets is None:
-                sets = self._sets_of(pinned(rest.select(F.col("rep").alias("doc_id")).distinct()))
-            met = rest.join(centres, ["band", "value"]).where("of <> centre_of")
-            new = pinned(_pairs(met.select(F.col("rep").alias("x"), F.col("centre").alias("y")))
-                         .join(known, ["a", "b"], "left_anti"))
-            more = self._confirmed(self._candidates(new), sets)
-            if not more.isEmpty():
-                found = merged_components(found, more)
+        # a bucket of two members is a star
+        return self._refined(full.where("n > 2").select("band", "value", "rep"), known, found)
+
+    def _refined(self, buckets: DataFrame, known: DataFrame, found: DataFrame) -> DataFrame:
+        """Rounds of stars in parts of the buckets that hold more than one component."""
+        parts = _labelled(buckets, found).groupBy("band", "value").agg(
+            F.min("of").alias("low"), F.max("of").alias("high")).where("low < high")
+        rest = pinned(buckets.join(parts.select("band", "value"), ["band", "value"]))
+        reps = pinned(rest.select(F.col("rep").alias("doc_id")).distinct())
+        if reps.isEmpty():
+            return found
+        bands = pinned(self.classes.join(reps.withColumnRenamed("doc_id", "rep"), "rep", "left_semi").select("rep", "bands"))
+        sets, idle = self._sets_of(reps), 0
+        for shift in range(1, self.bands):
+            mask = F.pmod(F.xxhash64("band", F.lit(shift)), F.lit((1 << 62) - 1))
+            second = F.element_at("bands", ((F.col("band") + shift) % self.bands + 1).cast("int"))
+            part = _labelled(rest, found).join(bands, "rep").select("band", "value", second.alias("second"), "rep", "of", mask.alias("mask"))
+            order = F.col("rep").bitwiseXOR(F.col("mask"))
+            stars = part.groupBy("band", "value", "second").agg(
+                F.min_by("rep", order).alias("centre"), F.min_by("of", order).alias("centre_of"), F.min("of").alias("low"),
+                F.max("of").alias("high")).where("low < high")
+            met = part.join(stars, ["band", "value", "second"]).where("of <> centre_of")
+            new = pinned(_pairs(met.select(F.col("rep").alias("x"), F.col("centre").alias("y"))).join(known, ["a", "b"], "left_anti"))
             known = known.unionByName(new)
-            seen = seen.unionByName(centres.select("band", "value", F.col("centre").alias("rep")))
-            rest = rest.select("band", "value", "rep")
-            at_once *= 8
+            more = self._confirmed(self._sized(new), sets)
+            idle = idle + 1 if more.isEmpty() else 0
+            if idle == 2:
+                break
+            if not idle:
+                found = merged_components(found, more)
+        return found
+
+
+def _labelled(members: DataFrame, found: DataFrame) -> DataFrame:
+    """Members with `of`: their component, or they themselves."""
+    return members.join(found.withColumnsRenamed({"node": "rep", "component": "of"}), "rep", "left").withColumn(
+        "of", F.coalesce("of", "rep"))
 
 
 def _pairs(edges: DataFrame) -> DataFrame:
@@ -237,7 +227,7 @@ def _pairs(edges: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", width: int = 5, percent: int = 80,
-                    bands: int = 32, rows: int = 4, filter_bits: int = 1 << 26) -> DataFrame:
+                    bands: int = 32, rows: int | None = None, filter_bits: int = 1 << 26) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row.
 
     Documents are linked when 100 * common shingles >= percent * all shingles of both. Null, empty and wordless texts have
@@ -246,7 +236,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     shares its set with a row that has one. An empty table gives no rows.
     """
     rows_in = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("body"))
-    run = NearDuplicates(rows_in, width, percent, bands, rows, filter_bits)
+    run = NearDuplicates(rows_in, width, percent, bands, rows or rows_for(percent, bands), filter_bits)
     found = run.components()
     labels = run.classes.join(found, F.col("rep") == F.col("node"), "left").select(
         "key", F.coalesce("component", "rep").alias("component"))
