@@ -55,9 +55,9 @@ def test_main_text(page, text):
 
 def test_style_tree_removes_what_a_site_repeats(spark):
     """Branches without a telling name: the same promotion on every page goes, the varying story stays."""
-    rows = [(k, f"http://site.example/{k}", f"<body><div class='x1'><p>Buy our things now</p></div><div class='x2'><h2>Title {k}</h2>"
+    rows = [(k, f"http://site.example/{k}", f"<body><div class='box'><p>Buy our things now</p></div><div class='story'><h2>Title {k}</h2>"
              + "".join(f"<p>Story {k} part {j}</p>" for j in range(k % 4 + 1)) + "</div></body>") for k in range(30)]
-    few = [(100 + k, "http://small.example/", "<body><div class='x1'><p>Buy our things now</p></div></body>") for k in range(3)]
+    few = [(100 + k, "http://small.example/", "<body><div class='box'><p>Buy our things now</p></div></body>") for k in range(3)]
     got = {r.page_id: r.text for r in extract.extracted(spark.createDataFrame(rows + few, PAGES)).collect()}
     for k in range(30):
         assert got[k] == "\n".join([f"Title {k}", *(f"Story {k} part {j}" for j in range(k % 4 + 1))])

@@ -209,6 +209,8 @@ def _reader(with_payload: bool):
 def read_bundles(spark: SparkSession, folder: str, index: DataFrame, with_payload: bool = True) -> DataFrame:
     """Every record of the bundles that the index names, with its place; the payload of a revisit is empty."""
     named = index.select("bundle").distinct()
+    if named.isEmpty():
+        return spark.createDataFrame([], READ_SCHEMA)
     files = (spark.read.format("binaryFile").option("pathGlobFilter", "bundle-*.warc.zst").load(folder)
              .select(F.element_at(F.split("path", "/"), -1).alias("bundle"), "content"))
     return files.join(checked_broadcast(named, 100), "bundle", "left_semi").mapInArrow(_reader(with_payload), READ_SCHEMA)
