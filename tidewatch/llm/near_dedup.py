@@ -135,7 +135,7 @@ def _linked(percent: int):
     return linked
 
 
-def rows_for(percent: int, bands: int, miss: float = 1e-6) -> int:
+def rows_for(percent: int, bands: int, miss: float = 4e-6) -> int:
     """The longest bands with which a pair just at the threshold shares none with a chance of at most `miss`."""
     rows = 1
     while rows < 16 and (1 - (percent / 100) ** (rows + 1)) ** bands <= miss:
