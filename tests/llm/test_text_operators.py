@@ -147,6 +147,14 @@ def test_near_duplicates(spark, width, percent):
     assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in got.collect()} == want
 
 
+def test_near_duplicates_in_a_family_of_unlike_texts(spark):
+    """Pairs at 0.879 among texts that share a template and are otherwise at 0.842."""
+    template = [f"t{k}" for k in range(128)]
+    texts = [" ".join([*template, *(f"p{i // 2}x{k}" for k in range(3)), *(f"o{i}x{k}" for k in range(9))]) for i in range(600)]
+    got = near_dedup.near_duplicates(frame(spark, texts), width=1, percent=85)
+    assert {r.doc_id: r.component_id for r in got.collect()} == {i: i - i % 2 for i in range(600)}
+
+
 def test_near_duplicates_of_nothing(spark):
     docs = frame(spark, ["only one text here"])
     assert [tuple(r) for r in near_dedup.near_duplicates(docs).collect()] == [(0, 1, 0, True)]

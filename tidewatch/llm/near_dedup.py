@@ -8,9 +8,12 @@
 3. Candidates are confirmed on the full sets; connected components follow from the confirmed links.
 4. A star can miss a link between two members that are both unlike the centre. So buckets that still hold several components
    are cut by the value of a second band, another one in each round, and each part gets a centre of its own. Parts hold more
-   and more similar members, down to pairs. Rounds end when two in a row have joined nothing, or bands are used up. Every
-   round is bounded like the first one. A link is missed if it shares no band (see `rows_for`), or if in all rounds its two
-   members only meet other centres; tests and the README say how often.
+   and more similar members, down to pairs. Every round is bounded like the first one. Rounds only save work for the next
+   step, so they end when one joins few members.
+5. Members of buckets that then still hold several components are finished exactly: two sets can only be linked if they
+   share one of their rarest shingles, at a place in both that leaves enough others. Such pairs of two components are
+   confirmed in three growing parts, without those that earlier parts have joined. Thus a link is only missed if it shares no
+   band (see `rows_for`). The pairs can grow with the square of a family whose members are all just below the threshold.
 """
 
 from __future__ import annotations
@@ -22,14 +25,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import bit_filter, dropping, passing
+from tidewatch.llm.common import bit_filter, dropping, opened, passing, share
 from tidewatch.llm.components import components, merged_components
 from tidewatch.session import pinned
 
 SKETCH_SCHEMA = "doc_id long, n long, key binary, bands array<long>"
 SET_SCHEMA = "doc_id long, n long, shingles binary"
 _ODD = [np.uint64(pow(0x9E3779B97F4A7C15, k + 1, 1 << 64)) for k in range(64)]
+PREFIX_SCHEMA = "rep long, n long, token long, place long"
 _PROBES = 24
+# the order of shingles by frequency only saves work: it is learned from about so many sets, for so many common shingles
+_SAMPLE_SETS, _COMMON = 50_000, 1 << 18
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -135,6 +141,33 @@ def _linked(percent: int):
     return linked
 
 
+def _tokens(batches):
+    for batch in batches:
+        content = b"".join(batch.column(0).to_pylist())
+        yield pa.RecordBatch.from_pydict({"token": pa.array(np.frombuffer(content, np.int64))})
+
+
+def _prefixes(shared, percent: int):
+    """The rarest shingles of each set, by one order for all sets: two linked sets always share one of these."""
+
+    def prefixes(batches):
+        common, counts = opened(shared)
+        for batch in batches:
+            reps, sizes, tokens, places = [], [], [], []
+            for rep, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                found = np.frombuffer(content, np.uint64)
+                at = np.searchsorted(common, found)
+                order = np.lexsort((found, np.where(common[at] == found, counts[at], 0)))
+                length = len(found) - -(-percent * len(found) // 100) + 1
+                reps.append(np.full(length, rep))
+                sizes.append(np.full(length, len(found)))
+                tokens.append(found[order[:length]].astype(np.int64))
+                places.append(np.arange(length))
+            columns = zip(("rep", "n", "token", "place"), (reps, sizes, tokens, places), strict=True)
+            yield pa.RecordBatch.from_pydict({c: pa.array(np.concatenate([np.array([], np.int64), *v])) for c, v in columns})
+    return prefixes
+
+
 def rows_for(percent: int, bands: int, miss: float = 4e-6) -> int:
     """The longest bands with which a pair just at the threshold shares none with a chance of at most `miss`."""
     rows = 1
@@ -188,14 +221,13 @@ class NearDuplicates:
 
     def _refined(self, buckets: DataFrame, known: DataFrame, found: DataFrame) -> DataFrame:
         """Rounds of stars in parts of the buckets that hold more than one component."""
-        parts = _labelled(buckets, found).groupBy("band", "value").agg(
-            F.min("of").alias("low"), F.max("of").alias("high")).where("low < high")
-        rest = pinned(buckets.join(parts.select("band", "value"), ["band", "value"]))
+        rest = self._open(buckets, found)
         reps = pinned(rest.select(F.col("rep").alias("doc_id")).distinct())
-        if reps.isEmpty():
+        n_open = reps.count()
+        if not n_open:
             return found
         bands = pinned(self.classes.join(reps.withColumnRenamed("doc_id", "rep"), "rep", "left_semi").select("rep", "bands"))
-        sets, idle = self._sets_of(reps), 0
+        sets = self._sets_of(reps)
         for shift in range(1, self.bands):
             mask = F.pmod(F.xxhash64("band", F.lit(shift)), F.lit((1 << 62) - 1))
             second = F.element_at("bands", ((F.col("band") + shift) % self.bands + 1).cast("int"))
@@ -208,10 +240,52 @@ class NearDuplicates:
             new = pinned(_pairs(met.select(F.col("rep").alias("x"), F.col("centre").alias("y"))).join(known, ["a", "b"], "left_anti"))
             known = known.unionByName(new)
             more = self._confirmed(self._sized(new), sets)
-            idle = idle + 1 if more.isEmpty() else 0
-            if idle == 2:
+            joined = more.count()
+            if joined:
+                found = merged_components(found, more)
+            if 100 * joined < n_open:
                 break
-            if not idle:
+        return self._finished(self._open(rest, found), sets, known, found)
+
+    def _open(self, buckets: DataFrame, found: DataFrame) -> DataFrame:
+        """The buckets that hold several components."""
+        parts = _labelled(buckets, found).groupBy("band", "value").agg(
+            F.min("of").alias("low"), F.max("of").alias("high")).where("low < high")
+        return pinned(buckets.join(parts.select("band", "value"), ["band", "value"]))
+
+    def _finished(self, rest: DataFrame, sets: DataFrame, known: DataFrame, found: DataFrame) -> DataFrame:
+        """All links between components among the members of `rest`, by a prefix-filter join."""
+        reps = pinned(rest.select("rep").distinct())
+        n_open = reps.count()
+        if not n_open:
+            return found
+        held = pinned(bit_filter(reps, "rep", self.filter_bits))
+        held = passing(sets, F.col("doc_id"), held, self.filter_bits).select("doc_id", "shingles")
+        drawn = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int((1 << 30) * min(1.0, _SAMPLE_SETS / n_open))
+        common = (held.where(drawn).select("shingles").mapInArrow(_tokens, "token long").groupBy("token").count()
+                  .where("count > 1").orderBy(F.desc("count")).limit(_COMMON).toArrow())
+        tokens, counts = (common.column(c).to_numpy() for c in ("token", "count"))
+        order = np.argsort(tokens.astype(np.uint64))
+        last = np.array([(1 << 64) - 1], np.uint64)
+        shared = share(rest.sparkSession, (np.append(tokens.astype(np.uint64)[order], last), np.append(counts[order], 0)))
+        entries = pinned(held.mapInArrow(_prefixes(shared, self.percent), PREFIX_SCHEMA).join(_labelled(reps, found), "rep"))
+        # a pair of two components has a member outside the largest one, so only these meet all others
+        mains = (entries.groupBy("token", "of").agg(F.count("*").alias("m")).groupBy("token")
+                 .agg(F.max_by("of", "m").alias("main"), F.count("*").alias("parts")).where("parts > 1"))
+        entries = pinned(entries.join(mains.select("token", "main"), "token"))
+        x, y = (entries.where(where).select("token", *(F.col(c).alias(f"{c}_{k}") for c in ("rep", "n", "place", "of")))
+                for k, where in (("x", "of <> main"), ("y", "true")))
+        met = x.join(y, "token").where(
+            f"of_x <> of_y and 100 * least(n_x, n_y) >= {self.percent} * greatest(n_x, n_y) and "
+            f"{100 + self.percent} * least(n_x - place_x, n_y - place_y) >= {self.percent} * (n_x + n_y)")
+        new = pinned(_pairs(met.select(F.col("rep_x").alias("x"), F.col("rep_y").alias("y"))).join(known, ["a", "b"], "left_anti"))
+        slot = F.pmod(F.xxhash64("a", "b"), F.lit(64))
+        for low, high in ((0, 1), (1, 8), (8, 64)):
+            part = new.where((slot >= low) & (slot < high))
+            for side in "ab":
+                part = _labelled(part.withColumnRenamed(side, "rep"), found).withColumnsRenamed({"rep": side, "of": f"of_{side}"})
+            more = self._confirmed(part.where("of_a <> of_b").select("a", "b"), sets)
+            if not more.isEmpty():
                 found = merged_components(found, more)
         return found
 
