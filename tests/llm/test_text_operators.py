@@ -174,6 +174,15 @@ def test_signature_estimates_similarity():
         assert abs(np.mean(same) - (size - size // 4) / (size + size // 4)) < 0.06
 
 
+@pytest.mark.parametrize("size, percent", [(6, 85), (8, 85), (10, 85), (4, 80), (5, 80)])
+def test_short_texts_with_one_more_word_share_a_band(size, percent):
+    signer, rng = near_dedup.Signer(32, near_dedup.rows_for(percent, 32)), np.random.default_rng(5)
+    for _ in range(300):
+        pool = near_dedup._mixed(rng.integers(1, 1 << 62, size + 1, dtype=np.uint64))
+        x, y = signer.band_hashes(np.array([signer.signature(np.unique(pool[:k])) for k in (size, size + 1)]))
+        assert (x == y).any()
+
+
 def test_longer_bands_where_the_threshold_allows():
     assert (near_dedup.rows_for(85, 32), near_dedup.rows_for(80, 32)) == (6, 5)
 

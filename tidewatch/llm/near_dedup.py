@@ -74,6 +74,8 @@ class Signer:
         at = np.arange(self.bins, dtype=np.uint64)
         self.probes = [(_mixed(at * np.uint64(_PROBES * 4099) + np.uint64(t + 1)) % np.uint64(self.bins)).astype(np.int64)
                        for t in range(_PROBES)]
+        # each bin's own order of all bins, for sets that fill few of them
+        self.orders = np.argsort(_mixed(at[:, None] * np.uint64(1 << 20) + at[None, :] + np.uint64(1 << 50)), axis=1)
 
     def signature(self, shingles: np.ndarray) -> np.ndarray:
         """The smallest hash of each bin; an empty bin takes that of the first filled bin on its own probe sequence."""
@@ -90,8 +92,9 @@ class Signer:
             found = filled[source]
             out[empty[found]] = values[source[found]]
             empty = empty[~found]
-        occupied = np.flatnonzero(filled)  # hardly ever: a hash picks among the filled bins
-        out[empty] = values[occupied[(_mixed(empty.astype(np.uint64)) % np.uint64(len(occupied))).astype(np.int64)]]
+        if len(empty):  # a text of few shingles: the order of all bins, so that sets of unlike sizes borrow alike
+            orders = self.orders[empty]
+            out[empty] = values[orders[np.arange(len(empty)), filled[orders].argmax(axis=1)]]
         return out
 
     def band_hashes(self, signatures: np.ndarray) -> np.ndarray:
