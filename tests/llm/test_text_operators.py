@@ -396,6 +396,19 @@ def test_secrets(spark):
     assert all(got[first + len(keys) + k].n_random == 0 for k in range(len(plain)))  # ordinary tokens are not
 
 
+def test_hex_keys_in_upper_case_or_parts(spark):
+    rng = np.random.default_rng(6)
+    keys = ["".join(rng.choice(list("0123456789ABCDEF"), n)) for n in (32, 40, 64, 128) for _ in range(10)]
+    digits = ["".join(rng.choice(list(of), 32)) for of in ("0123456789abcdef", "0123456789ABCDEF") for _ in range(15)]
+    keys += ["-".join((d[:8], d[8:12], d[12:16], d[16:20], d[20:])) for d in digits]
+    plain = ["2024-05-01-12-30-45-000123-77", "0049-30-1234567-0049-30-7654321", "FACADE-DECADE-BEADED-FACADE", "12345678901234567890123A",
+             "CHAPTER-04-SECTION-12-PARAGRAPH-3", "UNITED-STATES-OF-AMERICA-1776"] * 20
+    found = secrets.secrets(frame(spark, [f"Id {k}." for k in keys + plain])).collect()
+    n = {r.doc_id: [(s.start, s.end) for s in r.spans] for r in found}
+    assert sum(n[k] == [(3, 3 + len(key))] for k, key in enumerate(keys)) >= 0.9 * len(keys)
+    assert not any(n[len(keys) + k] for k in range(len(plain)))
+
+
 def test_uniformity_levels():
     """The battery rejects few uniform tokens, and the noncentral tail is right at its median."""
     rng = np.random.default_rng(8)

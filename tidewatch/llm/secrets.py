@@ -6,8 +6,10 @@
    neighbours. A token that a uniform source would hardly give is no candidate.
 3. For the rest, the false-discovery side: how likely ordinary text of this length gives so even an alphabet. Its
    chi-squared statistic is a noncentral one whose noncentrality is proportional to the length, so short tokens need to be
-   much more even. A step-up rule over the probabilities of all tokens of all documents bounds the expected share of ordinary tokens
-   among the reported ones. The rule needs counts in fixed bins only.
+   much more even. Ordinary use of ten digits and six letters is nearly even, so for hex, also in parts joined by dashes,
+   it is how likely all letters of an ordinary token are among these six; digits say nothing there. A step-up rule over the
+   probabilities of all tokens of all documents bounds the expected share of ordinary tokens among the reported ones. The
+   rule needs counts in fixed bins only.
 """
 
 from __future__ import annotations
@@ -46,12 +48,13 @@ _SPANS = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end
 @dataclass(frozen=True)
 class Options:
     """min_length: of a candidate; alpha: level of the three uniformity tests together; repeat_share: chance that two
-    letters of ordinary text are equal; discovery_rate: expected share of ordinary tokens among those reported;
-    bins: steps of log10 probability, a tenth each."""
+    letters of ordinary text are equal; hex_share: chance that one is among A-F; discovery_rate: expected share of ordinary tokens
+    among those reported; bins: steps of log10 probability, a tenth each."""
 
     min_length: int = 20
     alpha: float = 0.001
     repeat_share: float = 0.065
+    hex_share: float = 0.32
     discovery_rate: float = 0.01
     bins: int = 400
 
@@ -87,8 +90,15 @@ def noncentral_lower_tail(x: float, freedom: float, shift: float) -> float:
     return normal_tail(-(((max(x, 1e-9) / (freedom + shift)) ** h - mean) / (h * math.sqrt(2 * p) * (1 + 0.5 * m * p))))
 
 
-def inferred(token: str) -> tuple[str, str] | None:
+def symbols_of(token: str) -> str:
+    """The token without padding and, where only hex symbols are left then, without separators."""
     body = token.rstrip("=")
+    bare = body.replace("-", "").replace("_", "")
+    return bare if any(set(bare) <= set(letters) for name, letters in ENCODINGS if name == "hex") else body
+
+
+def inferred(token: str) -> tuple[str, str] | None:
+    body = symbols_of(token)
     characters = set(body)
     return next(((name, letters) for name, letters in ENCODINGS if characters <= set(letters)), None)
 
@@ -118,17 +128,20 @@ def uniformity(token: str, alphabet: str) -> tuple[float, float, float, float]:
 def ordinary_probability(token: str, options: Options) -> float:
     """How likely ordinary text gives a token as even as this one; 1 for tokens that no uniform source gives."""
     encoding = inferred(token)
-    body = token.rstrip("=")
+    body = symbols_of(token)
     if encoding is None or len(body) < options.min_length:
         return 1.0
     alphabet = encoding[1]
     chi, *tests = uniformity(body, alphabet)
     if min(tests) * len(tests) < options.alpha:
         return 1.0
+    least = 10.0 ** (-options.bins / 10)
+    if encoding[0] == "hex":
+        return max(options.hex_share ** sum(c.isalpha() for c in body), least)
     shift = len(body) * (len(alphabet) * options.repeat_share - 1)
-    if shift <= 0:  # ordinary use of ten digits and six letters is nearly even: hex has fixed patterns
+    if shift <= 0:  # ordinary text is as even
         return 1.0
-    return min(1.0, max(noncentral_lower_tail(chi, len(alphabet) - 1, shift), 10.0 ** (-options.bins / 10)))
+    return min(1.0, max(noncentral_lower_tail(chi, len(alphabet) - 1, shift), least))
 
 
 def scan(text: str, options: Options) -> list[tuple[str, int, int, int]]:
