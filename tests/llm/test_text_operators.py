@@ -299,6 +299,13 @@ def test_language_held_out_accuracy(spark):
     assert all(0 <= r.score <= 1 for r in got) and sum(r.rejected for r in got) / len(got) < 0.02
 
 
+def test_long_texts_fill_up_the_sample(spark):
+    docs = frame(spark, ["kurz und knapp", "noch kurz", *[f"wort{chr(97 + k)} " * 1000 for k in range(20)]], "de")
+    learned = language.dictionaries(docs, F.lit(True), "text", "lang", "doc_id", language.Options())
+    words = learned["de"][0].decode().split()
+    assert {"kurz", "noch", *(f"wort{chr(97 + k)}" for k in range(20))} <= set(words) and learned["de"][1] == 22
+
+
 def test_language_awkward(spark):
     train = frame(spark, ["economic development of responsible societies everywhere"] * 5, "en").unionByName(
         frame(spark, ["wirtschaftliche entwicklung gesellschaftlicher verantwortung überall"] * 3, "de")).unionByName(frame(spark, ["x y"], None))

@@ -28,7 +28,7 @@ SCHEMA = "doc_id long, lang_pred string, score double, margin long, rejected boo
 @dataclass(frozen=True)
 class Options:
     """sample_rows: labelled rows a language is learned from (about: a hash picks them), of at most `sample_chars`
-    characters each. dictionary_bytes: size of a dictionary. max_bytes: limit of all dictionaries together.
+    characters each where there are enough of these. dictionary_bytes: size of a dictionary. max_bytes: limit of all dictionaries together.
     min_margin, min_share: bytes, and share of the winner's size, by which the winner must be smaller than the next.
     """
 
@@ -56,10 +56,10 @@ def dictionaries(docs: DataFrame, trained: Column, text: str, lang: str, doc_id:
     counts = rows.groupBy("lang").agg(F.count("*").alias("n"), F.count_if(short).alias("n_short"))
     if counts.count() * options.dictionary_bytes > options.max_bytes:
         raise ValueError(f"the dictionaries of all languages take more than {options.max_bytes} bytes")
-    share = F.when(F.col("n_short") > 0, options.sample_rows / F.col("n_short")).otherwise(
-        options.sample_rows / F.col("n"))  # long rows only where there are no others
+    share = F.when(short, options.sample_rows / F.col("n_short")).otherwise(  # long rows fill up where short ones are too few
+        (options.sample_rows - F.col("n_short")) / (F.col("n") - F.col("n_short")))
     drawn = F.pmod(F.xxhash64("id", "text"), F.lit(1 << 30)) / float(1 << 30) < share
-    sample = rows.join(F.broadcast(counts), "lang").where(((F.col("n_short") == 0) | short) & drawn)
+    sample = rows.join(F.broadcast(counts), "lang").where(drawn)
     found: dict[str, Counter] = defaultdict(Counter)
     for row in sample.select("lang", "text").toLocalIterator():
         found[row.lang].update(words_of(row.text))
