@@ -1,4 +1,5 @@
-"""Training-data operators: deduplication, extraction, scoring, archives, filters, mixing, decontamination.
+"""Training-data operators: deduplication, extraction, scoring, archives, filters, mixing, decontamination,
+conversation tries, vector search and whitening.
 
 Functions of this package travel to the executors by value, so these need no copy of it.
 """

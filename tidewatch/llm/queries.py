@@ -11,11 +11,13 @@ from tidewatch.llm.common import read_table
 from tidewatch.llm.decontaminate import contamination
 from tidewatch.llm.exact_dedup import exact_duplicates
 from tidewatch.llm.extract import extracted
+from tidewatch.llm.kmeans_tree import nearest
 from tidewatch.llm.language import identified
 from tidewatch.llm.mixing import mixed, tempered_shares
 from tidewatch.llm.near_dedup import near_duplicates
 from tidewatch.llm.url_filters import captures_of, entries_of, judged
 from tidewatch.llm.warc import archived
+from tidewatch.llm.whitening import whitened
 
 
 def op1_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
@@ -60,10 +62,19 @@ def op10_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
     return decontaminate.digest_columns(contamination(read_table(spark, sf, "documents"), read_table(spark, sf, "benchmark")))
 
 
+def op12_nearest_neighbours(spark: SparkSession, sf: str) -> DataFrame:
+    return nearest(read_table(spark, sf, "embeddings"))
+
+
+def op13_embedding_whitening(spark: SparkSession, sf: str) -> DataFrame:
+    return whitened(read_table(spark, sf, "embeddings"))
+
+
 def pipeline(spark: SparkSession, sf: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf)
 
 
 QUERIES = {query.__name__: query for query in (
     op1_exact_dedup, op2_html_extraction, op3_lm_scoring, op4_warc, op5_near_dedup, op6_secret_scan, op7_language_id,
-    op8_url_filters, op9_mixing, op10_decontaminate, pipeline)}
+    op8_url_filters, op9_mixing, op10_decontaminate, op12_nearest_neighbours,
+    op13_embedding_whitening, pipeline)}
