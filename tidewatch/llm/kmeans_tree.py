@@ -423,6 +423,8 @@ def nearest(vectors: DataFrame, vec_id: str = "vec_id", vector: str = "embedding
     rows = rows.withColumn("v", padded("v", dim).cast(dict(rows.dtypes)["v"])).withColumn("hash", F.xxhash64("v"))
     index = Index(rows, dim, k, leaf_rows, branches, sample_rows, max_nodes)
     queries = rows.where(F.col("vec_id") % every == 0).select("vec_id", "v").distinct()
-    queries = pinned(queries.select(F.monotonically_increasing_id().alias("query"), F.col("vec_id").alias("query_id"), "v"))
+    queries = queries.select(F.monotonically_increasing_id().alias("query"), F.col("vec_id").alias("query_id"), "v")
+    # the traversal takes long for its few bytes, so it is dealt to all tasks
+    queries = pinned(queries.repartition(int(spark.conf.get("spark.sql.shuffle.partitions"))))
     calibration = index.calibrated(queries, probes, target)
     return index.search(queries, calibration.visits, shard_rows, query_rows).select("query_id", "rank", "vec_id", "score")

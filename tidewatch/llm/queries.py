@@ -15,6 +15,7 @@ from tidewatch.llm.kmeans_tree import nearest
 from tidewatch.llm.language import identified
 from tidewatch.llm.mixing import mixed, tempered_shares
 from tidewatch.llm.near_dedup import near_duplicates
+from tidewatch.llm.prefix_trie import prefix_trie
 from tidewatch.llm.url_filters import captures_of, entries_of, judged
 from tidewatch.llm.warc import archived
 from tidewatch.llm.whitening import whitened
@@ -62,6 +63,10 @@ def op10_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
     return decontaminate.digest_columns(contamination(read_table(spark, sf, "documents"), read_table(spark, sf, "benchmark")))
 
 
+def op11_prefix_trie(spark: SparkSession, sf: str) -> DataFrame:
+    return prefix_trie(read_table(spark, sf, "conversations"))
+
+
 def op12_nearest_neighbours(spark: SparkSession, sf: str) -> DataFrame:
     return nearest(read_table(spark, sf, "embeddings"))
 
@@ -76,5 +81,5 @@ def pipeline(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {query.__name__: query for query in (
     op1_exact_dedup, op2_html_extraction, op3_lm_scoring, op4_warc, op5_near_dedup, op6_secret_scan, op7_language_id,
-    op8_url_filters, op9_mixing, op10_decontaminate, op12_nearest_neighbours,
-    op13_embedding_whitening, pipeline)}
+    op8_url_filters, op9_mixing, op10_decontaminate, op11_prefix_trie,
+    op12_nearest_neighbours, op13_embedding_whitening, pipeline)}
