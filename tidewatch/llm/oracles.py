@@ -30,6 +30,41 @@ ORACLES = {
         SELECT doc_id, len(w) AS n_words, coalesce(covered.n, 0) AS n_hit, coalesce(items.n, 0) AS n_items,
                sha256(coalesce(ids, '')) AS items_sha256, coalesce(covered.n, 0) > 0 AS contaminated
         FROM doc LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)""",
+    "op11_prefix_trie": """
+        WITH turns AS (
+            SELECT conv_id AS c, length(role) || ':' || role || text AS k, length(text) AS chars,
+                   row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(length(role) || ':' || role || text)) AS p
+            FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+                  FROM conversations WHERE conv_id IS NOT NULL)),
+        own AS (SELECT c, c - c % 100 AS b, count(*) AS n FROM turns GROUP BY c),
+        conv AS (
+            SELECT own.c, own.b, h, coalesce(least(h, base.n), 0) AS nb
+            FROM (SELECT *, xor(list_reduce(list_transform(string_split(CAST(c AS VARCHAR), ''), lambda s: CAST(ascii(s) AS BIGINT)),
+                      lambda crc, byte: list_reduce(range(8), lambda a, i: xor(a >> 1, 3988292384 * (a & 1)), xor(crc, byte)),
+                      4294967295), 4294967295) % 6 AS h FROM own) AS own LEFT JOIN own AS base ON base.c = own.b),
+        rebuilt AS (
+            SELECT conv.c, p AS q, k, chars FROM conv JOIN turns ON turns.c = conv.b AND p <= h
+            UNION ALL
+            SELECT conv.c, p - h + nb, k, chars FROM conv JOIN turns ON turns.c = conv.c AND p > h),
+        path AS (
+            SELECT c, q AS depth, list(k) OVER (PARTITION BY c ORDER BY q) AS path, chars FROM rebuilt
+            UNION ALL SELECT c, 0, [], 0 FROM conv),
+        node AS (SELECT depth, path, min(c) AS conv_id, count(*) AS n_convs, any_value(chars) AS chars FROM path GROUP BY depth, path),
+        member AS (SELECT c, depth, conv_id FROM path JOIN node USING (depth, path)),
+        edge AS (
+            SELECT node.conv_id, node.depth, n_convs, chars, member.conv_id AS parent
+            FROM node LEFT JOIN member ON member.c = node.conv_id AND member.depth = node.depth - 1),
+        kids AS (SELECT parent AS conv_id, depth - 1 AS depth, count(*) AS n FROM edge WHERE depth > 0 GROUP BY ALL),
+        below AS (
+            SELECT member.conv_id, member.depth, sum((n_convs - 1) * chars) AS saved, count_if(kids.n IS NULL) AS leaves
+            FROM edge LEFT JOIN kids USING (conv_id, depth)
+            JOIN member ON member.c = edge.conv_id AND member.depth <= edge.depth GROUP BY ALL),
+        ends AS (
+            SELECT conv_id, depth, string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) AS ids
+            FROM member JOIN (SELECT c, max(depth) AS depth FROM path GROUP BY c) USING (c, depth) GROUP BY ALL)
+        SELECT conv_id, depth, parent AS parent_conv_id, n_convs, coalesce(kids.n, 0) AS n_children, leaves AS n_leaves,
+               CAST(saved AS BIGINT) AS saved_tokens, sha256(coalesce(ids, '')) AS ends_sha256
+        FROM edge JOIN below USING (conv_id, depth) LEFT JOIN kids USING (conv_id, depth) LEFT JOIN ends USING (conv_id, depth)""",
     "op8_url_filters": r"""
         WITH url AS (
             SELECT page_id, url, lower(regexp_extract(coalesce(url, ''), '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]*)', 1)) AS host,
