@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import pickle
 from typing import Any
 
+import pyarrow as pa
 from pyspark import Broadcast, cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -92,3 +95,12 @@ def share(spark: SparkSession, value: Any) -> Broadcast:
 
 def opened(shared: Broadcast) -> Any:
     return pickle.loads(shared.value)
+
+
+def give_back_memory() -> None:
+    """Return freed memory to the system: a Python worker lives on after its task, beside the next stage's JVM work."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim:
+        trim(0)

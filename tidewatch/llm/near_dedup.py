@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import bit_filter, dropping, opened, passing, share
+from tidewatch.llm.common import bit_filter, dropping, give_back_memory, opened, passing, share
 from tidewatch.llm.components import components, merged_components
 from tidewatch.session import pinned
 
@@ -46,12 +46,14 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 
 
 class WordHashes(dict):
-    """64-bit hash of a word, remembered up to a fixed number of words."""
+    """64-bit hash of a word, remembered for short words up to a fixed number, so for about 20 MB at most."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= 1 << 20:
-            self.clear()
-        value = self[word] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
+        value = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
+        if len(word) <= 32:
+            if len(self) >= 1 << 17:
+                self.clear()
+            self[word] = value
         return value
 
 
@@ -103,10 +105,18 @@ class Signer:
         return _mixed(sum(_mixed(cut[:, :, k]) * _ODD[k] for k in range(self.rows)))
 
 
+def _slices(batches, rows: int = 512):
+    """The batches in slices of a few rows, so that what a task makes of them at once stays small."""
+    for batch in batches:
+        for low in range(0, batch.num_rows, rows):
+            yield batch.slice(low, rows)
+    give_back_memory()
+
+
 def _sketch(width: int, bands: int, rows: int):
     def sketch(batches):
         hashes, signer = WordHashes(), Signer(bands, rows)
-        for batch in batches:
+        for batch in _slices(batches):
             texts = batch.column(1).cast(pa.binary())
             sets = [shingle_set(t.as_py(), width, hashes) for t in texts]
             full = [k for k, s in enumerate(sets) if len(s)]
@@ -124,7 +134,7 @@ def _sketch(width: int, bands: int, rows: int):
 def _sets(width: int):
     def sets(batches):
         hashes = WordHashes()
-        for batch in batches:
+        for batch in _slices(batches):
             found = [shingle_set(t.as_py(), width, hashes) for t in batch.column(1).cast(pa.binary())]
             yield pa.RecordBatch.from_pydict({
                 "doc_id": batch.column(0), "n": pa.array([len(s) for s in found], pa.int64()),
@@ -136,16 +146,17 @@ def _linked(percent: int):
     def linked(batches):
         for batch in batches:
             ok = []
-            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                a, b = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+            for x, y in zip(batch.column(2), batch.column(3), strict=True):  # one pair at a time, from Arrow's own memory
+                a, b = (np.frombuffer(side.as_buffer(), np.uint64) for side in (x, y))
                 common = len(np.intersect1d(a, b, assume_unique=True))
                 ok.append(100 * common >= percent * (len(a) + len(b) - common))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(ok, pa.bool_()))
+        give_back_memory()
     return linked
 
 
 def _tokens(batches):
-    for batch in batches:
+    for batch in _slices(batches):
         content = b"".join(batch.column(0).to_pylist())
         yield pa.RecordBatch.from_pydict({"token": pa.array(np.frombuffer(content, np.int64))})
 
@@ -155,7 +166,7 @@ def _prefixes(shared, percent: int):
 
     def prefixes(batches):
         common, counts = opened(shared)
-        for batch in batches:
+        for batch in _slices(batches):
             reps, sizes, tokens, places = [], [], [], []
             for rep, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 found = np.frombuffer(content, np.uint64)
@@ -171,7 +182,7 @@ def _prefixes(shared, percent: int):
     return prefixes
 
 
-def rows_for(percent: int, bands: int, miss: float = 4e-6) -> int:
+def rows_for(percent: int, bands: int, miss: float = 1e-6) -> int:
     """The longest bands with which a pair just at the threshold shares none with a chance of at most `miss`."""
     rows = 1
     while rows < 16 and (1 - (percent / 100) ** (rows + 1)) ** bands <= miss:
