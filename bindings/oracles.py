@@ -463,7 +463,7 @@ oracle("top_trials", """SELECT family, trial, mean_test_rmse, CAST(r AS INTEGER)
     CAST(p_size AS DOUBLE) AS mean_test_rmse, rank() OVER (PARTITION BY p_type ORDER BY p_size) AS r,
     row_number() OVER (PARTITION BY p_type ORDER BY p_size, p_partkey) AS pos FROM part) WHERE pos <= 5""")
 oracle("hashed_split", "SELECT count(DISTINCT o_orderkey) AS n_keys, CAST(0 AS BIGINT) AS n_moved, true AS near_a_fifth FROM orders")
-_PRICED = """SELECT l_quantity AS x, l_discount AS d, ln(1 + y) AS ly, y, l_orderkey % 5 = 0 AS held, l_linenumber % 2 AS fold FROM (
+_PRICED = """SELECT l_quantity AS x, l_discount AS d, l_tax, ln(1 + y) AS ly, y, l_orderkey % 5 = 0 AS held, l_linenumber % 2 AS fold FROM (
     SELECT *, 1000 + 50 * l_quantity + 4000 * l_discount + CASE WHEN l_returnflag = 'R' THEN 900 ELSE 0 END + price / 1000 AS y
     FROM li WHERE yr <= 1998)"""
 _VIEWS["priced"], _USES["priced"] = _PRICED, ["li"]
@@ -484,6 +484,28 @@ oracle("coefficient_importance", """SELECT 'abs_coef' AS kind, CAST(row_number()
     FROM priced WHERE NOT held UNION ALL
     SELECT 'l_discount', abs(covar_pop(ly, d) * var_pop(x) - covar_pop(ly, x) * covar_pop(x, d)) / (var_pop(x) * var_pop(d) - covar_pop(x, d) ** 2)
     FROM priced WHERE NOT held)""", "priced")
+_SLOPES = """(covar_pop(ly, x) * var_pop(d) - covar_pop(ly, d) * covar_pop(x, d)) / (var_pop(x) * var_pop(d) - covar_pop(x, d) ** 2) AS a,
+    (covar_pop(ly, d) * var_pop(x) - covar_pop(ly, x) * covar_pop(x, d)) / (var_pop(x) * var_pop(d) - covar_pop(x, d) ** 2) AS b,
+    avg(x) AS mx, avg(d) AS md, avg(ly) AS my"""
+oracle("elastic_net_path", f"""WITH fit AS (SELECT f.fold AS left_out, {_SLOPES}
+        FROM priced, (SELECT DISTINCT fold FROM priced) f WHERE NOT held AND priced.fold <> f.fold GROUP BY f.fold),
+    e AS (SELECT left_out, sqrt(avg((ly - my - a * (x - mx) - b * (d - md)) ** 2) FILTER (fold = left_out)) AS test,
+        sqrt(avg((ly - my - a * (x - mx) - b * (d - md)) ** 2) FILTER (fold <> left_out)) AS train FROM priced, fit WHERE NOT held GROUP BY left_out)
+    SELECT CAST(g.trial AS INTEGER) AS trial, round(avg(test), 6) + 0.0 AS mean_test_rmse, round(stddev_pop(test), 6) + 0.0 AS std_test_rmse,
+    round(avg(train), 6) + 0.0 AS mean_train_rmse, (SELECT count(*) FROM priced WHERE NOT held) AS n_rows
+    FROM e, (SELECT unnest(range(5)) AS trial) g GROUP BY g.trial""", "priced")
+oracle("scaled_ridge", """WITH m AS (SELECT avg(x) AS mx, avg(d) AS md, avg(ly) AS my, stddev_samp(x) AS sx, stddev_samp(d) AS sd,
+        covar_pop(x, ly) / stddev_samp(x) AS tx, covar_pop(d, ly) / stddev_samp(d) AS td, (count(*) - 1.0) / count(*) + 0.5 AS g,
+        covar_pop(x, d) / (stddev_samp(x) * stddev_samp(d)) AS r FROM priced WHERE NOT held),
+    w AS (SELECT *, (tx * g - r * td) / (g * g - r * r) / sx AS wx, (td * g - r * tx) / (g * g - r * r) / sd AS wd FROM m)
+    SELECT 'l_quantity' AS feature, round(wx, 6) + 0.0 AS weight, round(my - wx * mx - wd * md, 6) + 0.0 AS intercept FROM w
+    UNION ALL SELECT 'l_discount', round(wd, 6) + 0.0, round(my - wx * mx - wd * md, 6) + 0.0 FROM w""", "priced")
+_MOMENT_COLUMNS = {"l_quantity": "x", "l_tax": "t", "label": "ly"}
+oracle("fold_moments", "WITH s AS (SELECT fold, x, CASE WHEN l_tax > 0 THEN l_tax END AS t, ly FROM priced WHERE NOT held) " + " UNION ALL ".join(
+    f"""SELECT fold, '{a}' AS "left", '{b}' AS "right", count(*) AS n, round(avg({x}), 6) + 0.0 AS mean_left, round(avg({y}), 6) + 0.0 AS mean_right,
+    round(var_pop({x}), 6) + 0.0 AS m2_left, round(var_pop({y}), 6) + 0.0 AS m2_right, round(covar_pop({x}, {y}), 6) + 0.0 AS co
+    FROM s WHERE {x} IS NOT NULL AND {y} IS NOT NULL GROUP BY fold"""
+    for i, (a, x) in enumerate(_MOMENT_COLUMNS.items()) for b, y in list(_MOMENT_COLUMNS.items())[i:]), "priced")
 oracle("linear_batch_predictions", """WITH fit AS (SELECT regr_slope(ln(1 + price), l_quantity) AS slope, regr_intercept(ln(1 + price), l_quantity) AS base
         FROM li WHERE yr <= 1998)
     SELECT yr AS batch, count(*) AS n, round(avg(exp(base + slope * l_quantity) - 1), 2) + 0.0 AS pred_mean,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from dataclasses import replace
 from datetime import timedelta
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.functions import decimal_convention, normalize_decimal, parse_decimal
 from tidewatch.operators import alerts as A
-from tidewatch.operators import eda, ledger, selection, training
+from tidewatch.operators import eda, elastic_net, ledger, selection, training
 from tidewatch.operators.contract import unknown_levels as levels_outside_contract
 from tidewatch.operators.contract import validate_rows, worst_severity
 from tidewatch.operators.drift import psi_categorical, psi_numeric
@@ -28,6 +29,7 @@ from tidewatch.operators.features import (
     with_row_errors,
 )
 from tidewatch.operators.metrics import canonical_metrics, prediction_summary
+from tidewatch.operators.moments import pair_moments
 from tidewatch.operators.profile import (
     bin_counts,
     category_frequencies,
@@ -816,6 +818,45 @@ def cross_validated_trials(spark, sf):
     return rounded(out, {c: 6 for c in ("mean_test_rmse", "std_test_rmse", "mean_train_rmse")})
 
 
+def _net_features():
+    return {"l_quantity": F.col("l_quantity"), "l_discount": F.col("l_discount")}
+
+
+def _net_search(spark, sf, grid):
+    train = _folded(spark, sf).where("split = 'train'")
+    return elastic_net.search_path(train, _net_features(), F.log1p("price"), F.col("given_fold"), 2, grid, ["l_quantity", "l_discount"])
+
+
+@query
+def elastic_net_path(spark, sf):
+    """25 grid points over two folds, the rows read once for all of them. The points without penalty have a closed form in SQL,
+    so their errors are returned; the others are held against Spark ML in the tests."""
+    found = _net_search(spark, sf, {"regParam": [0.0, 0.001, 0.01, 0.1, 1.0], "elasticNetParam": [0.1, 0.3, 0.5, 0.7, 0.9]})
+    out = spark.createDataFrame([(t["trial"], t["mean_test_rmse"], t["std_test_rmse"], t["mean_train_rmse"], found.n)
+                                 for t in found.trials if json.loads(t["params"])["regParam"] == 0.0],
+                                "trial int, mean_test_rmse double, std_test_rmse double, mean_train_rmse double, n_rows bigint")
+    return rounded(out, {c: 6 for c in ("mean_test_rmse", "std_test_rmse", "mean_train_rmse")})
+
+
+@query
+def scaled_ridge(spark, sf):
+    """P6 and T4: the coefficients of a ridge fit on two scaled columns, which SQL gives in closed form."""
+    found = _net_search(spark, sf, {"regParam": [0.5], "elasticNetParam": [0.0]})
+    out = spark.createDataFrame([(n, w, found.intercept) for n, w in found.weights.items()], "feature string, weight double, intercept double")
+    return rounded(out, {"weight": 6, "intercept": 6})
+
+
+@query
+def fold_moments(spark, sf):
+    """The sufficient statistics of a search: one row for each fold and pair of columns."""
+    train = _folded(spark, sf).where("split = 'train'")
+    columns = {"l_quantity": F.col("l_quantity"), "l_tax": F.when(F.col("l_tax") > 0, F.col("l_tax")), "label": F.log1p("price")}
+    out = pair_moments(train, columns, ["given_fold"]).select(
+        F.col("given_fold").alias("fold"), "left", "right", "n", "mean_left", "mean_right",
+        *[(F.col(c) / F.col("n")).alias(c) for c in ("m2_left", "m2_right", "co")])
+    return rounded(out, {c: 6 for c in ("mean_left", "mean_right", "m2_left", "m2_right", "co")})
+
+
 @query
 def evaluated_splits(spark, sf):
     rows, spec, found = _least_squares(spark, sf)

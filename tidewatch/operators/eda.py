@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import is_finite, nan_to_null
+from .moments import pair_moments
 from .quantiles import exact_quantiles
 from .shaping import to_series
 
@@ -89,19 +90,18 @@ def mean_ratio(df: DataFrame, flag: Column, column: str) -> DataFrame:
 
 
 def correlations(df: DataFrame, columns: Mapping[str, Column] | Sequence[str]) -> DataFrame:
-    """(left, right, corr) of every pair, from one scan and one aggregate; a pair uses the rows where both are known.
+    """(left, right, corr) of every pair, from the co-moments of all pairs; a pair uses the rows where both are known.
 
-    Only one half of the symmetric matrix is computed; the other is mirrored on its few rows.
+    Only one half of the symmetric matrix is computed; the other is mirrored on its few rows. A column without spread has no
+    correlation, one with itself is 1.
     """
     if not isinstance(columns, Mapping):
         columns = {c: F.col(c) for c in columns}
-    names = list(columns)
-    wide = df.select(*[e.cast("double").alias(f"_{i}") for i, e in enumerate(columns.values())])
-    pairs = [(i, j) for i in range(len(names)) for j in range(i, len(names))]
-    folded = wide.agg(F.array(*[F.struct(
-        F.lit(names[i]).alias("left"), F.lit(names[j]).alias("right"), F.corr(f"_{i}", f"_{j}").alias("corr"))
-        for i, j in pairs]).alias("cells"))
-    half = folded.select(F.explode("cells").alias("c")).select("c.*").withColumn(
+    # what rounding leaves of a constant column is no spread
+    tiny = "greatest(abs(mean_{0}), 1e-150) * greatest(abs(mean_{0}), 1e-150) * n * 1e-28"
+    spread = F.when(F.expr(f"m2_left > {tiny.format('left')} and m2_right > {tiny.format('right')}"),
+                    F.sqrt("m2_left") * F.sqrt("m2_right"))
+    half = pair_moments(df, columns).select("left", "right", F.try_divide("co", spread).alias("corr")).withColumn(
         "corr", F.when(F.col("left") != F.col("right"), F.col("corr")).when(F.col("corr").isNotNull(), 1.0))
     return half.select(F.explode(F.when(F.col("left") == F.col("right"), F.array(F.struct("left", "right"))).otherwise(F.array(
         F.struct("left", "right"), F.struct(F.col("right").alias("left"), F.col("left").alias("right"))))).alias("p"), "corr"
