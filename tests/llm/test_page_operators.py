@@ -241,3 +241,20 @@ def test_pipeline_stages(spark):
     assert corpus_pipeline.ORACLE_SQL is None
     whole = corpus_pipeline.run(spark, SF).collect()
     assert 0 < len(whole) <= docs.count() and len({r.doc_id for r in whole}) == len(whole)
+
+
+def test_extraction_travels_by_value():
+    """Workers that cannot import the package run what the driver pickled."""
+    import pickle
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+
+    code = cloudpickle.dumps(extract._extract)
+    run = ("import pickle, sys, pyarrow as pa; f = pickle.loads(sys.stdin.buffer.read());"
+           "b = pa.RecordBatch.from_pydict({'page_id': [1], 'url': ['u'], 'html': ['<p class=a>x</p><p>y'], 'low': pa.array([None], pa.list_(pa.int64()))});"
+           "print(next(iter(f([b]))).column(2).to_pylist())")
+    done = subprocess.run([sys.executable, "-c", run], input=code, capture_output=True, cwd="/", timeout=60)
+    assert done.stdout.decode().strip() == "['x\\ny']", done.stderr.decode()[-500:]
+    assert pickle.loads(code)

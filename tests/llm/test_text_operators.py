@@ -4,6 +4,7 @@ import hashlib
 import itertools
 import math
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -430,3 +431,27 @@ def test_uniformity_levels():
 def test_secrets_of_nothing(spark):
     assert secrets.secrets(frame(spark, ["x"]).limit(0)).count() == 0
     assert secrets.redacted("a key=b c", [(2, 7), (6, 7)]) == "a [secret] c"
+
+
+@pytest.mark.parametrize("block_windows", [200_000, 1])
+def test_contaminated_rows_stay_rows(spark, block_windows):
+    """Repeated ids, null ids and ids that are text have their own results, in however many blocks."""
+    passage = " ".join(f"w{k}" for k in range(10))
+    docs = spark.createDataFrame([("1", f"x {passage}"), ("1", "clean"), (None, f"{passage} y z"), (None, None)], "doc_id string, text string")
+    bench = spark.createDataFrame([("b", passage), ("a", passage), ("c", "other words"), (None, "clean")], "item_id string, text string")
+    got = decontaminate.contamination(docs, bench, block_windows=block_windows)
+    found = Counter((r.doc_id, r.n_words, tuple(tuple(s) for s in r.spans), tuple(r["items"])) for r in got.collect())
+    assert found == {("1", 11, ((1, 11),), ("a", "b")): 1, ("1", 1, (), ()): 1, (None, 12, ((0, 10),), ("a", "b")): 1, (None, 0, (), ()): 1}
+    assert decontaminate.without_contaminated(docs, bench, block_windows=block_windows).count() == 2
+
+
+def test_secrets_of_a_text_with_many_spans():
+    """Time grows with the text, not with spans times tokens; tokens inside base spans are left out as before."""
+    rng, started = np.random.default_rng(6), time.perf_counter()
+    part = " ".join(f"{rng.bytes(16).hex()} {'word' * 6}" for _ in range(20_000))
+    found = secrets.scan(part, secrets.Options())
+    assert time.perf_counter() - started < 30 and sum(k == "hex" for k, *_ in found) == 20_000
+    text = 'token = "' + "a1B2" * 8 + '" ' + "0123456789abcdef" * 2 + " " + "Zx9" * 12
+    base = secrets.base_spans(text)
+    tested = [(s, e) for k, s, e, _ in secrets.scan(text, secrets.Options()) if k == "random"]
+    assert base and all(e <= a or b <= s for s, e in tested for _, a, b in base)

@@ -14,6 +14,7 @@
 
 from __future__ import annotations
 
+import itertools
 import math
 import re
 from dataclasses import dataclass
@@ -148,10 +149,15 @@ def scan(text: str, options: Options) -> list[tuple[str, int, int, int]]:
     """(kind, start, end, bin) of base spans (bin -1) and of the tested tokens outside them, by start and kind."""
     base = base_spans(text)
     spans = [(*s, -1) for s in base]
+    # tokens come in order too: of the base spans only those from `at` on can still overlap one
+    ordered, at = sorted((s, e) for _, s, e in base), 0
+    ends = list(itertools.accumulate((e for _, e in ordered), max))
     for word in re.finditer(rf"\S{{{options.min_length},}}", text):
         for m in re.finditer(KEY_CHARACTERS, word.group()):
             start, end = m.start() + word.start(), m.end() + word.start()
-            if end - start < options.min_length or any(s < end and start < e for _, s, e in base):
+            while at < len(ends) and ends[at] <= start:
+                at += 1
+            if end - start < options.min_length or (at < len(ends) and ordered[at][0] < end):
                 continue
             p = ordinary_probability(m.group(), options)
             spans.append(("random", start, end, min(options.bins, math.floor(-10 * math.log10(p)))))
