@@ -15,7 +15,6 @@ from __future__ import annotations
 import hashlib
 import re
 from dataclasses import dataclass
-from functools import lru_cache
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -76,7 +75,6 @@ def host_of(url: str | None) -> str:
     return found.group(1).lower() if found else ""
 
 
-@lru_cache(maxsize=1 << 16)
 def _judged(tag: str, names: str, role: str) -> tuple[str, bool, bool]:
     """(kind, main, noise) that an element's tag, class, id and role tell; numbers in names are left out of the kind."""
     words, roles = set(re.split(r"[^a-z]+", names)), set(role.split())
@@ -86,19 +84,34 @@ def _judged(tag: str, names: str, role: str) -> tuple[str, bool, bool]:
     return kind, main, tag in NOISE_TAGS or not NOISE_ROLES.isdisjoint(roles) or named
 
 
-@lru_cache(maxsize=1 << 16)
-def _path_code(above: int, tag: str, kind: str) -> int:
-    return _code(above, tag, kind)
+class Remembered(dict):
+    """Results of a function, remembered up to a fixed number; unlike a cached function it is pickled by value."""
+
+    def __init__(self, function):
+        self.function = function
+
+    def __missing__(self, key: tuple):
+        if len(self) >= 1 << 16:
+            self.clear()
+        value = self[key] = self.function(*key)
+        return value
+
+
+class Memory:
+    """What a task remembers about tags, names and paths over all its pages."""
+
+    def __init__(self):
+        self.judged, self.path = Remembered(_judged), Remembered(_code)
 
 
 class Element:
     __slots__ = ("tag", "path", "main", "noise", "unseen", "plain", "children", "texts", "branch")
 
-    def __init__(self, tag: str, attributes: dict[str, str], parent: Element | None):
+    def __init__(self, tag: str, attributes: dict[str, str], parent: Element | None, memory: Memory):
         names = f"{attributes.get('class', '')} {attributes.get('id', '')}".lower() if attributes else " "
-        kind, main, noise = _judged(tag, names, attributes.get("role", "").lower())
+        kind, main, noise = memory.judged[tag, names, attributes.get("role", "").lower()]
         self.tag, self.plain, self.children, self.texts = tag, not names.strip(), [], []
-        self.path = _path_code(parent.path if parent else 0, tag, kind)
+        self.path = memory.path[parent.path if parent else 0, tag, kind]
         self.branch = (*parent.branch, self.path) if parent else ()
         hidden = bool(attributes) and ("hidden" in attributes or attributes.get("aria-hidden", "").lower() == "true" or
                                        "display:none" in attributes.get("style", "").replace(" ", "").lower())
@@ -118,9 +131,10 @@ class Block:
 class PageParser(HTMLParser):
     """Elements of a page in one pass, with the end tags that HTML lets out, and its text blocks in page order."""
 
-    def __init__(self):
+    def __init__(self, memory: Memory):
         super().__init__(convert_charrefs=True)
-        self.stack = [Element("", {}, None)]
+        self.memory = memory
+        self.stack = [Element("", {}, None, memory)]
         self.elements: list[Element] = []
         self.blocks: list[Block] = []
         self.pieces: list[str] = []
@@ -157,7 +171,7 @@ class PageParser(HTMLParser):
         if tag in VOID:
             return
         parent = self.stack[-1]
-        element = Element(tag, {k: v or "" for k, v in attrs}, parent)
+        element = Element(tag, {k: v or "" for k, v in attrs}, parent, self.memory)
         if tag not in INLINE:
             if not parent.children or parent.children[-1] != tag:  # a run of like children is one
                 parent.children.append(tag)
@@ -190,8 +204,8 @@ class PageParser(HTMLParser):
         self.pieces.append(data)
 
 
-def parse(html: str | None) -> PageParser:
-    page = PageParser()
+def parse(html: str | None, memory: Memory | None = None) -> PageParser:
+    page = PageParser(memory or Memory())
     page.feed(_CUT_TAG.sub("", html or ""))  # a page may end inside a tag
     page.close()
     page.finish_block()
@@ -222,11 +236,12 @@ _NODE_DDL = "host string, path long, branch array<long>, style long, content lon
 
 
 def _nodes(batches):
+    memory = Memory()
     for batch in batches:
         out = []
         for url, html in zip(*batch.columns, strict=True):
             host = host_of(url.as_py())
-            out += [row | {"host": host} for row in page_nodes(parse(html.as_py()))]
+            out += [row | {"host": host} for row in page_nodes(parse(html.as_py(), memory))]
         yield pa.RecordBatch.from_pylist(out, _NODE_ROWS)
 
 
@@ -256,9 +271,9 @@ def style_tree(nodes: DataFrame, discount: float) -> DataFrame:
     return tree.select("host", "path", "pages", "guarded").join(mean, ["host", "path"])
 
 
-def main_text(html: str | None, low: frozenset[int] = frozenset()) -> tuple[str, int]:
+def main_text(html: str | None, low: frozenset[int] = frozenset(), memory: Memory | None = None) -> tuple[str, int]:
     """(text, blocks removed): what is left of the main element, or of the page if it names none."""
-    page = parse(html)
+    page = parse(html, memory)
     kept = [b for b in page.blocks if not b.noise and low.isdisjoint(b.branch)]
     if any(b.main for b in kept):
         kept = [b for b in kept if b.main]
@@ -266,10 +281,11 @@ def main_text(html: str | None, low: frozenset[int] = frozenset()) -> tuple[str,
 
 
 def _extract(batches):
+    memory = Memory()
     for batch in batches:
         texts, removed = [], []
         for html, low in zip(batch.column(2), batch.column(3), strict=True):
-            text, gone = main_text(html.as_py(), frozenset(low.as_py() or ()))
+            text, gone = main_text(html.as_py(), frozenset(low.as_py() or ()), memory)
             texts.append(text)
             removed.append(gone)
         yield pa.RecordBatch.from_pydict({
