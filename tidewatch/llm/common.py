@@ -104,3 +104,11 @@ def give_back_memory() -> None:
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
     if trim:
         trim(0)
+
+
+def slices(batches, rows: int = 512):
+    """Arrow batches in slices of a few rows, so that what a task makes of them at once stays small."""
+    for batch in batches:
+        for low in range(0, batch.num_rows, rows):
+            yield batch.slice(low, rows)
+    give_back_memory()

@@ -2,8 +2,9 @@
 
 Words of the test items become small integers. A text is turned into these integers (-1: no test word), runs of ten
 are hashed with whole-array operations, hashes are looked up in the sorted set, and every hit is verified word by word.
-A set of more than `block_windows` windows is broadcast in blocks of whole items, one scan each, and the blocks' spans
-are merged, so what is broadcast at once has a fixed bound.
+A set of more than `block_windows` windows is broadcast in blocks of whole items, one after another: each block's scan adds its
+spans to the rows, which are written before the next block is broadcast. So what is broadcast at once has a fixed bound, and a
+row stays a row whatever its id and however many blocks there are.
 """
 
 from __future__ import annotations
@@ -15,12 +16,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import opened, share
+from tidewatch.llm.common import opened, share, slices
+from tidewatch.session import pinned
 
 # fixed value: a word is made of digits, ASCII letters and all characters beyond ASCII
 WORD_BYTES = bytes(b if b >= 0x80 or chr(b).isalnum() else 0x20 for b in range(256))
 
-SCAN_SCHEMA = "doc_id long, n_words long, spans array<struct<start:int,end:int>>, items array<long>"
+SCAN_SCHEMA = "n_words long, spans array<struct<start:int,end:int>>, items array<string>"
 _SPANS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 _FACTORS = np.array([pow(0x9E3779B97F4A7C15, k + 1, 1 << 64) for k in range(64)], dtype=np.uint64)
 
@@ -32,9 +34,9 @@ def words_of(text: bytes | None) -> list[bytes]:
 class WindowSet:
     """The windows of some items: `width` consecutive words, or all words of a shorter item."""
 
-    def __init__(self, items: list[tuple[int, list[bytes]]], width: int):
+    def __init__(self, items: list[tuple[str, list[bytes]]], width: int):
         self.vocabulary: dict[bytes, int] = {}
-        windows: dict[tuple[int, ...], set[int]] = {}
+        windows: dict[tuple[int, ...], set[str]] = {}
         for item, words in items:
             ids = [self.vocabulary.setdefault(w, len(self.vocabulary)) for w in words]
             for i in range(max(1, len(ids) - width + 1) if ids else 0):
@@ -52,7 +54,7 @@ class WindowSet:
         spread ^= spread >> np.uint64(29)
         return sum(spread[k:len(ids) - size + 1 + k] * _FACTORS[k] for k in range(size))
 
-    def find(self, words: list[bytes]) -> tuple[list[tuple[int, int]], set[int]]:
+    def find(self, words: list[bytes]) -> tuple[list[tuple[int, int]], set[str]]:
         """Spans of words inside occurrences of windows, merged, and the items these belong to."""
         known = self.vocabulary.get
         ids = np.array([known(w, -1) for w in words], dtype=np.int64)
@@ -88,76 +90,67 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def _scan(shared):
+def _scan(shared, last: bool):
+    """Adds what one block of windows finds to the spans and items of each row; the text goes with the last block."""
     def scan(batches):
         windows = opened(shared)
-        for batch in batches:
-            ids, texts = batch.column(0), batch.column(1).cast(pa.binary())
+        for batch in slices(batches):
+            ids, texts = batch.column(0), batch.column(1)
             n_words, spans, items = [], [], []
-            for text in texts:
+            for text, earlier, known in zip(texts.cast(pa.binary()), batch.column(3), batch.column(4), strict=True):
                 words = words_of(text.as_py())
                 found, of = windows.find(words)
                 n_words.append(len(words))
-                spans.append([{"start": s, "end": e} for s, e in found])
-                items.append(sorted(of))
-            yield pa.RecordBatch.from_pydict({
-                "doc_id": ids, "n_words": pa.array(n_words, pa.int64()), "spans": pa.array(spans, _SPANS),
-                "items": pa.array(items, pa.list_(pa.int64()))})
+                spans.append([{"start": s, "end": e} for s, e in merged([*((s["start"], s["end"]) for s in earlier.as_py()), *found])])
+                items.append(sorted(of.union(known.as_py())))
+            columns = [pa.array(n_words, pa.int64()), pa.array(spans, _SPANS), pa.array(items, pa.list_(pa.string()))]
+            names = ["n_words", "spans", "items"]
+            yield pa.RecordBatch.from_arrays([ids, *columns], ["doc_id", *names]) if last else pa.RecordBatch.from_arrays(
+                [ids, texts, *columns], ["doc_id", "body", *names])
     return scan
 
 
 def _item_blocks(benchmark: DataFrame, text: str, item_id: str, width: int, block_windows: int):
-    """Lists of (item, words), each with at most `block_windows` windows (or a single item), read one after another."""
+    """(list of (item, words), whether it is the last) of at most `block_windows` windows (or a single item), one after another."""
     block, size = [], 0
     rows = benchmark.where(F.col(item_id).isNotNull()).select(
-        F.col(item_id).cast("long").alias("item"), F.col(text).cast("binary").alias("body"))
+        F.col(item_id).cast("string").alias("item"), F.col(text).cast("binary").alias("body"))
     for row in rows.toLocalIterator():
         words = words_of(bytes(row.body) if row.body is not None else None)
         windows = max(1, len(words) - width + 1)
         if block and size + windows > block_windows:
-            yield block
+            yield block, False
             block, size = [], 0
         block.append((row.item, words))
         size += windows
-    yield block
+    yield block, True
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", doc_id: str = "doc_id",
                   bench_text: str = "text", item_id: str = "item_id", width: int = 10,
-                  block_windows: int = 2_000_000) -> DataFrame:
+                  block_windows: int = 200_000) -> DataFrame:
     """(doc_id, n_words, spans, items) for every document: word spans inside test windows, and the items they are from.
 
     A null or empty text has no words and no spans; an item without words has no windows; items without an id are left
-    out. Equal items are all reported. Rows that repeat a doc_id must have one text; an empty table gives no rows.
+    out. Equal items are all reported, by their ids as text. Every row has its own result, rows that repeat an id or have none
+    too; an empty table gives no rows.
     """
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("body"))
-    scans = [rows.mapInArrow(_scan(share(docs.sparkSession, WindowSet(block, width))), SCAN_SCHEMA)
-             for block in _item_blocks(benchmark, bench_text, item_id, width, block_windows)]
-    if len(scans) == 1:
-        return scans[0]
-    every = scans[0]
-    for scan in scans[1:]:
-        every = every.unionByName(scan)
-    gathered = every.groupBy("doc_id").agg(
-        F.max("n_words").alias("n_words"), F.flatten(F.collect_list("spans")).alias("spans"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
-    return gathered.withColumn("spans", merged_spans())
-
-
-def merged_spans():
-    """Overlapping or touching spans of the column `spans` as one, in order."""
-    last = "element_at(acc, -1)"
-    return F.expr(f"""aggregate(array_sort(spans), cast(array() as array<struct<start:int,end:int>>), (acc, s) ->
-        if(size(acc) > 0 and s.start <= {last}.end,
-           concat(slice(acc, 1, size(acc) - 1),
-                  array(named_struct('start', {last}.start, 'end', greatest({last}.end, s.end)))),
-           concat(acc, array(s))))""")
+    spark, kind = docs.sparkSession, docs.schema[doc_id].dataType.simpleString()
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("body"), F.lit(0).cast("long").alias("n_words"),
+                       F.array().cast("array<struct<start:int,end:int>>").alias("spans"), F.array().cast("array<string>").alias("items"))
+    for block, last in _item_blocks(benchmark, bench_text, item_id, width, block_windows):
+        shared = share(spark, WindowSet(block, width))
+        rows = rows.mapInArrow(_scan(shared, last), f"doc_id {kind}, {'' if last else 'body string, '}{SCAN_SCHEMA}")
+        if not last:
+            rows = pinned(rows)
+            shared.destroy()
+    return rows
 
 
 def digest_columns(found: DataFrame) -> DataFrame:
     """(doc_id, n_words, n_hit, n_items, items_sha256, contaminated) of what `contamination` found."""
     n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda acc, s: acc + (s["end"] - s["start"]))
-    as_text = F.array_join(F.array_sort(F.transform("items", lambda i: i.cast("string"))), ",")
+    as_text = F.array_join(F.array_sort("items"), ",")
     return found.select("doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
                         F.sha2(as_text, 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"))
 
@@ -165,18 +158,21 @@ def digest_columns(found: DataFrame) -> DataFrame:
 def _clean(shared, at: int):
     def clean(batches):
         windows = opened(shared)
-        for batch in batches:
+        for batch in slices(batches):
             texts = batch.column(at).cast(pa.binary())
             yield batch.filter(pa.array([not windows.find(words_of(t.as_py()))[0] for t in texts], pa.bool_()))
     return clean
 
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", bench_text: str = "text",
-                         item_id: str = "item_id", width: int = 10, block_windows: int = 2_000_000) -> DataFrame:
-    """The rows of docs in which no test window occurs, with all their columns; one pass, whatever the blocks."""
-    for block in _item_blocks(benchmark, bench_text, item_id, width, block_windows):
+                         item_id: str = "item_id", width: int = 10, block_windows: int = 200_000) -> DataFrame:
+    """The rows of docs in which no test window occurs, with all their columns; block after block."""
+    for block, last in _item_blocks(benchmark, bench_text, item_id, width, block_windows):
         shared = share(docs.sparkSession, WindowSet(block, width))
         docs = docs.mapInArrow(_clean(shared, docs.columns.index(text)), docs.schema)
+        if not last:
+            docs = pinned(docs)
+            shared.destroy()
     return docs
 
 

@@ -18,7 +18,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import opened, remainder, share
+from tidewatch.llm.common import opened, remainder, share, slices
 
 UNKNOWN = "und"
 WORD = re.compile(r"[^\W\d_]+")
@@ -118,7 +118,7 @@ def predicted(docs: DataFrame, learned: dict[str, tuple[bytes, int]], text: str
 
     def label(batches):
         compressors = Compressors(*opened(shared))
-        for batch in batches:
+        for batch in slices(batches):
             out = [compressors.predict(t.as_py()) for t in batch.column(1)]
             langs, scores, margins, rejected = zip(*out, strict=True) if out else ((), (), (), ())
             yield pa.RecordBatch.from_pydict({
@@ -145,7 +145,7 @@ def without_rejected(docs: DataFrame, text: str = "text", lang: str = "lang", do
 
     def keep(batches):
         compressors = Compressors(*opened(shared))
-        for batch in batches:
+        for batch in slices(batches):
             yield batch.filter(pa.array([not compressors.predict(t.as_py())[3] for t in batch.column(at)], pa.bool_()))
 
     return docs.mapInArrow(keep, docs.schema)

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import bit_filter, dropping, give_back_memory, opened, passing, share
+from tidewatch.llm.common import bit_filter, dropping, give_back_memory, opened, passing, share, slices
 from tidewatch.llm.components import components, merged_components
 from tidewatch.session import pinned
 
@@ -105,18 +105,10 @@ class Signer:
         return _mixed(sum(_mixed(cut[:, :, k]) * _ODD[k] for k in range(self.rows)))
 
 
-def _slices(batches, rows: int = 512):
-    """The batches in slices of a few rows, so that what a task makes of them at once stays small."""
-    for batch in batches:
-        for low in range(0, batch.num_rows, rows):
-            yield batch.slice(low, rows)
-    give_back_memory()
-
-
 def _sketch(width: int, bands: int, rows: int):
     def sketch(batches):
         hashes, signer = WordHashes(), Signer(bands, rows)
-        for batch in _slices(batches):
+        for batch in slices(batches):
             texts = batch.column(1).cast(pa.binary())
             sets = [shingle_set(t.as_py(), width, hashes) for t in texts]
             full = [k for k, s in enumerate(sets) if len(s)]
@@ -134,7 +126,7 @@ def _sketch(width: int, bands: int, rows: int):
 def _sets(width: int):
     def sets(batches):
         hashes = WordHashes()
-        for batch in _slices(batches):
+        for batch in slices(batches):
             found = [shingle_set(t.as_py(), width, hashes) for t in batch.column(1).cast(pa.binary())]
             yield pa.RecordBatch.from_pydict({
                 "doc_id": batch.column(0), "n": pa.array([len(s) for s in found], pa.int64()),
@@ -156,7 +148,7 @@ def _linked(percent: int):
 
 
 def _tokens(batches):
-    for batch in _slices(batches):
+    for batch in slices(batches):
         content = b"".join(batch.column(0).to_pylist())
         yield pa.RecordBatch.from_pydict({"token": pa.array(np.frombuffer(content, np.int64))})
 
@@ -166,7 +158,7 @@ def _prefixes(shared, percent: int):
 
     def prefixes(batches):
         common, counts = opened(shared)
-        for batch in _slices(batches):
+        for batch in slices(batches):
             reps, sizes, tokens, places = [], [], [], []
             for rep, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 found = np.frombuffer(content, np.uint64)
