@@ -538,3 +538,8 @@ oracle("reproduced_metrics", """SELECT model, metric, round(d, 4) + 0.0 AS decla
     round(abs(m - d) / abs(d), 6) + 0.0 AS relative, abs(m - d) / abs(d) <= 0.01 AS reproduced FROM (
     SELECT p_brand AS model, 'rmse' AS metric, avg(p_retailprice) FILTER (p_partkey % 2 = 0) AS d, avg(p_retailprice) AS m FROM part GROUP BY p_brand UNION ALL
     SELECT p_brand, 'mape', avg(p_size) FILTER (p_partkey % 2 = 0), avg(p_size) FROM part GROUP BY p_brand) WHERE d IS NOT NULL""")
+
+oracle("damaged_batches", """SELECT CAST(yr AS VARCHAR) AS batch_id, CASE WHEN yr IN (2000, 2001) THEN 0 ELSE count(*) END AS n_features,
+    CASE WHEN yr IN (2000, 2001) THEN 0 ELSE count(*) END AS n_target, CASE yr WHEN 2000 THEN 'damaged' WHEN 2001 THEN 'encoding' END AS reason,
+    CASE WHEN yr IN (2000, 2001) THEN 0 ELSE count(*) END AS n_scored, CASE WHEN yr NOT IN (2000, 2001) THEN round(sum(l_quantity), 2) + 0.0 END AS quantity
+    FROM li GROUP BY yr""", "li")

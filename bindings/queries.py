@@ -152,6 +152,45 @@ def loaded_batches(spark, sf):
     return rounded(loaded.batches.join(pairs, "batch_id"), {"features_sum": 2, "pairs_sum": 1})
 
 
+def _cut_short(spark: SparkSession, folder: str) -> None:
+    """Keep the first half of each compressed part file of a folder, as a broken upload would."""
+    hadoop = spark._jvm.org.apache.hadoop
+    root = hadoop.fs.Path(folder)
+    system = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in system.listStatus(root):
+        path = status.getPath()
+        if path.getName().endswith(".gz"):
+            half = hadoop.fs.Path(f"{path.toString()}.half")
+            source, target = system.open(path), system.create(half)
+            spark._jvm.org.apache.commons.io.IOUtils.copyLarge(source, target, 0, status.getLen() // 2)
+            source.close()
+            target.close()
+            system.delete(path, False)
+            system.rename(half, path)
+
+
+@query
+def damaged_batches(spark, sf):
+    """A compressed batch for every year: 2000's features break off, 2001's target is in another encoding. Both are unreadable
+    as a whole; the others are read."""
+    folder, rows = run_folder(spark, "damaged"), lineitem(spark, sf)
+    for year in [r.yr for r in rows.select("yr").distinct().orderBy("yr").collect()]:
+        batch = rows.where(F.col("yr") == year).orderBy("price", "l_orderkey", "l_linenumber")
+        features = f"{folder}/dataset_{year}_feats.csv"
+        batch.select(*SPEC.features).write.option("header", "true").option("compression", "gzip").csv(features)
+        if year == 2000:
+            _cut_short(spark, features)
+        writer = batch.select(F.col("price").cast("string")).write
+        writer = writer.option("encoding", "UTF-16LE") if year == 2001 else writer.option("compression", "gzip")
+        writer.csv(f"{folder}/dataset_{year}_target.csv")
+    loaded = load_batches(spark, folder, SPEC)
+    reasons = loaded.failures.groupBy("batch_id").agg(F.min("reason").alias("reason"))
+    sums = loaded.rows.groupBy("batch_id").agg(F.count_if("scored").alias("n_scored"), F.sum("l_quantity").alias("quantity"))
+    out = loaded.batches.join(reasons, "batch_id", "left").join(sums, "batch_id", "left").select(
+        "batch_id", "n_features", "n_target", "reason", F.coalesce("n_scored", F.lit(0)).alias("n_scored"), "quantity")
+    return rounded(out, {"quantity": 2})
+
+
 @query
 def loaded_batch_violations(spark, sf):
     from tidewatch.operators.contract import missing_column_violations, numeric_violations, row_count_violations

@@ -120,3 +120,56 @@ def test_nothing_is_lost_at_load(spark, tmp_path):
            loaded.rows.where("batch_id = 'q'").orderBy("row_index").collect()]
     assert got == [(19.0, "south\nwest", 27.9, 1.0, []), (34.0, "southeast", 33.77, 2.0, []),
                    (20.0, 'a "b"\nc', 20.5, 3.0, []), (47.0, "northwest", 23.164, 4.0, [])]
+
+
+def test_damaged_files_fail_their_batch_only(spark, tmp_path):
+    """Gzip files cut short or with a broken byte, files in UTF-16, empty files, and whole gzip files with and without a last line end."""
+    import gzip
+
+    def packed(batch, kind, data, cut=None, broken=None):
+        folder = tmp_path / f"dataset_{batch}_{kind}.csv"
+        folder.mkdir()
+        content = bytearray(gzip.compress(data.encode()))
+        if broken is not None:
+            content[broken] ^= 0xFF
+        (folder / "part-0.csv.gz").write_bytes(bytes(content[:cut]))
+
+    many = "\n".join([HEADER, *ROWS * 400])
+    packed("whole", "feats", many + "\n")
+    packed("open", "feats", many)
+    packed("marked", "feats", "\ufeff" + many + "\r\n")
+    packed("cut", "feats", many, cut=-9)
+    packed("stub", "feats", many, cut=6)
+    packed("broken", "feats", many, broken=60)
+    packed("label", "feats", many)
+    packed("label", "target", "\n".join(["1.5"] * 2000), cut=20)
+    (tmp_path / "dataset_wide_feats.csv").write_bytes(many.encode("utf-16"))
+    (tmp_path / "dataset_empty_feats.csv").write_text("")
+    (tmp_path / "dataset_plain_feats.csv").write_text(many)
+    loaded = load_batches(spark, str(tmp_path), INSURANCE)
+    assert {r.batch_id: r.reason for r in loaded.failures.collect()} == {
+        "cut": "damaged", "stub": "damaged", "broken": "damaged", "label": "damaged", "wide": "encoding"}
+    sizes = {r.batch_id: r.n_features for r in loaded.batches.collect()}
+    assert sizes == {"whole": 2000, "open": 2000, "marked": 2000, "plain": 2000, "cut": 0, "stub": 0, "broken": 0, "label": 0, "wide": 0, "empty": 0}
+    assert {r.batch_id for r in loaded.rows.select("batch_id").distinct().collect()} == {"whole", "open", "marked", "plain"}
+
+
+def test_retries_double_nothing(spark, tmp_path):
+    """The same training file twice, also in another order and under another name, and a baseline saved twice."""
+    from conftest import NOW, people
+
+    from tidewatch.operators.baseline import build_baseline
+    from tidewatch.sources.tables import ingest_training_csv, load_baseline, save_baseline
+
+    lines = [f"{r},100.5" for r in ROWS]
+    for name, body in (("a", lines), ("b", lines[::-1]), ("c", lines[:2])):
+        (tmp_path / f"{name}.csv").write_text("\n".join([HEADER + ",charges", *body]) + "\n")
+    table = str(tmp_path / "table")
+    sizes = [ingest_training_csv(spark, str(tmp_path / f"{n}.csv"), INSURANCE, table).count() for n in ("a", "a", "b", "c", "c")]
+    assert sizes == [5, 5, 5, 7, 7]
+    rows = people(spark, 60, 4).withColumn("prediction", F.col("charges") + 1)
+    for model in ("m1", "m2", "m1"):
+        save_baseline(build_baseline(rows, rows, INSURANCE, model, NOW, 14), str(tmp_path / "baseline"))
+    found = load_baseline(spark, str(tmp_path / "baseline"))
+    assert {r.model_id for r in found.profile.select("model_id").distinct().collect()} == {"m1", "m2"}
+    assert found.profile.groupBy("model_id", "series").count().where("count > 1").isEmpty()

@@ -78,19 +78,63 @@ def discover_batches(spark: SparkSession, directory: str) -> DataFrame:
     return found.orderBy("features")
 
 
+def _chosen_files(spark: SparkSession, batches: DataFrame, directory: str) -> DataFrame:
+    """(path, length, source, batch_id, kind) of the files of the batches."""
+    sources = batches.select("batch_id", F.explode(F.array(
+        F.struct(F.lit("feats").alias("kind"), F.col("features").alias("source")),
+        F.struct(F.lit("target").alias("kind"), F.col("target").alias("source")))).alias("s")).select("batch_id", "s.*")
+    return batch_files(spark, directory).select("path", "length", "source").join(sources, "source")
+
+
+def _unpacked_sizes(spark: SparkSession, files: DataFrame) -> DataFrame:
+    """(path, size) of gzip files: what their last four bytes say about their content, modulo 2^32; -1 if they are too short."""
+    sizes = []
+    for r in files.where("length > 0").select("path", "length").distinct().collect():  # the listing, one row a file
+        path, size = spark._jvm.org.apache.hadoop.fs.Path(r.path), -1
+        if r.length >= 18:
+            stream = path.getFileSystem(spark._jsc.hadoopConfiguration()).open(path)
+            try:
+                stream.seek(r.length - 4)
+                size = sum(stream.readUnsignedByte() << (8 * k) for k in range(4))
+            finally:
+                stream.close()
+        sizes.append((r.path, size))
+    return spark.createDataFrame(sizes, "path string, size bigint")
+
+
+def failed_files(spark: SparkSession, batches: DataFrame, directory: str, lines: DataFrame) -> DataFrame:
+    """(batch_id, path, reason) of files that could not be read as they are: `damaged` or `encoding`.
+
+    A gzip file that ends early or is broken inside gives only its first lines, or none. So the bytes of its lines are held
+    against the size in its last bytes (of a file of one member, as writers make it). Plain files have no such
+    check: their size is that of the listing. Zero characters tell a file in another encoding, or no text at all.
+    """
+    files = _chosen_files(spark, batches, directory)
+    broken = lines.where(F.contains("value", F.lit("\u0000"))).select("batch_id", "path", F.lit("encoding").alias("reason")).distinct()
+    packed = files.where(F.col("path").endswith(".gz"))
+    if packed.isEmpty():
+        return broken
+    seen = (spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.gz").option("ignoreCorruptFiles", "true")
+            .option("lineSep", "\n").text(directory)
+            .groupBy(_plain(F.col("_metadata.file_path")).alias("path")).agg(F.sum(F.octet_length("value") + 1).alias("n")))
+    # a last line without an end counts one byte too many, a byte order mark is not counted
+    apart = F.pmod(F.coalesce("n", F.lit(0)) - F.col("size"), F.lit(1 << 32))
+    whole = apart.isin(0, 1, (1 << 32) - 3, (1 << 32) - 2)
+    damaged = (packed.join(_unpacked_sizes(spark, packed), "path").join(seen, "path", "left").where((F.col("size") < 0) | ~whole)
+               .select("batch_id", "path", F.lit("damaged").alias("reason")))
+    return damaged.unionByName(broken.join(damaged, ["batch_id", "path"], "left_anti"))
+
+
 def read_lines(spark: SparkSession, batches: DataFrame, directory: str) -> DataFrame:
     """Every non-blank line of the chosen files with its place in the file and its number of quotes, written once.
 
     Which bytes form a split depends on the cluster, so the lines are pinned before positions are
-    counted: later stages must not see another cut.
+    counted: later stages must not see another cut. Files that break off give the lines before the break.
     """
-    sources = batches.select("batch_id", F.explode(F.array(
-        F.struct(F.lit("feats").alias("kind"), F.col("features").alias("source")),
-        F.struct(F.lit("target").alias("kind"), F.col("target").alias("source")))).alias("s")).select("batch_id", "s.*")
-    chosen = batch_files(spark, directory).select("path", "source").join(sources, "source")
+    chosen = _chosen_files(spark, batches, directory).drop("length")
     path = _plain(F.col("_metadata.file_path"))
     lines = (
-        spark.read.option("recursiveFileLookup", "true").text(directory)
+        spark.read.option("recursiveFileLookup", "true").option("ignoreCorruptFiles", "true").text(directory)
         .where(F.contains(F.lower(path), F.lit("/dataset_")))
         .where(F.btrim("value", F.lit(" \t\r\ufeff")) != "")
         .select("value", path.alias("path"), F.col("_metadata.file_block_start").alias("block_start"))
@@ -171,6 +215,7 @@ class LoadedBatches:
     rows: DataFrame      # batch_id, row_index, features, target, has_target, scored, unparsed
     batches: DataFrame   # batch_id, has_target, n_features, n_target
     columns: DataFrame   # batch_id, column: the headers
+    failures: DataFrame | None = None  # batch_id, path, reason: files that make their batch unreadable
 
 
 def parse_features(rows: DataFrame, headers: DataFrame, spec: FeatureSpec) -> tuple[DataFrame, DataFrame]:
@@ -233,9 +278,17 @@ def join_by_position(features: DataFrame, targets: DataFrame, batches: DataFrame
 
 
 def load_batches(spark: SparkSession, directory: str, spec: FeatureSpec) -> LoadedBatches:
-    """All batches of a directory: discovered, read, repaired and paired."""
+    """All batches of a directory: discovered, read, repaired and paired.
+
+    A batch with a file that failed keeps its row in `batches`, without any row of its own: half a batch is not scored. The
+    other batches are read as if it were not there.
+    """
     batches = discover_batches(spark, directory)
-    rows, headers = index_rows(read_lines(spark, batches, directory))
+    lines = read_lines(spark, batches, directory)
+    failures = pinned(failed_files(spark, batches, directory, lines))
+    # at most one row a batch
+    lines = lines.join(F.broadcast(failures.select("batch_id").distinct()), "batch_id", "left_anti")
+    rows, headers = index_rows(lines)
     features, present = parse_features(rows, headers, spec)
     loaded = join_by_position(features, parse_targets(rows, spec.target), batches, spec.target)
-    return LoadedBatches(loaded.rows, loaded.batches, present)
+    return LoadedBatches(loaded.rows, loaded.batches, present, failures)

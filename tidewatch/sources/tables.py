@@ -27,10 +27,17 @@ def prepare_training_rows(raw: DataFrame, spec: FeatureSpec) -> DataFrame:
 
 
 def ingest_training_csv(spark: SparkSession, path: str, spec: FeatureSpec, table_path: str) -> DataFrame:
-    """Append a training CSV, read as text, to the training table."""
-    raw = spark.read.option("header", "true").csv(path)
-    prepare_training_rows(raw, spec).write.mode("append").parquet(table_path)
-    return spark.read.parquet(table_path)
+    """Add a training CSV, read as text, to the training table, as a partition named by its content.
+
+    The name is a digest over all prepared rows that does not depend on their order, so a retry, or the same rows under
+    another file name, replaces what it wrote before instead of doubling it.
+    """
+    rows = prepare_training_rows(spark.read.option("header", "true").csv(path), spec)
+    as_text = F.to_json(F.struct("*"), {"ignoreNullFields": "false"})
+    sums = rows.agg(F.count("*").alias("n"), *[F.sum(F.xxhash64(as_text, F.lit(k)).cast("decimal(20,0)")).alias(f"h{k}") for k in (0, 1)])
+    name = sums.select(F.sha2(F.concat_ws(":", "n", "h0", "h1"), 256)).first()[0]
+    rows.write.mode("overwrite").parquet(f"{table_path}/content={name}")
+    return spark.read.parquet(table_path).drop("content")
 
 
 def sample_rows(df: DataFrame, n: int, seed: int | None = None) -> DataFrame:
@@ -42,9 +49,13 @@ _BASELINE_PARTS = ("profile", "bins", "freqs", "metrics")
 
 
 def save_baseline(baseline: Baseline, path: str) -> None:
-    """Four Parquet tables partitioned by model; only interior edges are stored, never infinities."""
+    """Four Parquet tables partitioned by model; only interior edges are stored, never infinities.
+
+    The partitions of the models written are replaced, so a retried run gives no second row a series; other models stay.
+    """
     for part in _BASELINE_PARTS:
-        getattr(baseline, part).write.mode("append").partitionBy("model_id").parquet(f"{path}/{part}")
+        getattr(baseline, part).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("model_id").parquet(
+            f"{path}/{part}")
 
 
 def load_baseline(spark: SparkSession, path: str) -> Baseline:
