@@ -88,6 +88,16 @@ def checked_broadcast(df: DataFrame, row_bytes: int, limit: int = 64 << 20) -> D
     return F.broadcast(df) if df.count() * row_bytes <= limit else df
 
 
+def bounded_batches(spark: SparkSession, size: str = "4m") -> None:
+    """Send rows to Python in Arrow batches of about `size`: a batch is held by the JVM and by the worker at once.
+
+    Spark's own 64 MB are hundreds of MB beside the heap where texts are long. A setting of the session's user stays.
+    """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key, None) is None:
+        spark.conf.set(key, size)
+
+
 def share(spark: SparkSession, value: Any) -> Broadcast:
     """Broadcast a value whose classes the executors need not be able to import; `opened` gives it back in a task."""
     return spark.sparkContext.broadcast(cloudpickle.dumps(value))

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import opened, share, slices
+from tidewatch.llm.common import bounded_batches, opened, share, slices
 from tidewatch.session import pinned
 
 # fixed value: a word is made of digits, ASCII letters and all characters beyond ASCII
@@ -135,6 +135,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", doc
     out. Equal items are all reported, by their ids as text. Every row has its own result, rows that repeat an id or have none
     too; an empty table gives no rows.
     """
+    bounded_batches(docs.sparkSession)
     spark, kind = docs.sparkSession, docs.schema[doc_id].dataType.simpleString()
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("body"), F.lit(0).cast("long").alias("n_words"),
                        F.array().cast("array<struct<start:int,end:int>>").alias("spans"), F.array().cast("array<string>").alias("items"))
@@ -167,6 +168,7 @@ def _clean(shared, at: int):
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", bench_text: str = "text",
                          item_id: str = "item_id", width: int = 10, block_windows: int = 200_000) -> DataFrame:
     """The rows of docs in which no test window occurs, with all their columns; block after block."""
+    bounded_batches(docs.sparkSession)
     for block, last in _item_blocks(benchmark, bench_text, item_id, width, block_windows):
         shared = share(docs.sparkSession, WindowSet(block, width))
         docs = docs.mapInArrow(_clean(shared, docs.columns.index(text)), docs.schema)

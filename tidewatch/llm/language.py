@@ -18,7 +18,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import opened, remainder, share, slices
+from tidewatch.llm.common import bounded_batches, opened, remainder, share, slices
 
 UNKNOWN = "und"
 WORD = re.compile(r"[^\W\d_]+")
@@ -114,6 +114,7 @@ def predicted(docs: DataFrame, learned: dict[str, tuple[bytes, int]], text: str
     tie goes to the language with more labelled rows, and is rejected. Repeated rows get equal predictions; an empty
     table gives no rows; other columns are ignored.
     """
+    bounded_batches(docs.sparkSession)
     shared = share(docs.sparkSession, (learned, options))
 
     def label(batches):
@@ -140,6 +141,7 @@ def identified(docs: DataFrame, fold: int = 3, held_out: int = 1, text: str = "t
 def without_rejected(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "doc_id",
                      options: Options = Options()) -> DataFrame:
     """The rows of docs whose language is recognised, with all their columns; learns from all labelled rows."""
+    bounded_batches(docs.sparkSession)
     learned = dictionaries(docs, F.lit(True), text, lang, doc_id, options)
     shared, at = share(docs.sparkSession, (learned, options)), docs.columns.index(text)
 

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import bit_filter, dropping, give_back_memory, opened, passing, share, slices
+from tidewatch.llm.common import bit_filter, bounded_batches, dropping, give_back_memory, opened, passing, share, slices
 from tidewatch.llm.components import components, merged_components
 from tidewatch.session import pinned
 
@@ -315,6 +315,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     row's own. Rows that repeat a doc_id must have one text. A row without doc_id keeps a null component_id unless it
     shares its set with a row that has one. An empty table gives no rows.
     """
+    bounded_batches(docs.sparkSession)
     rows_in = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("body"))
     run = NearDuplicates(rows_in, width, percent, bands, rows or rows_for(percent, bands), filter_bits)
     found = run.components()
