@@ -34,9 +34,9 @@ def pinned(df: DataFrame) -> DataFrame:
     """Write the rows once to the shared folder and read them back.
 
     Later stages then see the same rows whatever executors are lost, plans start anew from a scan,
-    and the columns can still be pruned.
+    and the columns can still be pruned. Row groups are small, since every writing task holds one in memory.
     """
     path = f"{shared_dir(df.sparkSession)}/pinned-{uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("parquet.block.size", 32 << 20).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
