@@ -110,7 +110,24 @@ def test_archives_of_nothing(spark):
     assert warc.archived(pages(spark).limit(0)).count() == 0
     again = spark.createDataFrame([(1, "u", "y" * 200), (1, "u", "y" * 200), (None, None, "y" * 200)], PAGES)
     assert Counter((r.page_id, r.record_type, r.refers_to) for r in warc.archived(again).collect()) == {
-        (1, "response", None): 2, (None, "response", None): 1}
+        (1, "response", None): 2, (None, "revisit", 1): 1}
+    odd = spark.createDataFrame([(None, "u", "z" * 200), (None, "u", "z" * 200), (5, "http://a/\r\nX: \n%0A", "s")], PAGES)
+    assert Counter((r.page_id, r.url, r.record_type) for r in warc.archived(odd).collect()) == {
+        (None, "u", "response"): 2, (5, "http://a/\r\nX: \n%0A", "response"): 1}
+
+
+@pytest.mark.parametrize("change", ["offset = offset + 1", "length = length - 1", "record_id = 'urn:page:0'", None])
+def test_archives_are_read_by_their_index(spark, tmp_path, change):
+    folder = str(tmp_path / "archives")
+    index = warc.write_bundles(pages(spark).limit(40), folder, frame_bytes=20_000)
+    assert warc.read_bundles(spark, folder, index).count() == 40
+    if change is None:
+        wrong = index.where("offset > 0")
+    else:
+        column, value = change.split(" = ")
+        wrong = index.withColumn(column, F.expr(value))
+    with pytest.raises(Exception, match="index|hold|record"):
+        warc.read_bundles(spark, folder, wrong).collect()
 
 
 # --- url filters ----------------------------------------------------------------------------

@@ -4,12 +4,15 @@ Tasks write bundles of whole frames into a folder all executors share; a frame h
 decompressed alone. The last frame of a bundle is a skippable one with the seek table of the public seekable format, so any
 Zstandard reader still reads the bundle as a plain WARC. The index names, for each record, its bundle, its frame and its
 offset inside the decompressed frame. A retried task writes under a new name, and only bundles named by the index, which
-holds the rows of successful tasks, are read.
+holds the rows of successful tasks, are read. Reading goes through the index: a task opens a bundle, reads its seek table, then
+frame after frame, and takes every record at its offset; a record that is not where the index says, and bytes of a frame that
+no record covers, are errors.
 """
 
 from __future__ import annotations
 
 import hashlib
+import json
 import struct
 import uuid
 from collections.abc import Iterator
@@ -63,6 +66,8 @@ def record_bytes(record_id: str, page_id: int | None, url: str | None, payload:
             f"WARC-Date: {date}", f"WARC-Payload-Digest: sha256:{digest}", f"X-Payload-Length: {len(payload)}"]
     if url is not None:
         head.append("WARC-Target-URI: " + url.replace("\r", "%0D").replace("\n", "%0A"))
+        if "\r" in url or "\n" in url:
+            head.append(f"X-Exact-URL: {json.dumps(url)}")
     if page_id is not None:
         head.append(f"X-Page-ID: {page_id}")
     if revisit:
@@ -84,11 +89,15 @@ def read_record(frame: bytes, offset: int) -> tuple[dict[str, str], bytes, int]:
     return headers, frame[start:stop], stop + 4
 
 
+def located(folder: str) -> tuple[pyarrow.fs.FileSystem, str]:
+    return pyarrow.fs.FileSystem.from_uri(folder if "://" in folder or folder.startswith("file:") else f"file://{folder}")
+
+
 class _Bundle:
     """A bundle being written to a file; frames go out as they fill."""
 
     def __init__(self, folder: str, frame_bytes: int):
-        system, path = pyarrow.fs.FileSystem.from_uri(folder if "://" in folder or folder.startswith("file:") else f"file://{folder}")
+        system, path = located(folder)
         system.create_dir(path, recursive=True)
         self.name, self.frame_bytes = f"bundle-{uuid.uuid4().hex}.warc.zst", frame_bytes
         self.out = system.open_output_stream(f"{path}/{self.name}", compression=None)
@@ -150,8 +159,8 @@ def write_bundles(pages: DataFrame, folder: str, page_id: str = "page_id", url:
     """Write every page as a record and return the written index (record_id, page_id, bundle, frame, offset, length).
 
     Of records with equal payloads of at least revisit_bytes bytes the one with the smallest page_id is a response, the
-    others revisit it; shorter ones are all responses. A null html is an empty payload. Rows without page_id are responses
-    with a random record id. Rows that repeat the smallest page_id of their payload are all responses. A bundle is closed
+    others revisit it; shorter ones are all responses. A null html is an empty payload. Rows without page_id have a random
+    record id; they revisit too where an equal payload has a page_id, and are responses otherwise. Rows that repeat the smallest page_id of their payload are all responses. A bundle is closed
     once it has bundle_bytes, so it is at most a frame larger; a record larger than a frame gets its own.
     """
     rows = pages.select(F.col(page_id).cast("long").alias("page_id"), F.col(url).cast("string").alias("url"),
@@ -161,30 +170,67 @@ def write_bundles(pages: DataFrame, folder: str, page_id: str = "page_id", url:
                     .agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1 and first is not null")
                     .select("digest", "first"))
     marked = rows.join(checked_broadcast(firsts, 100), "digest", "left").select(
-        "page_id", "url", "payload", "digest", F.when(F.col("page_id") != F.col("first"), F.col("first")).alias("refers_to"))
+        "page_id", "url", "payload", "digest", F.when(~F.col("page_id").eqNullSafe(F.col("first")), F.col("first")).alias("refers_to"))
     stamp = date.strftime("%Y-%m-%dT%H:%M:%SZ")
     return pinned(marked.mapInArrow(_writer(folder, frame_bytes, bundle_bytes, stamp), INDEX_SCHEMA))
 
 
-def _records(name: str, content: bytes) -> Iterator[dict]:
-    for number, (start, size) in enumerate(read_seek_table(content)):
-        frame, offset = zstandard.ZstdDecompressor().decompress(content[start:start + size]), 0
-        while offset < len(frame):
-            headers, payload, following = read_record(frame, offset)
-            refers_to = headers.get("WARC-Refers-To")
-            page, kind = headers.get("X-Page-ID"), headers["WARC-Type"]
-            digest = headers["WARC-Payload-Digest"].removeprefix("sha256:")
-            if kind == "response" and hashlib.sha256(payload).hexdigest() != digest:
-                raise ValueError(f"payload of {headers['WARC-Record-ID']} in {name} is damaged")
-            yield {"record_id": headers["WARC-Record-ID"][1:-1], "page_id": None if page is None else int(page),
-                   "url": headers.get("WARC-Target-URI"), "payload_bytes": int(headers["X-Payload-Length"]),
-                   "payload_digest": digest, "record_type": kind,
-                   "refers_to": None if refers_to is None else int(refers_to[1:-1].removeprefix("urn:page:")),
-                   "bundle": name, "frame": number, "offset": offset, "payload": payload}
-            offset = following
-
-
-def _reader(with_payload: bool):
+class Bundle:
+    """A bundle opened for reading: its seek table is read, and frames on demand."""
+
+    def __init__(self, folder: str, name: str):
+        system, path = located(folder)
+        self.name, self.file = name, system.open_input_file(f"{path}/{name}")
+        size = self.file.size()
+        tail = self.file.read_at(_TAIL_BYTES, size - _TAIL_BYTES)
+        table = _TAIL_BYTES + struct.unpack(_TAIL, tail)[0] * _ENTRY_BYTES
+        self.frames = read_seek_table(self.file.read_at(table, size - table))
+
+    def __enter__(self) -> Bundle:
+        return self
+
+    def __exit__(self, *error) -> None:
+        self.file.close()
+
+    def frame(self, number: int) -> bytes:
+        start, size = self.frames[number]
+        return zstandard.ZstdDecompressor().decompress(self.file.read_at(size, start))
+
+
+def _record(headers: dict[str, str], payload: bytes, place: dict, bundle: str) -> dict:
+    if headers["WARC-Record-ID"][1:-1] != place["record_id"]:
+        raise ValueError(f"{bundle} does not hold {place['record_id']} at frame {place['frame']}, offset {place['offset']}")
+    refers_to, page, kind = headers.get("WARC-Refers-To"), headers.get("X-Page-ID"), headers["WARC-Type"]
+    digest = headers["WARC-Payload-Digest"].removeprefix("sha256:")
+    if kind == "response" and hashlib.sha256(payload).hexdigest() != digest:
+        raise ValueError(f"payload of {place['record_id']} in {bundle} is damaged")
+    exact = headers.get("X-Exact-URL")
+    return {"record_id": place["record_id"], "page_id": None if page is None else int(page),
+            "url": headers.get("WARC-Target-URI") if exact is None else json.loads(exact),
+            "payload_bytes": int(headers["X-Payload-Length"]), "payload_digest": digest, "record_type": kind,
+            "refers_to": None if refers_to is None else int(refers_to[1:-1].removeprefix("urn:page:")),
+            "bundle": bundle, "frame": place["frame"], "offset": place["offset"], "payload": payload}
+
+
+def _records(folder: str, name: str, places: list[dict]) -> Iterator[dict]:
+    """The records at the places of a bundle, which are in order and must cover the bundle without a gap."""
+    number, content, at = -1, b"", 0
+    with Bundle(folder, name) as bundle:
+        for place in places:
+            if place["frame"] != number:
+                if at != len(content) or place["frame"] != number + 1:
+                    raise ValueError(f"the index leaves out a part of {name} after frame {number}, offset {at}")
+                number, content, at = place["frame"], bundle.frame(place["frame"]), 0
+            headers, payload, following = read_record(content, place["offset"])
+            if place["offset"] != at or following - at != place["length"]:
+                raise ValueError(f"the index and {name} differ at frame {number}, offset {at}")
+            at = following
+            yield _record(headers, payload, place, name)
+        if at != len(content) or number + 1 != len(bundle.frames):
+            raise ValueError(f"the index leaves out the end of {name}")
+
+
+def _reader(folder: str, with_payload: bool):
     types = {"record_id": pa.string(), "page_id": pa.int64(), "url": pa.string(), "payload_bytes": pa.int64(),
              "payload_digest": pa.string(), "record_type": pa.string(), "refers_to": pa.int64(), "bundle": pa.string(),
              "frame": pa.int32(), "offset": pa.int64(), "payload": pa.binary()}
@@ -192,9 +238,9 @@ def _reader(with_payload: bool):
 
     def read(batches):
         for batch in batches:
-            for k in range(batch.num_rows):
+            for name, places in zip(*batch.columns, strict=True):
                 rows, size = [], 0
-                for record in _records(batch.column(0)[k].as_py(), batch.column(1)[k].as_py()):
+                for record in _records(folder, name.as_py(), places.as_py()):
                     if not with_payload:
                         record["payload"] = None
                     rows.append(record)
@@ -207,25 +253,23 @@ def _reader(with_payload: bool):
 
 
 def read_bundles(spark: SparkSession, folder: str, index: DataFrame, with_payload: bool = True) -> DataFrame:
-    """Every record of the bundles that the index names, with its place; the payload of a revisit is empty."""
-    named = index.select("bundle").distinct()
-    if named.isEmpty():
-        return spark.createDataFrame([], READ_SCHEMA)
-    files = (spark.read.format("binaryFile").option("pathGlobFilter", "bundle-*.warc.zst").load(folder)
-             .select(F.element_at(F.split("path", "/"), -1).alias("bundle"), "content"))
-    return files.join(checked_broadcast(named, 100), "bundle", "left_semi").mapInArrow(_reader(with_payload), READ_SCHEMA)
+    """Every record of the index, read at its place in its bundle; the payload of a revisit is empty.
+
+    Only the index is shuffled: the places of a bundle meet in one row (a bundle has a bounded size), and the task reads that
+    file. An empty index gives no rows.
+    """
+    bundles = index.select("bundle").distinct().count()
+    places = F.struct("frame", "offset", "length", "record_id")
+    # a number of its own, or adaptive execution would judge by the small index and read all bundles in one task
+    by_bundle = (index.repartition(min(max(bundles, 1), 20_000), "bundle").groupBy("bundle")
+                 .agg(F.sort_array(F.collect_list(places)).alias("places")))
+    return by_bundle.mapInArrow(_reader(folder, with_payload), READ_SCHEMA)
 
 
 def lookup(folder: str, bundle: str, frame: int, offset: int) -> tuple[dict[str, str], bytes]:
     """(headers, payload) of one record by its index entry: reads the seek table and that frame only."""
-    system, path = pyarrow.fs.FileSystem.from_uri(folder if "://" in folder or folder.startswith("file:") else f"file://{folder}")
-    with system.open_input_file(f"{path}/{bundle}") as file:
-        size = file.size()
-        tail = file.read_at(_TAIL_BYTES, size - _TAIL_BYTES)
-        table = _TAIL_BYTES + struct.unpack(_TAIL, tail)[0] * _ENTRY_BYTES
-        start, length = read_seek_table(file.read_at(table, size - table))[frame]
-        content = zstandard.ZstdDecompressor().decompress(file.read_at(length, start))
-    headers, payload, _ = read_record(content, offset)
+    with Bundle(folder, bundle) as opened:
+        headers, payload, _ = read_record(opened.frame(frame), offset)
     return headers, payload
 
 
