@@ -64,6 +64,17 @@ def test_style_tree_removes_what_a_site_repeats(spark):
     assert got[100] == "Buy our things now"  # three pages say nothing about a site
 
 
+@pytest.mark.parametrize("named, texts", [(0.15, {"Story"}), (0.6, {"Story\nCookies {k}"}), (1.0, {"Story\nCookies {k}"})])
+def test_names_only_weigh_what_the_tree_finds(spark, named, texts):
+    """A menu that is the same on every page goes whatever its name weighs; a notice that varies goes by its weight only."""
+    rows = [(k, f"http://site.example/{k}", f"<body><nav>Home News</nav><section><h2>Story {k}</h2></section>"
+             f"<div class=cookies>Cookies {k}</div></body>") for k in range(30)]
+    got = extract.extracted(spark.createDataFrame(rows, PAGES), options=extract.Options(named=named)).collect()
+    for r in got:
+        assert {r.text} == {t.format(k=r.page_id).replace("Story", f"Story {r.page_id}") for t in texts}
+        assert (r.removed_as_repeated, r.removed_as_named) == (1, int(named < 0.2))
+
+
 def test_copies_of_an_article_keep_their_text(spark):
     page = "<nav><a>m</a></nav><article><h1>T</h1><p>same on every page</p></article>"
     got = extract.extracted(spark.createDataFrame([(k, "http://a.example/x", page) for k in range(40)] + [(99, None, page)], PAGES))
