@@ -51,7 +51,7 @@ SIBLINGS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr",
 SCOPES = frozenset("table ul ol dl body html article section main div nav aside header footer form".split())
 
 TEXT_SCHEMA = "page_id long, url string, text string, n_chars long, removed int, removed_as_repeated int, removed_as_named int"
-_SPACE, _CUT_TAG = re.compile(r"\s+"), re.compile(r"<[A-Za-z/!][^<>]*\Z")
+_CUT_TAG = re.compile(r"<[A-Za-z/!][^<>]*\Z")
 HOST_PATTERN = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]*)"
 
 
@@ -141,7 +141,7 @@ class PageParser(HTMLParser):
         self.owner = self.stack[0]
 
     def finish_block(self) -> None:
-        text = _SPACE.sub(" ", "".join(self.pieces)).strip()
+        text = " ".join("".join(self.pieces).split())
         self.pieces = []
         if text:
             self.blocks.append(Block(self.chain[-1].branch if self.chain else (), self.owner.main, text))
@@ -218,7 +218,7 @@ def page_nodes(page: PageParser) -> list[dict]:
     for element in page.elements:
         if not element.texts:
             continue
-        content = _code(*element.texts)
+        content = 0 if element.children else _code(*element.texts)  # only that of leaves is ever looked at
         row = rows.get(element.path)
         if row is None:
             rows[element.path] = {
