@@ -283,6 +283,91 @@ def test_exchange_moves_to_the_best_class():
         assert math.isclose(scores[best], max(scores), rel_tol=1e-12)
 
 
+def test_words_outside_the_head_go_to_their_best_class():
+    """All words at once, each against the same totals, as `best_class` decides for one."""
+    rng = np.random.default_rng(9)
+    words, n = 60, 7
+    bigrams = rng.poisson(0.6, (words, words)).astype(float)
+    classes = np.concatenate([[0], np.full(30, brown.RARE), rng.integers(brown.FIXED, n, words - 31)])
+    totals = np.zeros((n, n))
+    np.add.at(totals, (classes[:, None], classes[None, :]), bigrams)
+    rare = np.flatnonzero(classes == brown.RARE)
+    others = [np.arange(words) != w for w in rare]
+    before = np.array([np.bincount(classes[o], bigrams[o, w], n) for w, o in zip(rare, others, strict=True)])
+    after = np.array([np.bincount(classes[o], bigrams[w, o], n) for w, o in zip(rare, others, strict=True)])
+    twice = bigrams[rare, rare]
+    got = brown.best_classes(totals.copy(), before, after, twice)
+    free = np.arange(brown.FIXED, n)
+    assert got.tolist() == [brown.best_class(totals.copy(), b, a, brown.RARE, t, free)
+                            for b, a, t in zip(before, after, twice, strict=True)]
+
+
+def test_packed_contexts_keep_every_count():
+    rng = np.random.default_rng(2)
+    owners, codes = rng.integers(0, 9, 20_000), rng.choice([0, 3, 100], 20_000, p=[0.9, 0.09, 0.01])
+    owners[owners == 4] = 5  # one without any
+    ends, packed = brown.packed_contexts(owners, codes, 9, 101)
+    got = Counter()
+    for w, (low, high) in enumerate(zip([0, *ends[:-1]], ends, strict=True)):
+        for code, n in packed[low:high].reshape(-1, 2).tolist():
+            got[w, code] += n
+    assert got == Counter(zip(owners.tolist(), codes.tolist(), strict=True))
+    assert brown.packed_contexts(owners[:0], codes[:0], 3, 101)[0].tolist() == [0, 0, 0]
+
+
+def test_every_score_equals_one_computed_by_hand(spark):
+    """From the learned classes on: counts, class bigrams and probabilities of all texts, word by word."""
+    docs = documents(spark).unionByName(frame(spark, AWKWARD).withColumn("doc_id", F.col("doc_id") + 10_000))
+    options = brown.Options(chunk_tokens=5000, head_words=64, classes=8)
+    held_out = brown.remainder("doc_id", 7) == 2
+    model = brown.trained(docs.repartition(4), held_out, "text", "doc_id", options)
+    vocabulary = {bytes(r.word): (r["count"], r["class"]) for r in model.vocabulary.collect()}
+    rows = [(r.doc_id, words3(r.text)) for r in docs.collect()]
+    as_bytes = [(d, [w if isinstance(w, bytes) else w.encode() for w in ws]) for d, ws in rows]
+    counts = Counter(w for d, ws in as_bytes if not held(d, 7, 2) for w in ws)
+    assert {w: n for w, (n, _) in vocabulary.items()} == counts
+    assert all((c == brown.RARE) == (n == 1) for n, c in vocabulary.values() if n < 5)  # the head may hold any other
+
+    def path(ws):
+        return [*(vocabulary.get(w, (0, brown.RARE))[1] for w in ws), brown.END]
+
+    size = brown.FIXED + options.classes
+    totals, ends = np.zeros((size, size)), 0
+    for d, ws in as_bytes:
+        if not held(d, 7, 2):
+            p = [brown.END, *path(ws)]
+            np.add.at(totals, (p[:-1], p[1:]), 1)
+            ends += 1
+    assert (totals == model.totals).all()
+    of_class = Counter()
+    types = Counter()
+    for n, c in [*vocabulary.values(), (ends, brown.END)]:
+        of_class[c] += n
+        types[c] += 1
+    smooth = {c: of_class[c] + 1 for c in range(size)}
+    spread = sum(smooth.values())
+    got = {r.doc_id: r.score for r in brown.log_probabilities(docs.repartition(4), held_out, options=options).collect()}
+    for d, ws in as_bytes:
+        want, last = 0.0, brown.END
+        for w, c in zip([*ws, None], path(ws), strict=True):
+            n = ends if w is None else counts[w]
+            step = (totals[last, c] + options.smoothing * smooth[c] / spread) / (totals[last].sum() + options.smoothing)
+            want += math.log10(step) + math.log10((n + 1) / (of_class[c] + types[c] + (c == brown.RARE)))
+            last = c
+        assert math.isclose(got[d], want, rel_tol=1e-9)
+    # what the words outside the head gain: all of them in one class say less
+    lumped = np.array([brown.RARE if c >= brown.FIXED else c for c in range(size)])
+    poor = np.zeros((size, size))
+    np.add.at(poor, (lumped[:, None], lumped[None, :]), totals)
+    assert brown.information(totals) > brown.information(poor) >= 0
+
+
+def test_language_model_keeps_null_ids(spark):
+    docs = spark.createDataFrame([(None, "a b a b"), (-1, "a b"), (None, None), (3, "b a")], "doc_id long, text string")
+    got = brown.log_probabilities(docs, F.col("doc_id") == 3).collect()
+    assert sorted((r.doc_id is None, r.doc_id or 0, r.n_tokens) for r in got) == [(False, -1, 3), (False, 3, 3), (True, 0, 1), (True, 0, 5)]
+
+
 def test_language_model_without_training_rows(spark):
     docs = frame(spark, ["a b", None])
     got = {r.doc_id: r for r in brown.log_probabilities(docs, F.lit(True)).collect()}
