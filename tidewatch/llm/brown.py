@@ -444,8 +444,9 @@ def trained(docs: DataFrame, held_out: Column, text: str, doc_id: str, options:
         _contexts(share(spark, head_classes), n_classes), "word binary, n long, context binary")
     vocabulary = pinned(parts.repartition("word").sortWithinPartitions("word").mapInArrow(
         _assigned(share(spark, (head_classes, totals)), n_classes), "word binary, count long, class int"))
+    # what a chunk cannot tell by itself: without a word for it, its own count is the corpus count and the class is RARE
     told = (chunks.select("chunk", "words", "counts").mapInArrow(_word_rows, "chunk long, number int, word binary, n long")
-            .join(vocabulary, "word").where(f"count != n or class != {RARE}")
+            .join(vocabulary, "word").where(f"count != n or class != {RARE}").select("chunk", "number", "count", "class")
             .groupBy("chunk").applyInArrow(_packed, "chunk long, word_number binary, word_count binary, word_class binary"))
     encoded = pinned(chunks.drop("words", "trained").join(told, "chunk", "left"))
     found = encoded.drop("docs", "absent").mapInArrow(
