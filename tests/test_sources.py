@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.functions import normalize_decimal, parse_decimal
 from tidewatch.sources.batches import discover_batches, load_batches
+from tidewatch.sources import batches
 from tidewatch.sources.batches import index_rows, read_lines, target_conventions
 from tidewatch.spec import INSURANCE
 
@@ -173,3 +174,37 @@ def test_retries_double_nothing(spark, tmp_path):
     found = load_baseline(spark, str(tmp_path / "baseline"))
     assert {r.model_id for r in found.profile.select("model_id").distinct().collect()} == {"m1", "m2"}
     assert found.profile.groupBy("model_id", "series").count().where("count > 1").isEmpty()
+
+
+def test_lines_are_neither_sorted_nor_shuffled_and_parsed_once(spark, batch_dir, monkeypatch):
+    """Only lists of files, splits and headers are joined to the lines, as broadcasts whatever their estimated size."""
+    plans, pin = [], batches.pinned
+
+    def spy(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return pin(df)
+
+    monkeypatch.setattr(batches, "pinned", spy)
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = discover_batches(spark, batch_dir)
+        lines = read_lines(spark, found, batch_dir)
+        rows, headers = index_rows(lines)
+        features, _ = batches.parse_features(rows, headers, INSURANCE)
+        assert "BroadcastHashJoin" in plans[0] and not any("SortAggregate" in p and "value" in p.split("SortAggregate")[1] for p in plans)
+        assert "SortMergeJoin" not in rows.where("kind = 'target'")._jdf.queryExecution().executedPlan().toString().split("Union")[1].split("Window [")[0]
+        plan = features._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("from_csv") <= 4  # rows and header, each in both branches of the union at most
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+def test_a_shared_target_gives_each_batch_its_own_first_line(spark, tmp_path):
+    """Two feature files with one id share the target's lines, and so their ids."""
+    for place in ("a", "b"):
+        (tmp_path / place).mkdir()
+        (tmp_path / place / "dataset_x_feats.csv").write_text("age\n1\n2\n")
+    (tmp_path / "a" / "dataset_x_target.csv").write_text("charges\n5\n6\n")
+    rows, headers = index_rows(read_lines(spark, discover_batches(spark, str(tmp_path)), str(tmp_path)))
+    assert rows.count() == 8 and headers.count() == 4

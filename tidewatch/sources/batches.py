@@ -116,7 +116,8 @@ def failed_files(spark: SparkSession, batches: DataFrame, directory: str, lines:
         return broken
     seen = (spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.gz").option("ignoreCorruptFiles", "true")
             .option("lineSep", "\n").text(directory)
-            .groupBy(_plain(F.col("_metadata.file_path")).alias("path")).agg(F.sum(F.octet_length("value") + 1).alias("n")))
+            .groupBy(F.col("_metadata.file_path").alias("path")).agg(F.sum(F.octet_length("value") + 1).alias("n"))
+            .withColumn("path", _plain(F.col("path"))))
     # a last line without an end counts one byte too many, a byte order mark is not counted
     apart = F.pmod(F.coalesce("n", F.lit(0)) - F.col("size"), F.lit(1 << 32))
     whole = apart.isin(0, 1, (1 << 32) - 3, (1 << 32) - 2)
@@ -129,19 +130,19 @@ def read_lines(spark: SparkSession, batches: DataFrame, directory: str) -> DataF
     """Every non-blank line of the chosen files with its place in the file and its number of quotes, written once.
 
     Which bytes form a split depends on the cluster, so the lines are pinned before positions are
-    counted: later stages must not see another cut. Files that break off give the lines before the break.
+    counted: later stages must not see another cut. Files that break off give the lines before the break. Only the listing
+    of files is broadcast; no line is shuffled or sorted.
     """
     chosen = _chosen_files(spark, batches, directory).drop("length")
-    path = _plain(F.col("_metadata.file_path"))
+    quoted = F.length("value") - F.length(F.translate("value", '"', ""))
     lines = (
         spark.read.option("recursiveFileLookup", "true").option("ignoreCorruptFiles", "true").text(directory)
-        .where(F.contains(F.lower(path), F.lit("/dataset_")))
-        .where(F.btrim("value", F.lit(" \t\r\ufeff")) != "")
-        .select("value", path.alias("path"), F.col("_metadata.file_block_start").alias("block_start"))
+        .where(F.col("value").rlike("[^ \t\r\ufeff]"))
+        .select("value", _plain(F.col("_metadata.file_path")).alias("path"), F.col("_metadata.file_block_start").alias("block_start"))
         .withColumn("line_id", F.monotonically_increasing_id())
-        .withColumn("quotes", F.length("value") - F.length(F.translate("value", '"', "")))
+        .withColumn("quotes", F.when(F.contains("value", F.lit('"')), quoted).otherwise(0))
     )
-    return pinned(lines.join(chosen, "path"))
+    return pinned(lines.join(F.broadcast(chosen), "path"))
 
 
 def _header_is_data(kind: Column, line: Column) -> Column:
@@ -163,7 +164,7 @@ def _inside_quotes(lines: DataFrame, splits: DataFrame) -> DataFrame:
     parity = splits.select(*SPLIT, F.coalesce(F.sum("odd").over(earlier), F.lit(0)).alias("_open"), F.sum("odd").over(file_of).alias("_odd"))
     before = Window.partitionBy(*SPLIT).orderBy("line_id").rowsBetween(Window.unboundedPreceding, -1)
     quotes = F.col("_open") + F.coalesce(F.sum("quotes").over(before), F.lit(0))
-    return lines.join(parity.where("_odd > 0"), list(SPLIT)).withColumn("starts", quotes % 2 == 0).drop("_open", "_odd")
+    return lines.join(F.broadcast(parity.where("_odd > 0")), list(SPLIT)).withColumn("starts", quotes % 2 == 0).drop("_open", "_odd")
 
 
 def index_rows(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -171,11 +172,14 @@ def index_rows(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     Lines of one split are consecutive, so a row's place is its distance from the first line of its
     split plus the rows of the splits before it: no window spans more than the list of splits. Only files with line breaks
-    inside quotes are counted record by record; blank lines count nowhere.
+    inside quotes are counted record by record; blank lines count nowhere. The list of splits is broadcast, so lines stay
+    where they are.
     """
-    first = F.min_by("value", "line_id").alias("first_line")
-    splits = pinned(lines.groupBy(*SPLIT).agg(  # one row per split, read for parity, offsets and headers
-        F.count("*").alias("n_lines"), F.min("line_id").alias("first_id"), first, F.sum(F.col("quotes") % 2).alias("odd")))
+    # first lines are looked up by id: a text in the aggregate would have Spark sort all lines for it
+    sizes = lines.groupBy(*SPLIT).agg(
+        F.count("*").alias("n_lines"), F.min("line_id").alias("first_id"), F.sum(F.col("quotes") % 2).alias("odd"))
+    firsts = lines.select("batch_id", F.col("line_id").alias("first_id"), F.col("value").alias("first_line"))
+    splits = pinned(firsts.join(F.broadcast(sizes), ["batch_id", "first_id"]))  # one row per split, read for parity, offsets and headers
     inside = pinned(_inside_quotes(lines, splits))
     begun = inside.groupBy(*SPLIT).agg(F.count_if("starts").alias("n_begun"))
     has_header = (F.col("block_start") == 0) & ~_header_is_data(F.col("kind"), F.col("first_line"))
@@ -187,10 +191,10 @@ def index_rows(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
         *SPLIT, "first_id", "skip", F.col("n_begun").isNotNull().alias("_quoted"),
         F.coalesce(F.sum(F.col("n_records") - F.col("skip")).over(earlier), F.lit(0)).alias("offset"))
     headers = counted.where("skip = 1").select("batch_id", "source", "kind", "path", F.btrim("first_line", F.lit("\ufeff")).alias("header"))
-    plain = lines.join(offsets.where("not _quoted"), list(SPLIT)).where("line_id >= first_id + skip").withColumn(
+    plain = lines.join(F.broadcast(offsets.where("not _quoted")), list(SPLIT)).where("line_id >= first_id + skip").withColumn(
         "row_index", F.col("offset") + F.col("line_id") - F.col("first_id") - F.col("skip"))
     upto = Window.partitionBy(*SPLIT).orderBy("line_id")
-    numbered = inside.join(offsets, list(SPLIT)).withColumn(
+    numbered = inside.join(F.broadcast(offsets), list(SPLIT)).withColumn(
         "row_index", F.col("offset") + F.sum(F.col("starts").cast("int")).over(upto) - 1 - F.col("skip"))
     parts = F.array_sort(F.collect_list(F.struct("line_id", "value")))
     records = numbered.groupBy("batch_id", "kind", "source", "path", "row_index").agg(
@@ -204,10 +208,11 @@ def index_rows(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def _fields(line: Column, width: int) -> Column:
-    """Quoted-aware fields of a CSV record as an array of text."""
+    """Quoted-aware fields of a CSV record as an array of text, from one parse: taken straight from the struct, every field
+    would have a parse of its own."""
     schema = ", ".join(f"_c{i} string" for i in range(width))
     parsed = F.from_csv(line, schema, {"mode": "PERMISSIVE", "quote": '"', "escape": '"', "lineSep": "\u0001"})
-    return F.array(*[parsed[f"_c{i}"] for i in range(width)])
+    return F.get(F.transform(F.array(parsed), lambda r: F.array(*[r[f"_c{i}"] for i in range(width)])), F.lit(0))
 
 
 @dataclass(frozen=True)
@@ -227,7 +232,7 @@ def parse_features(rows: DataFrame, headers: DataFrame, spec: FeatureSpec) -> tu
     width = heads.agg(F.max(F.length("header") - F.length(F.translate("header", ",", "")) + 1)).first()[0] or 1
     names = F.transform(_fields(F.col("header"), width), lambda n: F.lower(F.btrim(n, F.lit(" \t\"\ufeff"))))
     heads = heads.select("batch_id", "path", names.alias("names"))
-    named = rows.where("kind = 'feats'").join(heads, ["batch_id", "path"]).withColumn("_f", _fields(F.col("value"), width))
+    named = rows.where("kind = 'feats'").join(F.broadcast(heads), ["batch_id", "path"]).withColumn("_f", _fields(F.col("value"), width))
 
     def pick(column: str) -> Column:
         return F.get("_f", (F.array_position("names", column) - 1).cast("int"))
@@ -291,4 +296,5 @@ def load_batches(spark: SparkSession, directory: str, spec: FeatureSpec) -> Load
     rows, headers = index_rows(lines)
     features, present = parse_features(rows, headers, spec)
     loaded = join_by_position(features, parse_targets(rows, spec.target), batches, spec.target)
-    return LoadedBatches(loaded.rows, loaded.batches, present, failures)
+    # a row a batch, and one a column of its header: callers read them several times
+    return LoadedBatches(loaded.rows, pinned(loaded.batches), pinned(present), failures)
